@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from datetime import datetime
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,7 +58,7 @@ def with_constants(df: DataFrame, constants: Mapping[str, object]) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name, value in constants.items()})
 
 
-def audited(df: DataFrame, as_of: datetime | Column, name: str = "loaded_at") -> DataFrame:
+def audited(df: DataFrame, as_of: datetime | date | Column, name: str = "loaded_at") -> DataFrame:
     """Add the audit time. The caller states it, so reloading gives the same rows."""
     return df.withColumn(name, as_of if isinstance(as_of, Column) else F.lit(as_of))
 
@@ -87,20 +87,25 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], event_time: str) -> DataFr
 
 
 def parse_json(
-    df: DataFrame, schema: T.StructType, value: str = "value", corrupt: str = "_corrupt"
+    df: DataFrame,
+    schema: T.StructType,
+    value: str = "value",
+    corrupt: str = "_corrupt",
+    keep: str | None = None,
 ) -> DataFrame:
     """Parse a JSON text into declared columns.
 
     Unknown keys are dropped and missing ones are null. A text that is no JSON object, or holds a value of
-    the wrong type, is kept whole in the ``corrupt`` column.
+    the wrong type, is put whole in the ``corrupt`` column. ``keep`` names a column for the text itself.
     """
     declared = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
     with_corrupt = T.StructType([*declared.fields, T.StructField(corrupt, T.StringType(), True)])
     parsed = F.from_json(
         F.col(value), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
     )
-    kept = [c for c in df.columns if c != value]
-    return df.select(*kept, F.col(value), parsed.alias("_json")).select(*kept, value, "_json.*")
+    others = [c for c in df.columns if c != value]
+    texts = [F.col(value).alias(keep)] if keep else []
+    return df.select(*others, *texts, parsed.alias("_json")).select(*others, *([keep] if keep else []), "_json.*")
 
 
 def split_valid(

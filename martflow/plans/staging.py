@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,19 +54,19 @@ FULL_DATA_NAMES = {
 }
 
 
-def stage_seed(seed: DataFrame, view: str, as_of: datetime) -> DataFrame:
+def stage_seed(seed: DataFrame, view: str, as_of: datetime | date) -> DataFrame:
     return audited(pick(seed, SEED_COLUMNS[view]), as_of)
 
 
-def stage_farm_analysis(table: DataFrame, as_of: datetime) -> DataFrame:
+def stage_farm_analysis(table: DataFrame, as_of: datetime | date) -> DataFrame:
     return audited(pick(table, FARM_ANALYSIS_NAMES), as_of)
 
 
-def stage_crop_analysis(table: DataFrame, as_of: datetime) -> DataFrame:
+def stage_crop_analysis(table: DataFrame, as_of: datetime | date) -> DataFrame:
     return audited(pick(table, CROP_ANALYSIS_NAMES), as_of)
 
 
-def stage_full_data(table: DataFrame, as_of: datetime) -> DataFrame:
+def stage_full_data(table: DataFrame, as_of: datetime | date) -> DataFrame:
     staged = pick(table, FULL_DATA_NAMES).withColumns(
         {
             "planting_month": month_floor("planting_date"),

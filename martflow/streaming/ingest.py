@@ -21,6 +21,7 @@ from martflow.sources.messages import Landing, Topic, read_messages
 
 BATCH = "batch_id"
 DAY = "event_date"
+MESSAGE = "_message"
 
 
 @dataclass(frozen=True)
@@ -85,18 +86,18 @@ def store_batch(lake: Lake, form: MessageFormat) -> Callable[[DataFrame, int], N
     """The step that stores one batch of message texts."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_json(batch, form.schema).persist()
+        parsed = parse_json(batch, form.schema, keep=MESSAGE).persist()
         try:
             good, bad = split_valid(parsed, form.required)
             records = (
-                good.drop("value", "_corrupt")
+                good.drop(MESSAGE, "_corrupt")
                 .withColumn(DAY, F.to_date(form.event_time))
                 .dropDuplicates([DAY, form.message_id])
             )
             records = not_yet_stored(records, lake.records, form.message_id, batch_id)
             stamp = F.lit(batch_id).cast("bigint")
             write_partitioned(records.withColumn(BATCH, stamp), lake.records, [DAY, BATCH])
-            write_partitioned(bad.select("value").withColumn(BATCH, stamp), lake.quarantine, [BATCH])
+            write_partitioned(bad.select(MESSAGE).withColumn(BATCH, stamp), lake.quarantine, [BATCH])
         finally:
             parsed.unpersist()
 
@@ -135,7 +136,7 @@ def stored_records(spark: SparkSession, lake: Lake, form: MessageFormat) -> Data
 
 
 def quarantined(spark: SparkSession, lake: Lake) -> DataFrame:
-    schema = T.StructType([T.StructField("value", T.StringType()), T.StructField(BATCH, T.LongType())])
+    schema = T.StructType([T.StructField(MESSAGE, T.StringType()), T.StructField(BATCH, T.LongType())])
     return read_if_any(spark, lake.quarantine, schema)
 
 
