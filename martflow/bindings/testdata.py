@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from martflow.functions import scalar
 from martflow.functions.aggregate import total
+from martflow.workspace import materialise
 
 SEASON_BY_SIZE = {0: "Spring", 1: "Summer", 2: "Winter", 3: "Annual"}
 SEASON_OTHERWISE = "Fall"
@@ -20,6 +21,8 @@ NEED_BY_SIZE = ([(40, "Very High"), (25, "High"), (10, "Medium")], "Low")
 FARM_KINDS = {0: "Crop", 1: "Livestock", 2: "Mixed"}
 FARM_KIND_OTHERWISE = "Horticulture"
 HARVEST_KEY_FACTOR = 10_000_000_000
+# Quantities, prices and shares of a single line have at most six digits and two decimals.
+MEASURE = "decimal(8,2)"
 
 
 class Binding:
@@ -65,14 +68,19 @@ class Binding:
             self.table("lineitem")
             .groupBy(F.col("l_suppkey").alias("farm_id"), F.col("l_partkey").alias("crop_id"))
             .agg(
-                total("l_quantity", 2).alias("quantity"),
-                total("l_extendedprice", 2).alias("price"),
+                total("l_quantity", MEASURE).alias("quantity"),
+                total("l_extendedprice", MEASURE).alias("price"),
                 F.count(F.lit(1)).alias("n_lines"),
                 F.year(F.max("l_shipdate")).alias("year"),
             )
             .withColumn("harvest_id", F.col("farm_id") * HARVEST_KEY_FACTOR + F.col("crop_id"))
         )
 
+    def shared(self) -> Binding:
+        """Keep the order lines per farm and crop for a query that reads them several times."""
+        self._farm_crop = materialise(self._farm_crop, "farm-crop")
+        return self
+
     @cached_property
     def harvest(self) -> DataFrame:
         return self._farm_crop.select("harvest_id", "farm_id", "crop_id", F.col("quantity").alias("yield_amount"))

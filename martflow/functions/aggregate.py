@@ -1,12 +1,14 @@
 """Aggregate expressions.
 
-``scale`` fixes the number of decimals a measure is summed at. Decimal sums do not depend on the order in
-which partitions arrive, so repeated runs agree to the last bit. Without it the usual double average is used.
+``exact`` names the decimal type a measure is summed at. Decimal sums do not depend on the order in which
+partitions arrive, so repeated runs agree to the last bit. Without it the usual double arithmetic is used.
+Types of up to eight digits are as fast as doubles, since Spark sums them as plain integers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,56 +19,64 @@ from martflow.functions.scalar import SEASON_MONTHS, ColumnLike, col, growth_per
 PIVOT_MONTHS = {**SEASON_MONTHS, "Winter": (12, 1, 2)}
 
 
-def total(value: ColumnLike, scale: int | None = None, precision: int = 18) -> Column:
-    if scale is None:
+@dataclass(frozen=True)
+class FixedPoint:
+    """Decimal types for the measures of single records, and for ratios and amounts already added up."""
+
+    measure: str = "decimal(18,4)"
+    amount: str = "decimal(18,4)"
+
+
+def total(value: ColumnLike, exact: str | None = None) -> Column:
+    if exact is None:
         return F.sum(col(value))
-    return F.sum(col(value).cast(f"decimal({precision},{scale})")).cast("double")
+    return F.sum(col(value).cast(exact)).cast("double")
 
 
-def mean(value: ColumnLike, scale: int | None = None) -> Column:
-    if scale is None:
+def mean(value: ColumnLike, exact: str | None = None) -> Column:
+    if exact is None:
         return F.avg(col(value))
-    return total(value, scale) / F.nullif(F.count(col(value)), F.lit(0))
+    return total(value, exact) / F.nullif(F.count(col(value)), F.lit(0))
 
 
-def mean_where(condition: Column, value: ColumnLike, scale: int | None = None) -> Column:
+def mean_where(condition: Column, value: ColumnLike, exact: str | None = None) -> Column:
     """Mean over the rows that meet a condition."""
-    return mean(F.when(condition, col(value)), scale)
+    return mean(F.when(condition, col(value)), exact)
 
 
-def mean_or(value: ColumnLike, default: float, scale: int | None = None) -> Column:
+def mean_or(value: ColumnLike, default: float, exact: str | None = None) -> Column:
     """Mean with missing values read as ``default``."""
-    return mean(F.coalesce(col(value), F.lit(default)), scale)
+    return mean(F.coalesce(col(value), F.lit(default)), exact)
 
 
-def mean_of_ratio(numerator: ColumnLike, denominator: ColumnLike, scale: int | None = None) -> Column:
-    return mean(safe_ratio(numerator, denominator), scale)
+def mean_of_ratio(numerator: ColumnLike, denominator: ColumnLike, exact: str | None = None) -> Column:
+    return mean(safe_ratio(numerator, denominator), exact)
 
 
-def ratio_of_means_percent(numerator: ColumnLike, denominator: ColumnLike, scale: int | None = None) -> Column:
-    return percent_of(mean(numerator, scale), mean(denominator, scale))
+def ratio_of_means_percent(numerator: ColumnLike, denominator: ColumnLike, exact: str | None = None) -> Column:
+    return percent_of(mean(numerator, exact), mean(denominator, exact))
 
 
-def mean_since_year(year: ColumnLike, first_year: int, value: ColumnLike, scale: int | None = None) -> Column:
-    return mean_where(col(year) >= first_year, value, scale)
+def mean_since_year(year: ColumnLike, first_year: int, value: ColumnLike, exact: str | None = None) -> Column:
+    return mean_where(col(year) >= first_year, value, exact)
 
 
-def mean_in_year(year: ColumnLike, wanted: int, value: ColumnLike, scale: int | None = None) -> Column:
-    return mean_where(col(year) == wanted, value, scale)
+def mean_in_year(year: ColumnLike, wanted: int, value: ColumnLike, exact: str | None = None) -> Column:
+    return mean_where(col(year) == wanted, value, exact)
 
 
 def year_over_year_percent(
-    year: ColumnLike, as_of_year: int, value: ColumnLike, scale: int | None = None
+    year: ColumnLike, as_of_year: int, value: ColumnLike, exact: str | None = None
 ) -> Column:
     return growth_percent(
-        mean_in_year(year, as_of_year, value, scale), mean_in_year(year, as_of_year - 1, value, scale)
+        mean_in_year(year, as_of_year, value, exact), mean_in_year(year, as_of_year - 1, value, exact)
     )
 
 
-def season_means(month: ColumnLike, value: ColumnLike, scale: int | None = None) -> Mapping[str, Column]:
+def season_means(month: ColumnLike, value: ColumnLike, exact: str | None = None) -> Mapping[str, Column]:
     """Season pivot as conditional means: one pass, no extra grouping key."""
     return {
-        season.lower(): mean_where(col(month).isin(*months), value, scale)
+        season.lower(): mean_where(col(month).isin(*months), value, exact)
         for season, months in PIVOT_MONTHS.items()
     }
 

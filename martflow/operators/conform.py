@@ -82,8 +82,8 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 def latest_by_key(df: DataFrame, keys: Sequence[str], event_time: str) -> DataFrame:
     """One row per key: the latest by event time. A plain aggregate, so a hot key is combined map-side."""
     others = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*others), F.struct(F.col(event_time), F.struct(*others)))
-    return df.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*").select(*df.columns)
+    newest = F.max(F.struct(F.col(event_time).alias("_at"), F.struct(*others).alias("_row"))).alias("_newest")
+    return df.groupBy(*keys).agg(newest).select(*keys, "_newest._row.*").select(*df.columns)
 
 
 def parse_json(

@@ -30,10 +30,10 @@ class Side:
     def copies(self) -> str:
         return f"_copies_{self.name}"
 
-    def condensed(self, scale: int | None) -> DataFrame:
+    def condensed(self, exact: str | None) -> DataFrame:
         parts = [F.count(F.lit(1)).alias(self.copies)]
         for measure, value in self.measures.items():
-            parts += [total(value, scale).alias(f"_sum_{measure}"), F.count(value).alias(f"_n_{measure}")]
+            parts += [total(value, exact).alias(f"_sum_{measure}"), F.count(value).alias(f"_n_{measure}")]
         return self.rows.groupBy(self.key).agg(*parts)
 
 
@@ -43,18 +43,18 @@ def repeats(names: Sequence[str]) -> Column:
     return reduce(lambda a, b: a * b, ones, F.lit(1.0))
 
 
-def join_condensed(base: DataFrame, sides: Sequence[Side], scale: int | None = None) -> DataFrame:
+def join_condensed(base: DataFrame, sides: Sequence[Side], exact: str | None = None) -> DataFrame:
     """Left-join every side's per-key totals to the base."""
     for side in sides:
-        base = base.join(side.condensed(scale), side.key, "left")
+        base = base.join(side.condensed(exact), side.key, "left")
     return base
 
 
 def product_mean(
-    side: Side, met: Sequence[str], measure: str, scale: int | None = None
+    side: Side, met: Sequence[str], measure: str, exact: str | None = None
 ) -> Column:
     """Mean of a side's measure over its product with the sides it met, as an aggregate over joined totals."""
     others = repeats([name for name in met if name != side.name])
-    rows = total(F.col(f"_n_{measure}") * others, None if scale is None else 0, 38)
-    weighted = total(F.col(f"_sum_{measure}") * others, scale, 38)
+    rows = total(F.col(f"_n_{measure}") * others, exact and "decimal(38,0)")
+    weighted = total(F.col(f"_sum_{measure}") * others, exact and "decimal(38,4)")
     return weighted / F.nullif(rows, F.lit(0.0))

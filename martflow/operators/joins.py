@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martflow.functions.scalar import as_id
+from martflow.workspace import materialise
+
+MATCH_CHUNK = 100_000
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -46,16 +49,24 @@ def join_cast_key(
     return base.join(matched, as_id(base_key) == F.col("_dim_key"), how).drop("_dim_key")
 
 
-def repeat_by_matches(base: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+def repeat_by_matches(
+    base: DataFrame, other: DataFrame, keys: Sequence[str], chunk: int = MATCH_CHUNK
+) -> DataFrame:
     """Left join to a table of which only the row multiplicity matters.
 
     The other side is counted per key before it is joined. A base row comes out once per match, and once
-    when there is none.
+    when there is none. Where a key has very many matches, its rows are cut into chunks that are spread over
+    the cluster before they are repeated.
     """
-    counted = other.groupBy(*keys).agg(F.count(F.lit(1)).alias("_matches"))
-    joined = base.join(counted, list(keys), "left")
-    copies = F.sequence(F.lit(1).cast("bigint"), F.coalesce("_matches", F.lit(1).cast("bigint")))
-    return joined.withColumn("_copy", F.explode(copies)).drop("_matches", "_copy")
+    counted = materialise(other.groupBy(*keys).agg(F.count(F.lit(1)).alias("_matches")), "matches")
+    most = counted.agg(F.max("_matches")).first()[0] or 1
+    one = F.lit(1).cast("bigint")
+    joined = base.join(counted, list(keys), "left").withColumn("_matches", F.coalesce("_matches", one))
+    if most > chunk:
+        starts = F.sequence(F.lit(0).cast("bigint"), F.col("_matches") - 1, F.lit(chunk).cast("bigint"))
+        joined = joined.withColumn("_start", F.explode(starts)).repartition()
+        joined = joined.withColumn("_matches", F.least(F.lit(chunk), F.col("_matches") - F.col("_start")))
+    return joined.withColumn("_copy", F.explode(F.sequence(one, "_matches"))).select(*base.columns)
 
 
 def attach_summary(base: DataFrame, lookup: DataFrame, measures: Mapping[str, Column]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from martflow.functions import aggregate as agg
 from martflow.functions import scalar
+from martflow.functions.aggregate import FixedPoint
 from martflow.operators.fanout import Side, join_condensed, product_mean, repeats
 from martflow.operators.joins import attach_summary, combined, join_cast_key, one_per_key, star
 from martflow.operators.ranking import WINDOW_ROWS, Rank, add_ranks, change_from_previous
@@ -29,6 +30,10 @@ RECOMMEND_REVIEW = "Review growing conditions and varieties"
 RECOMMEND_NOTHING = "Current practices are effective"
 
 
+def decimal_types(exact: FixedPoint | None) -> tuple[str | None, str | None]:
+    return (exact.measure, exact.amount) if exact else (None, None)
+
+
 def season_advice(percentage: scalar.ColumnLike, season: scalar.ColumnLike) -> Column:
     low = scalar.col(percentage) < LOW_YIELD
     season = scalar.col(season)
@@ -49,7 +54,7 @@ def farm_performance(
     sustainability: DataFrame,
     yields: DataFrame,
     as_of_year: int,
-    scale: int | None = None,
+    exact: FixedPoint | None = None,
     fanout: str = "reference",
     window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
@@ -58,34 +63,35 @@ def farm_performance(
     Soil, sustainability and yield rows of a farm repeat its records. That leaves averages as they are but
     multiplies the total yield; ``fanout="none"`` reports the plain total.
     """
+    measure, amount = decimal_types(exact)
     by_type = records.groupBy("farm_id", F.col("crop_type").alias("farm_type")).agg(
-        agg.mean("soil_moisture", scale).alias("avg_soil_moisture"),
-        agg.mean("soil_temperature", scale).alias("avg_soil_temperature"),
-        agg.mean("actual_yield", scale).alias("avg_actual_yield"),
-        agg.mean("expected_yield", scale).alias("avg_expected_yield"),
-        agg.total("actual_yield", scale).alias("plain_total"),
-        agg.mean("yield_percentage", scale).alias("avg_yield_percentage"),
-        agg.mean("sustainability_score", scale).alias("avg_sustainability_score"),
-        agg.mean_since_year("year", as_of_year - 1, "actual_yield", scale).alias("recent_avg_yield"),
-        agg.mean("growing_period_days", scale).alias("avg_growing_period"),
-        agg.mean_of_ratio("actual_yield", "farm_size_acres", scale).alias("yield_per_acre"),
+        agg.mean("soil_moisture", measure).alias("avg_soil_moisture"),
+        agg.mean("soil_temperature", measure).alias("avg_soil_temperature"),
+        agg.mean("actual_yield", measure).alias("avg_actual_yield"),
+        agg.mean("expected_yield", measure).alias("avg_expected_yield"),
+        agg.total("actual_yield", measure).alias("plain_total"),
+        agg.mean("yield_percentage", measure).alias("avg_yield_percentage"),
+        agg.mean("sustainability_score", measure).alias("avg_sustainability_score"),
+        agg.mean_since_year("year", as_of_year - 1, "actual_yield", measure).alias("recent_avg_yield"),
+        agg.mean("growing_period_days", measure).alias("avg_growing_period"),
+        agg.mean_of_ratio("actual_yield", "farm_size_acres", amount).alias("yield_per_acre"),
     )
     soil_by_farm = soil.groupBy("farm_id").agg(
         F.count(F.lit(1)).alias("_copies_soil"),
-        agg.mean("ph_level", scale).alias("avg_soil_ph"),
-        agg.mean("organic_matter", scale).alias("avg_organic_matter"),
+        agg.mean("ph_level", amount).alias("avg_soil_ph"),
+        agg.mean("organic_matter", amount).alias("avg_organic_matter"),
     )
     use_by_farm = sustainability.groupBy("farm_id").agg(
         F.count(F.lit(1)).alias("_copies_sustainability"),
-        agg.mean("water_usage", scale).alias("avg_water_usage"),
-        agg.mean("carbon_footprint", scale).alias("avg_carbon_footprint"),
-        agg.mean("pesticide_usage", scale).alias("avg_pesticide_usage"),
-        agg.mean_or("water_usage", 0, scale).alias("water"),
-        agg.mean_or("carbon_footprint", 0, scale).alias("carbon"),
+        agg.mean("water_usage", amount).alias("avg_water_usage"),
+        agg.mean("carbon_footprint", amount).alias("avg_carbon_footprint"),
+        agg.mean("pesticide_usage", amount).alias("avg_pesticide_usage"),
+        agg.mean_or("water_usage", 0, amount).alias("water"),
+        agg.mean_or("carbon_footprint", 0, amount).alias("carbon"),
     )
     yield_by_farm = yields.groupBy("farm_id").agg(
         F.count(F.lit(1)).alias("_copies_yield"),
-        agg.mean("yield_per_hectare", scale).alias("avg_yield_per_hectare"),
+        agg.mean("yield_per_hectare", amount).alias("avg_yield_per_hectare"),
     )
     named = farms.select("farm_id", "farm_name", "farm_location", "farm_size")
     if fanout == "reference":
@@ -134,7 +140,7 @@ def crop_performance(
     production: DataFrame,
     harvest: DataFrame,
     as_of_year: int,
-    scale: int | None = None,
+    exact: FixedPoint | None = None,
     fanout: str = "reference",
     window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
@@ -144,19 +150,20 @@ def crop_performance(
     Records are aggregated once per type, the others once per crop, and recombined by their row counts.
     ``fanout="none"`` weighs every yield, production and harvest row once.
     """
+    measure, amount = decimal_types(exact)
     by_type = records.groupBy("crop_type").agg(
-        agg.mean("expected_yield", scale).alias("avg_expected_yield"),
-        agg.mean("actual_yield", scale).alias("avg_actual_yield"),
-        agg.mean("growing_period_days", scale).alias("avg_growing_period_days"),
+        agg.mean("expected_yield", measure).alias("avg_expected_yield"),
+        agg.mean("actual_yield", measure).alias("avg_actual_yield"),
+        agg.mean("growing_period_days", measure).alias("avg_growing_period_days"),
         agg.distinct_count("farm_id").alias("farm_count"),
-        agg.mean("sustainability_score", scale).alias("avg_sustainability_score"),
-        agg.mean_in_year("year", as_of_year, "actual_yield", scale).alias("current_year_yield"),
-        agg.mean_in_year("year", as_of_year - 1, "actual_yield", scale).alias("previous_year_yield"),
+        agg.mean("sustainability_score", measure).alias("avg_sustainability_score"),
+        agg.mean_in_year("year", as_of_year, "actual_yield", measure).alias("current_year_yield"),
+        agg.mean_in_year("year", as_of_year - 1, "actual_yield", measure).alias("previous_year_yield"),
         *[
             value.alias(f"{season}_yield")
-            for season, value in agg.season_means("month", "actual_yield", scale).items()
+            for season, value in agg.season_means("month", "actual_yield", measure).items()
         ],
-        agg.mean("yield_percentage", scale).alias("avg_yield_percentage"),
+        agg.mean("yield_percentage", measure).alias("avg_yield_percentage"),
     )
     yield_side = Side("yield", yields, "crop_id", {"per_hectare": F.col("yield_per_hectare")})
     production_side = Side(
@@ -188,14 +195,14 @@ def crop_performance(
         )
         named = single.withColumn("crop_variety", F.col("crop_name"))
     by_crop = (
-        join_condensed(named, sides, scale)
+        join_condensed(named, sides, amount)
         .groupBy(*key)
         .agg(
-            product_mean(yield_side, met, "per_hectare", scale).alias("avg_yield_per_hectare"),
-            product_mean(production_side, met, "quantity", scale).alias("avg_quantity_produced"),
-            product_mean(production_side, met, "cost", scale).alias("avg_production_cost"),
-            product_mean(production_side, met, "efficiency", scale).alias("production_efficiency"),
-            product_mean(harvest_side, met, "amount", scale).alias("avg_harvest_yield"),
+            product_mean(yield_side, met, "per_hectare", amount).alias("avg_yield_per_hectare"),
+            product_mean(production_side, met, "quantity", amount).alias("avg_quantity_produced"),
+            product_mean(production_side, met, "cost", amount).alias("avg_production_cost"),
+            product_mean(production_side, met, "efficiency", amount).alias("production_efficiency"),
+            product_mean(harvest_side, met, "amount", amount).alias("avg_harvest_yield"),
         )
     )
     score = (
@@ -219,22 +226,23 @@ def crop_performance(
 
 
 def seasonal_performance(
-    records: DataFrame, farms: DataFrame, crops: DataFrame, weather: DataFrame, scale: int | None = None
+    records: DataFrame, farms: DataFrame, crops: DataFrame, weather: DataFrame, exact: FixedPoint | None = None
 ) -> DataFrame:
     """Performance of each farm and crop by year and season, with its change, advice and rating.
 
     Records are averaged before farms and crops are joined to them, and the weather every row meets is one
     summary row.
     """
+    measure, amount = decimal_types(exact)
     metrics = (
         records.withColumn("season", scalar.season_of("month"))
         .groupBy("farm_id", "crop_id", "year", "season")
         .agg(
-            agg.mean("actual_yield", scale).alias("avg_yield"),
-            agg.mean("expected_yield", scale).alias("avg_expected_yield"),
-            agg.mean("yield_percentage", scale).alias("avg_yield_percentage"),
-            agg.mean("sustainability_score", scale).alias("avg_sustainability_score"),
-            agg.mean("growing_period_days", scale).alias("avg_growing_period"),
+            agg.mean("actual_yield", measure).alias("avg_yield"),
+            agg.mean("expected_yield", measure).alias("avg_expected_yield"),
+            agg.mean("yield_percentage", measure).alias("avg_yield_percentage"),
+            agg.mean("sustainability_score", measure).alias("avg_sustainability_score"),
+            agg.mean("growing_period_days", measure).alias("avg_growing_period"),
         )
     )
     changed = change_from_previous(
@@ -247,9 +255,9 @@ def seasonal_performance(
         named,
         weather,
         {
-            "avg_temperature": agg.mean("temperature", scale),
-            "avg_precipitation": agg.mean("precipitation", scale),
-            "avg_humidity": agg.mean("humidity", scale),
+            "avg_temperature": agg.mean("temperature", amount),
+            "avg_precipitation": agg.mean("precipitation", amount),
+            "avg_humidity": agg.mean("humidity", amount),
         },
     )
     return attached.select(
@@ -289,7 +297,7 @@ def sustainability_metrics(
     soil: DataFrame,
     crops: DataFrame,
     weather: DataFrame,
-    scale: int | None = None,
+    exact: FixedPoint | None = None,
     fanout: str = "reference",
 ) -> DataFrame:
     """Sustainability of each distinct record, with scores, tier and efficiencies.
@@ -298,6 +306,7 @@ def sustainability_metrics(
     are grouping keys, and each record of a farm and crop meets the same rows. Several sustainability or soil
     rows of a farm give one result row each; with ``fanout="none"`` one of them is taken.
     """
+    measure, amount = decimal_types(exact)
     own_keys = [
         "farm_id", "crop_type", "crop_id", "year", "month", "planting_date", "sustainability_score",
         "farm_size_acres", "actual_yield", "expected_yield", "growing_period_days",
@@ -306,8 +315,8 @@ def sustainability_metrics(
         records.where(F.col("sustainability_score").isNotNull())
         .groupBy(*own_keys)
         .agg(
-            agg.mean("soil_moisture", scale).alias("avg_soil_moisture"),
-            agg.mean("soil_temperature", scale).alias("avg_soil_temperature"),
+            agg.mean("soil_moisture", measure).alias("avg_soil_moisture"),
+            agg.mean("soil_temperature", measure).alias("avg_soil_temperature"),
         )
         .withColumnRenamed("crop_type", "farm_type")
     )
@@ -329,8 +338,8 @@ def sustainability_metrics(
         joined,
         weather,
         {
-            "avg_precipitation": agg.mean("precipitation", scale),
-            "avg_humidity": agg.mean("humidity", scale),
+            "avg_precipitation": agg.mean("precipitation", amount),
+            "avg_humidity": agg.mean("humidity", amount),
         },
     )
     return attached.select(

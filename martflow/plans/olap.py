@@ -13,18 +13,18 @@ from martflow.sinks.files import write_partitioned, write_tables
 
 
 def mean_rollup(
-    records: DataFrame, keys: Sequence[str], measures: Sequence[str], scale: int | None = None
+    records: DataFrame, keys: Sequence[str], measures: Sequence[str], exact: str | None = None
 ) -> DataFrame:
     """Means of several measures by keys, named ``avg_<measure>``."""
-    return records.groupBy(*keys).agg(*[mean(m, scale).alias(f"avg_{m}") for m in measures])
+    return records.groupBy(*keys).agg(*[mean(m, exact).alias(f"avg_{m}") for m in measures])
 
 
-def farm_analysis(records: DataFrame, scale: int | None = None) -> DataFrame:
-    return mean_rollup(records, *agri.ROLLUPS["farm_analysis"], scale=scale)
+def farm_analysis(records: DataFrame, exact: str | None = None) -> DataFrame:
+    return mean_rollup(records, *agri.ROLLUPS["farm_analysis"], exact=exact)
 
 
-def crop_analysis(records: DataFrame, scale: int | None = None) -> DataFrame:
-    return mean_rollup(records, *agri.ROLLUPS["crop_analysis"], scale=scale)
+def crop_analysis(records: DataFrame, exact: str | None = None) -> DataFrame:
+    return mean_rollup(records, *agri.ROLLUPS["crop_analysis"], exact=exact)
 
 
 def full_data(records: DataFrame, event_time: str = "timestamp") -> DataFrame:
@@ -32,13 +32,12 @@ def full_data(records: DataFrame, event_time: str = "timestamp") -> DataFrame:
 
 
 def write_olap(records: DataFrame, prefix: str, event_time: str = "timestamp") -> dict[str, str]:
-    """Write both roll-ups, and all records partitioned by year and month."""
-    shared = full_data(records, event_time).persist()
-    try:
-        rollups = {"farm_analysis": farm_analysis(shared), "crop_analysis": crop_analysis(shared)}
-        written = write_tables(rollups, prefix)
-        written["full_data"] = f"{prefix}/full_data"
-        write_partitioned(shared, written["full_data"], ["year", "month"], ["Farm_ID", "Crop_ID"])
-        return written
-    finally:
-        shared.unpersist()
+    """Write both roll-ups, and all records partitioned by year and month.
+
+    The roll-ups scan only their own columns; see ``star.write_star`` for records that are costly to compute.
+    """
+    dated = full_data(records, event_time)
+    written = write_tables({"farm_analysis": farm_analysis(dated), "crop_analysis": crop_analysis(dated)}, prefix)
+    written["full_data"] = f"{prefix}/full_data"
+    write_partitioned(dated, written["full_data"], ["year", "month"], ["Farm_ID", "Crop_ID"])
+    return written

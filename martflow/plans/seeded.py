@@ -101,12 +101,12 @@ def crop_analysis_constant(crops: DataFrame) -> DataFrame:
 
 
 def crop_analysis_from_harvest(
-    crops: DataFrame, harvest: DataFrame, scale: int | None = None
+    crops: DataFrame, harvest: DataFrame, exact: str | None = None
 ) -> DataFrame:
     joined = crops.join(harvest.select("crop_id", "yield_amount"), "crop_id", "left")
     grouped = joined.groupBy("crop_type", "crop_name", "growing_season").agg(
-        mean("yield_amount", scale).alias("avg_Expected_Yield"),
-        mean(F.col("yield_amount") * 0.9, scale).alias("avg_Actual_Yield"),
+        mean("yield_amount", exact).alias("avg_Expected_Yield"),
+        mean(F.col("yield_amount") * 0.9, exact).alias("avg_Actual_Yield"),
     )
     return grouped.select(
         F.col("crop_type").alias("Crop_Type"),

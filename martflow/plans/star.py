@@ -54,11 +54,12 @@ def facts(records: DataFrame) -> dict[str, DataFrame]:
 
 
 def write_star(records: DataFrame, prefix: str) -> dict[str, str]:
-    """Write all dimensions and facts. The conformed records are kept for the ten writes that read them."""
-    shared = conformed(records).persist()
-    try:
-        tables = {f"dim_{name}": df for name, df in dimensions(shared).items()}
-        tables |= {f"fact_{name}": df for name, df in facts(shared).items()}
-        return write_tables(tables, prefix)
-    finally:
-        shared.unpersist()
+    """Write all dimensions and facts.
+
+    Each of them scans only its own columns, so records read from a columnar table are not kept in between.
+    Records that are costly to compute should be passed through ``workspace.materialise`` first.
+    """
+    shaped = conformed(records)
+    tables = {f"dim_{name}": df for name, df in dimensions(shaped).items()}
+    tables |= {f"fact_{name}": df for name, df in facts(shaped).items()}
+    return write_tables(tables, prefix)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from martflow.functions.scalar import month_floor
 from martflow.sinks.files import write_partitioned
+from martflow.streaming.ingest import not_yet_stored
 
 
 def export_new_files(
@@ -20,17 +21,21 @@ def export_new_files(
     checkpoint: str,
     date_column: str,
     cluster_by: Sequence[str],
+    record_id: str,
     shape: Callable[[DataFrame], DataFrame] = lambda df: df,
     max_files: int | None = None,
 ) -> None:
     """Append the lake's new files to a table partitioned by month, then stop.
 
-    Each batch replaces only the partitions of its own export id, so a repeated batch adds nothing twice.
+    Each batch replaces only the partitions of its own export id, so a repeated batch adds nothing twice. Records
+    that an earlier export holds are left out, so a lake file written anew adds nothing either.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
         month = F.date_format(month_floor(date_column), "yyyy-MM")
-        stamped = shape(batch).withColumns({"month": month, "export_id": F.lit(batch_id).cast("bigint")})
+        dated = shape(batch).withColumn("month", month)
+        unseen = not_yet_stored(dated, target, record_id, batch_id, "month", "export_id")
+        stamped = unseen.withColumn("export_id", F.lit(batch_id).cast("bigint"))
         write_partitioned(stamped, target, ["month", "export_id"], cluster_by)
 
     reader = spark.readStream.schema(schema)

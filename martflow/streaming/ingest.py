@@ -66,20 +66,20 @@ def read_if_any(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
         raise
 
 
-def not_yet_stored(fresh: DataFrame, path: str, message_id: str, batch_id: int) -> DataFrame:
+def not_yet_stored(
+    fresh: DataFrame, path: str, message_id: str, batch_id: int, period: str = DAY, batch: str = BATCH
+) -> DataFrame:
     """Records whose id earlier batches have not stored.
 
-    A redelivered message carries the same event time, so only the days this batch touches are read.
+    A redelivered message carries the same event time, so only the periods this batch touches are read.
     """
-    spark = fresh.sparkSession
-    kept = T.StructType(
-        [fresh.schema[message_id], T.StructField(DAY, T.DateType()), T.StructField(BATCH, T.LongType())]
-    )
-    first, last = fresh.agg(F.min(DAY), F.max(DAY)).first()
+    kept = T.StructType([fresh.schema[message_id], fresh.schema[period], T.StructField(batch, T.LongType())])
+    first, last = fresh.agg(F.min(period), F.max(period)).first()
     if first is None:
         return fresh
-    stored = read_if_any(spark, path, kept).where(F.col(DAY).between(F.lit(first), F.lit(last)))
-    return fresh.join(stored.where(F.col(BATCH) < batch_id), [DAY, message_id], "left_anti")
+    stored = read_if_any(fresh.sparkSession, path, kept)
+    earlier = stored.where(F.col(period).between(F.lit(first), F.lit(last)) & (F.col(batch) < batch_id))
+    return fresh.join(earlier, [period, message_id], "left_anti")
 
 
 def store_batch(lake: Lake, form: MessageFormat) -> Callable[[DataFrame, int], None]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martflow.bindings.testdata import Binding
+from martflow.bindings.testdata import MEASURE, Binding
 from martflow.functions import aggregate as agg
 from martflow.functions import scalar
 from martflow.operators import conform, quality
@@ -19,7 +19,7 @@ from martflow.streaming import export, ingest
 from martflow.workload.ansi import sql, total
 from martflow.workload.registry import query, table_name
 from martflow.workload.scalars import LINE, LINE_SQL
-from martflow.workspace import new_path
+from martflow.workspace import materialise, new_path
 
 # Quality
 
@@ -150,7 +150,7 @@ def scan_drifting(b: Binding) -> DataFrame:
     ),
 )
 def write_star(b: Binding) -> DataFrame:
-    written = star.write_star(b.raw, new_path(b.spark, "star"))
+    written = star.write_star(materialise(b.raw, "raw"), new_path(b.spark, "star"))
     shown = [name for name in written if name.startswith("fact_") or name in ("dim_farm", "dim_crop")]
     return conform.union_all(
         [
@@ -173,7 +173,7 @@ def partitioned_roundtrip(b: Binding) -> DataFrame:
     file_sinks.write_partitioned(dated, path, ["year", "month"], ["l_suppkey", "l_partkey"])
     stored = file_sources.read_partitioned(b.spark, path)
     return stored.groupBy("year", "month").agg(
-        F.count(F.lit(1)).alias("n"), agg.total("l_quantity", 4).alias("quantity")
+        F.count(F.lit(1)).alias("n"), agg.total("l_quantity", MEASURE).alias("quantity")
     )
 
 
@@ -396,7 +396,7 @@ def stream_incremental_export(b: Binding) -> DataFrame:
     def round_trip() -> None:
         ingest.drain(b.spark, where, lake, FORM)
         export.export_new_files(
-            b.spark, lake.records, MESSAGE, target, checkpoint, "timestamp", ["user_id"],
+            b.spark, lake.records, MESSAGE, target, checkpoint, "timestamp", ["user_id"], "message_id",
             lambda df: df.select("message_id", "timestamp", "user_id", "event_type", "value"),
         )
 
@@ -405,7 +405,7 @@ def stream_incremental_export(b: Binding) -> DataFrame:
     round_trip()
     exported = b.spark.read.parquet(target)
     return exported.groupBy("event_type", F.date_format("timestamp", "yyyy-MM").alias("month")).agg(
-        F.count(F.lit(1)).alias("n"), agg.total("value", 4).alias("total")
+        F.count(F.lit(1)).alias("n"), agg.total("value", "decimal(18,4)").alias("total")
     )
 
 

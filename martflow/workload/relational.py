@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martflow.bindings.testdata import Binding
+from martflow.bindings.testdata import MEASURE, Binding
 from martflow.functions import aggregate as agg
 from martflow.functions import scalar
 from martflow.operators import conform, joins
@@ -20,7 +20,7 @@ from martflow.workload.registry import query
 from martflow.workload.scalars import LINE, LINE_SQL
 
 AS_OF_YEAR = 2001
-SCALE = 4
+AMOUNT = "decimal(18,4)"
 
 
 @query("scan_glob_count", "SELECT COUNT(*) AS n_rows FROM lineitem")
@@ -154,7 +154,7 @@ def join_left_composite(b: Binding) -> DataFrame:
 )
 def join_star(b: Binding) -> DataFrame:
     harvested = b.harvest.groupBy("farm_id").agg(
-        agg.total("yield_amount", 2).alias("total_yield"), F.count(F.lit(1)).alias("n_harvests")
+        agg.total("yield_amount", AMOUNT).alias("total_yield"), F.count(F.lit(1)).alias("n_harvests")
     )
     joined = joins.star(
         b.farms, [(b.soil, ["farm_id"]), (b.sustainability, ["farm_id"]), (harvested, ["farm_id"])]
@@ -177,7 +177,7 @@ def join_many_to_many(b: Binding) -> DataFrame:
     """Averages over crops joined to all records of their type, without forming the pairs."""
     by_type = b.records.groupBy("crop_type").agg(
         F.count(F.lit(1)).alias("n_pairs"),
-        agg.mean("actual_yield", SCALE).alias("avg_actual"),
+        agg.mean("actual_yield", MEASURE).alias("avg_actual"),
         agg.distinct_count("farm_id").alias("n_farms"),
     )
     joined = b.crops.select("crop_id", "crop_type").join(by_type, "crop_type", "left")
@@ -264,7 +264,7 @@ def join_via_key(b: Binding) -> DataFrame:
     ),
 )
 def agg_multi_avg(b: Binding) -> DataFrame:
-    return olap.farm_analysis(b.raw, SCALE)
+    return olap.farm_analysis(b.raw, MEASURE)
 
 
 @query(
@@ -276,7 +276,7 @@ def agg_multi_avg(b: Binding) -> DataFrame:
     ),
 )
 def agg_crop_rollup(b: Binding) -> DataFrame:
-    return olap.crop_analysis(b.raw, SCALE)
+    return olap.crop_analysis(b.raw, MEASURE)
 
 
 @query(
@@ -300,7 +300,7 @@ def agg_count_distinct(b: Binding) -> DataFrame:
     ),
 )
 def agg_ratio_of_means(b: Binding) -> DataFrame:
-    efficiency = agg.ratio_of_means_percent("actual_yield", "expected_yield", SCALE)
+    efficiency = agg.ratio_of_means_percent("actual_yield", "expected_yield", MEASURE)
     return b.records.groupBy("crop_type").agg(efficiency.alias("efficiency"))
 
 
@@ -313,8 +313,8 @@ def agg_ratio_of_means(b: Binding) -> DataFrame:
 )
 def agg_mean_of_ratio(b: Binding) -> DataFrame:
     return b.records.groupBy("farm_id").agg(
-        agg.mean_of_ratio("actual_yield", "farm_size_acres", 6).alias("yield_per_acre"),
-        agg.total("actual_yield", SCALE).alias("total_actual"),
+        agg.mean_of_ratio("actual_yield", "farm_size_acres", "decimal(18,6)").alias("yield_per_acre"),
+        agg.total("actual_yield", MEASURE).alias("total_actual"),
     )
 
 
@@ -331,9 +331,9 @@ def year_mean(condition: str) -> str:
 )
 def agg_conditional_years(b: Binding) -> DataFrame:
     return b.records.groupBy("crop_type").agg(
-        agg.mean_in_year("year", AS_OF_YEAR, "actual_yield", SCALE).alias("current_year"),
-        agg.mean_in_year("year", AS_OF_YEAR - 1, "actual_yield", SCALE).alias("previous_year"),
-        agg.mean_since_year("year", AS_OF_YEAR - 1, "actual_yield", SCALE).alias("recent"),
+        agg.mean_in_year("year", AS_OF_YEAR, "actual_yield", MEASURE).alias("current_year"),
+        agg.mean_in_year("year", AS_OF_YEAR - 1, "actual_yield", MEASURE).alias("previous_year"),
+        agg.mean_since_year("year", AS_OF_YEAR - 1, "actual_yield", MEASURE).alias("recent"),
     )
 
 
@@ -346,7 +346,7 @@ def agg_conditional_years(b: Binding) -> DataFrame:
     ),
 )
 def agg_season_pivot(b: Binding) -> DataFrame:
-    means = agg.season_means("month", "actual_yield", SCALE)
+    means = agg.season_means("month", "actual_yield", MEASURE)
     return b.records.groupBy("crop_type").agg(*[value.alias(name) for name, value in means.items()])
 
 
@@ -358,7 +358,7 @@ def agg_season_pivot(b: Binding) -> DataFrame:
     ),
 )
 def agg_yoy_growth(b: Binding) -> DataFrame:
-    growth = agg.year_over_year_percent("year", AS_OF_YEAR, "actual_yield", SCALE)
+    growth = agg.year_over_year_percent("year", AS_OF_YEAR, "actual_yield", MEASURE)
     return b.records.groupBy("farm_id").agg(growth.alias("growth"))
 
 
@@ -373,10 +373,10 @@ def agg_yoy_growth(b: Binding) -> DataFrame:
 )
 def agg_composite_score(b: Binding) -> DataFrame:
     joined = joins.star(b.farms, [(b.soil, ["farm_id"]), (b.sustainability, ["farm_id"])])
-    carbon = agg.mean_or("carbon_footprint", 0, SCALE)
+    carbon = agg.mean_or("carbon_footprint", 0, AMOUNT)
     return joined.groupBy("farm_id").agg(
         carbon.alias("avg_carbon"),
-        (agg.mean("ph_level", SCALE) * 0.5 + (100 - carbon * 0.2)).alias("score"),
+        (agg.mean("ph_level", AMOUNT) * 0.5 + (100 - carbon * 0.2)).alias("score"),
     )
 
 
@@ -394,7 +394,7 @@ def agg_wide_group(b: Binding) -> DataFrame:
         "sustainability_score",
     ]
     return b.records.groupBy(*keys).agg(
-        agg.mean("soil_moisture", SCALE).alias("avg_moisture"), F.count(F.lit(1)).alias("n")
+        agg.mean("soil_moisture", MEASURE).alias("avg_moisture"), F.count(F.lit(1)).alias("n")
     )
 
 
@@ -409,7 +409,7 @@ def agg_derived_key(b: Binding) -> DataFrame:
     return (
         b.records.withColumn("season", scalar.season_of("month"))
         .groupBy("season", "year")
-        .agg(agg.mean(F.col("expected_yield") * 0.9, SCALE).alias("avg_scaled"))
+        .agg(agg.mean(F.col("expected_yield") * 0.9, AMOUNT).alias("avg_scaled"))
     )
 
 
@@ -418,8 +418,8 @@ def agg_derived_key(b: Binding) -> DataFrame:
 
 def farm_type_means(b: Binding) -> DataFrame:
     return b.records.groupBy("farm_id", "crop_type").agg(
-        agg.mean("actual_yield", SCALE).alias("avg_actual"),
-        agg.mean("yield_percentage", SCALE).alias("avg_percentage"),
+        agg.mean("actual_yield", MEASURE).alias("avg_actual"),
+        agg.mean("yield_percentage", MEASURE).alias("avg_percentage"),
     )
 
 
@@ -477,7 +477,7 @@ def lag_prev_year(b: Binding) -> DataFrame:
     yearly = (
         b.records.withColumn("season", scalar.season_of("month"))
         .groupBy("farm_id", "season", "year")
-        .agg(agg.mean("actual_yield", SCALE).alias("avg_actual"))
+        .agg(agg.mean("actual_yield", MEASURE).alias("avg_actual"))
     )
     return change_from_previous(yearly, "avg_actual", ["farm_id", "season"], "year", "change")
 

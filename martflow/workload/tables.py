@@ -8,16 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martflow.bindings import agri
-from martflow.bindings.testdata import Binding
+from martflow.bindings.testdata import MEASURE, Binding
+from martflow.functions.aggregate import FixedPoint
 from martflow.plans import marts, olap, seeded, staging, star
 from martflow.workload.ansi import days, mean, month, season, sql, total, year
 from martflow.workload.registry import query
-from martflow.workload.relational import AS_OF_YEAR, SCALE, year_mean
+from martflow.workload.relational import AMOUNT, AS_OF_YEAR, year_mean
 from martflow.workload.scalars import NOISE_SQL
 
 AS_OF = datetime(2024, 1, 1)
 TODAY = date(2024, 1, 1)
 LOADED = "DATE '2024-01-01' AS loaded_at"
+RECORDS = FixedPoint(MEASURE, AMOUNT)
 AUDIT = ["timestamp", "created_at", "loaded_at"]
 
 
@@ -104,7 +106,7 @@ register_staging()
     ),
 )
 def stg_farm_analysis(b: Binding) -> DataFrame:
-    return staging.stage_farm_analysis(olap.farm_analysis(b.raw, SCALE), TODAY)
+    return staging.stage_farm_analysis(olap.farm_analysis(b.raw, MEASURE), TODAY)
 
 
 @query(
@@ -116,7 +118,7 @@ def stg_farm_analysis(b: Binding) -> DataFrame:
     ),
 )
 def stg_crop_analysis(b: Binding) -> DataFrame:
-    return staging.stage_crop_analysis(olap.crop_analysis(b.raw, SCALE), TODAY)
+    return staging.stage_crop_analysis(olap.crop_analysis(b.raw, MEASURE), TODAY)
 
 
 @query(
@@ -176,7 +178,7 @@ def seed_crop_const(b: Binding) -> DataFrame:
     ),
 )
 def seed_crop_avg(b: Binding) -> DataFrame:
-    return seeded.crop_analysis_from_harvest(b.crops, b.harvest, SCALE)
+    return seeded.crop_analysis_from_harvest(b.crops, b.harvest, AMOUNT)
 
 
 DERIVED = {
@@ -216,7 +218,7 @@ DERIVED = {
     ),
 )
 def seed_full_data(b: Binding) -> DataFrame:
-    return seeded.full_data(b.seeds, AS_OF).drop(*AUDIT)
+    return seeded.full_data(b.shared().seeds, AS_OF).drop(*AUDIT)
 
 
 VARIED = f"(yield_amount * (0.5::DOUBLE + {NOISE_SQL} * 0.7::DOUBLE))"
@@ -233,7 +235,7 @@ STAGED_FULL_DATA = (
 
 @query("stg_full_data_synth", sql(STAGED_FULL_DATA))
 def stg_full_data_synth(b: Binding) -> DataFrame:
-    return seeded.staged_full_data(b.seeds, AS_OF).drop(*AUDIT)
+    return seeded.staged_full_data(b.shared().seeds, AS_OF).drop(*AUDIT)
 
 
 @query(
@@ -321,15 +323,17 @@ def farm_sql(source: str, **more: str) -> str:
 @query("farm_performance", farm_sql("records"))
 def farm_performance(b: Binding) -> DataFrame:
     return marts.farm_performance(
-        b.farms, b.records, b.soil, b.sustainability, b.yields, AS_OF_YEAR, SCALE
+        b.farms, b.records, b.soil, b.sustainability, b.yields, AS_OF_YEAR, RECORDS
     )
 
 
 @query("farm_performance_synth", farm_sql("staged", staged=STAGED_FULL_DATA))
 def farm_performance_synth(b: Binding) -> DataFrame:
     """The farm mart over the seed-derived records."""
-    records = seeded.staged_full_data(b.seeds, AS_OF)
-    return marts.farm_performance(b.farms, records, b.soil, b.sustainability, b.yields, AS_OF_YEAR, SCALE)
+    records = seeded.staged_full_data(b.shared().seeds, AS_OF)
+    return marts.farm_performance(
+        b.farms, records, b.soil, b.sustainability, b.yields, AS_OF_YEAR, FixedPoint()
+    )
 
 
 def product_mean(name: str, others: str) -> str:
@@ -386,7 +390,8 @@ def crop_sql() -> str:
 
 @query("crop_performance", crop_sql())
 def crop_performance(b: Binding) -> DataFrame:
-    return marts.crop_performance(b.crops, b.records, b.yields, b.production, b.harvest, AS_OF_YEAR, SCALE)
+    b.shared()
+    return marts.crop_performance(b.crops, b.records, b.yields, b.production, b.harvest, AS_OF_YEAR, RECORDS)
 
 
 @query(
@@ -419,7 +424,7 @@ def crop_performance(b: Binding) -> DataFrame:
     ),
 )
 def seasonal_performance(b: Binding) -> DataFrame:
-    return marts.seasonal_performance(b.records, b.farms, b.crops, b.weather, SCALE)
+    return marts.seasonal_performance(b.records, b.farms, b.crops, b.weather, RECORDS)
 
 
 @query(
@@ -456,5 +461,5 @@ def seasonal_performance(b: Binding) -> DataFrame:
 )
 def sustainability_metrics(b: Binding) -> DataFrame:
     return marts.sustainability_metrics(
-        b.records, b.farms, b.sustainability, b.soil, b.crops, b.weather, SCALE
+        b.records, b.farms, b.sustainability, b.soil, b.crops, b.weather, RECORDS
     )
