@@ -21,8 +21,8 @@ NEED_BY_SIZE = ([(40, "Very High"), (25, "High"), (10, "Medium")], "Low")
 FARM_KINDS = {0: "Crop", 1: "Livestock", 2: "Mixed"}
 FARM_KIND_OTHERWISE = "Horticulture"
 HARVEST_KEY_FACTOR = 10_000_000_000
-# Quantities, prices and shares of a single line have at most six digits and two decimals.
-MEASURE = "decimal(8,2)"
+# Decimals of the quantities, prices and shares of a single line.
+MEASURE = 2
 
 
 class Binding:
@@ -31,9 +31,12 @@ class Binding:
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def farms(self) -> DataFrame:

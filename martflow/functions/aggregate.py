@@ -1,8 +1,9 @@
 """Aggregate expressions.
 
-``exact`` names the decimal type a measure is summed at. Decimal sums do not depend on the order in which
-partitions arrive, so repeated runs agree to the last bit. Without it the usual double arithmetic is used.
-Types of up to eight digits are as fast as doubles, since Spark sums them as plain integers.
+``exact`` makes a sum independent of the order in which partitions arrive, so repeated runs agree to the last
+bit. A number of decimals sums a measure as scaled integers, about as fast as doubles; it suits measures of
+single records (an overflow fails the job). A decimal type suits ratios and amounts already added up. Without
+it the usual double arithmetic is used.
 """
 
 from __future__ import annotations
@@ -19,61 +20,67 @@ from martflow.functions.scalar import SEASON_MONTHS, ColumnLike, col, growth_per
 PIVOT_MONTHS = {**SEASON_MONTHS, "Winter": (12, 1, 2)}
 
 
+Exact = int | str | None
+
+
 @dataclass(frozen=True)
 class FixedPoint:
-    """Decimal types for the measures of single records, and for ratios and amounts already added up."""
+    """How exactly to sum the measures of single records, and ratios and amounts already added up."""
 
-    measure: str = "decimal(18,4)"
-    amount: str = "decimal(18,4)"
+    measure: Exact = "decimal(18,4)"
+    amount: Exact = "decimal(18,4)"
 
 
-def total(value: ColumnLike, exact: str | None = None) -> Column:
+def total(value: ColumnLike, exact: Exact = None) -> Column:
     if exact is None:
         return F.sum(col(value))
+    if isinstance(exact, int):
+        unit = float(10**exact)
+        return F.sum(F.rint(col(value) * unit).cast("bigint")) / unit
     return F.sum(col(value).cast(exact)).cast("double")
 
 
-def mean(value: ColumnLike, exact: str | None = None) -> Column:
+def mean(value: ColumnLike, exact: Exact = None) -> Column:
     if exact is None:
         return F.avg(col(value))
     return total(value, exact) / F.nullif(F.count(col(value)), F.lit(0))
 
 
-def mean_where(condition: Column, value: ColumnLike, exact: str | None = None) -> Column:
+def mean_where(condition: Column, value: ColumnLike, exact: Exact = None) -> Column:
     """Mean over the rows that meet a condition."""
     return mean(F.when(condition, col(value)), exact)
 
 
-def mean_or(value: ColumnLike, default: float, exact: str | None = None) -> Column:
+def mean_or(value: ColumnLike, default: float, exact: Exact = None) -> Column:
     """Mean with missing values read as ``default``."""
     return mean(F.coalesce(col(value), F.lit(default)), exact)
 
 
-def mean_of_ratio(numerator: ColumnLike, denominator: ColumnLike, exact: str | None = None) -> Column:
+def mean_of_ratio(numerator: ColumnLike, denominator: ColumnLike, exact: Exact = None) -> Column:
     return mean(safe_ratio(numerator, denominator), exact)
 
 
-def ratio_of_means_percent(numerator: ColumnLike, denominator: ColumnLike, exact: str | None = None) -> Column:
+def ratio_of_means_percent(numerator: ColumnLike, denominator: ColumnLike, exact: Exact = None) -> Column:
     return percent_of(mean(numerator, exact), mean(denominator, exact))
 
 
-def mean_since_year(year: ColumnLike, first_year: int, value: ColumnLike, exact: str | None = None) -> Column:
+def mean_since_year(year: ColumnLike, first_year: int, value: ColumnLike, exact: Exact = None) -> Column:
     return mean_where(col(year) >= first_year, value, exact)
 
 
-def mean_in_year(year: ColumnLike, wanted: int, value: ColumnLike, exact: str | None = None) -> Column:
+def mean_in_year(year: ColumnLike, wanted: int, value: ColumnLike, exact: Exact = None) -> Column:
     return mean_where(col(year) == wanted, value, exact)
 
 
 def year_over_year_percent(
-    year: ColumnLike, as_of_year: int, value: ColumnLike, exact: str | None = None
+    year: ColumnLike, as_of_year: int, value: ColumnLike, exact: Exact = None
 ) -> Column:
     return growth_percent(
         mean_in_year(year, as_of_year, value, exact), mean_in_year(year, as_of_year - 1, value, exact)
     )
 
 
-def season_means(month: ColumnLike, value: ColumnLike, exact: str | None = None) -> Mapping[str, Column]:
+def season_means(month: ColumnLike, value: ColumnLike, exact: Exact = None) -> Mapping[str, Column]:
     """Season pivot as conditional means: one pass, no extra grouping key."""
     return {
         season.lower(): mean_where(col(month).isin(*months), value, exact)

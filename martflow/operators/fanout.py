@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martflow.functions.aggregate import total
+from martflow.functions.aggregate import Exact, total
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class Side:
     def copies(self) -> str:
         return f"_copies_{self.name}"
 
-    def condensed(self, exact: str | None) -> DataFrame:
+    def condensed(self, exact: Exact) -> DataFrame:
         parts = [F.count(F.lit(1)).alias(self.copies)]
         for measure, value in self.measures.items():
             parts += [total(value, exact).alias(f"_sum_{measure}"), F.count(value).alias(f"_n_{measure}")]
@@ -43,7 +43,7 @@ def repeats(names: Sequence[str]) -> Column:
     return reduce(lambda a, b: a * b, ones, F.lit(1.0))
 
 
-def join_condensed(base: DataFrame, sides: Sequence[Side], exact: str | None = None) -> DataFrame:
+def join_condensed(base: DataFrame, sides: Sequence[Side], exact: Exact = None) -> DataFrame:
     """Left-join every side's per-key totals to the base."""
     for side in sides:
         base = base.join(side.condensed(exact), side.key, "left")
@@ -51,10 +51,10 @@ def join_condensed(base: DataFrame, sides: Sequence[Side], exact: str | None = N
 
 
 def product_mean(
-    side: Side, met: Sequence[str], measure: str, exact: str | None = None
+    side: Side, met: Sequence[str], measure: str, exact: Exact = None
 ) -> Column:
     """Mean of a side's measure over its product with the sides it met, as an aggregate over joined totals."""
     others = repeats([name for name in met if name != side.name])
-    rows = total(F.col(f"_n_{measure}") * others, exact and "decimal(38,0)")
-    weighted = total(F.col(f"_sum_{measure}") * others, exact and "decimal(38,4)")
+    rows = total(F.col(f"_n_{measure}") * others, None if exact is None else "decimal(38,0)")
+    weighted = total(F.col(f"_sum_{measure}") * others, None if exact is None else "decimal(38,4)")
     return weighted / F.nullif(rows, F.lit(0.0))

@@ -64,7 +64,8 @@ def repeat_by_matches(
     joined = base.join(counted, list(keys), "left").withColumn("_matches", F.coalesce("_matches", one))
     if most > chunk:
         starts = F.sequence(F.lit(0).cast("bigint"), F.col("_matches") - 1, F.lit(chunk).cast("bigint"))
-        joined = joined.withColumn("_start", F.explode(starts)).repartition()
+        tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        joined = joined.withColumn("_start", F.explode(starts)).repartition(tasks)
         joined = joined.withColumn("_matches", F.least(F.lit(chunk), F.col("_matches") - F.col("_start")))
     return joined.withColumn("_copy", F.explode(F.sequence(one, "_matches"))).select(*base.columns)
 

@@ -30,7 +30,7 @@ RECOMMEND_REVIEW = "Review growing conditions and varieties"
 RECOMMEND_NOTHING = "Current practices are effective"
 
 
-def decimal_types(exact: FixedPoint | None) -> tuple[str | None, str | None]:
+def exactness(exact: FixedPoint | None) -> tuple[agg.Exact, agg.Exact]:
     return (exact.measure, exact.amount) if exact else (None, None)
 
 
@@ -63,7 +63,7 @@ def farm_performance(
     Soil, sustainability and yield rows of a farm repeat its records. That leaves averages as they are but
     multiplies the total yield; ``fanout="none"`` reports the plain total.
     """
-    measure, amount = decimal_types(exact)
+    measure, amount = exactness(exact)
     by_type = records.groupBy("farm_id", F.col("crop_type").alias("farm_type")).agg(
         agg.mean("soil_moisture", measure).alias("avg_soil_moisture"),
         agg.mean("soil_temperature", measure).alias("avg_soil_temperature"),
@@ -150,7 +150,7 @@ def crop_performance(
     Records are aggregated once per type, the others once per crop, and recombined by their row counts.
     ``fanout="none"`` weighs every yield, production and harvest row once.
     """
-    measure, amount = decimal_types(exact)
+    measure, amount = exactness(exact)
     by_type = records.groupBy("crop_type").agg(
         agg.mean("expected_yield", measure).alias("avg_expected_yield"),
         agg.mean("actual_yield", measure).alias("avg_actual_yield"),
@@ -233,7 +233,7 @@ def seasonal_performance(
     Records are averaged before farms and crops are joined to them, and the weather every row meets is one
     summary row.
     """
-    measure, amount = decimal_types(exact)
+    measure, amount = exactness(exact)
     metrics = (
         records.withColumn("season", scalar.season_of("month"))
         .groupBy("farm_id", "crop_id", "year", "season")
@@ -306,7 +306,7 @@ def sustainability_metrics(
     are grouping keys, and each record of a farm and crop meets the same rows. Several sustainability or soil
     rows of a farm give one result row each; with ``fanout="none"`` one of them is taken.
     """
-    measure, amount = decimal_types(exact)
+    measure, amount = exactness(exact)
     own_keys = [
         "farm_id", "crop_type", "crop_id", "year", "month", "planting_date", "sustainability_score",
         "farm_size_acres", "actual_yield", "expected_yield", "growing_period_days",

@@ -7,23 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from martflow.bindings import agri
-from martflow.functions.aggregate import mean
+from martflow.functions.aggregate import Exact, mean
 from martflow.operators.conform import add_date_parts
 from martflow.sinks.files import write_partitioned, write_tables
 
 
 def mean_rollup(
-    records: DataFrame, keys: Sequence[str], measures: Sequence[str], exact: str | None = None
+    records: DataFrame, keys: Sequence[str], measures: Sequence[str], exact: Exact = None
 ) -> DataFrame:
     """Means of several measures by keys, named ``avg_<measure>``."""
     return records.groupBy(*keys).agg(*[mean(m, exact).alias(f"avg_{m}") for m in measures])
 
 
-def farm_analysis(records: DataFrame, exact: str | None = None) -> DataFrame:
+def farm_analysis(records: DataFrame, exact: Exact = None) -> DataFrame:
     return mean_rollup(records, *agri.ROLLUPS["farm_analysis"], exact=exact)
 
 
-def crop_analysis(records: DataFrame, exact: str | None = None) -> DataFrame:
+def crop_analysis(records: DataFrame, exact: Exact = None) -> DataFrame:
     return mean_rollup(records, *agri.ROLLUPS["crop_analysis"], exact=exact)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martflow.functions import scalar
-from martflow.functions.aggregate import mean
+from martflow.functions.aggregate import Exact, mean
 from martflow.operators.conform import with_constants
 from martflow.operators.joins import first_pairs, one_per_key, repeat_by_matches, star
 
@@ -101,7 +101,7 @@ def crop_analysis_constant(crops: DataFrame) -> DataFrame:
 
 
 def crop_analysis_from_harvest(
-    crops: DataFrame, harvest: DataFrame, exact: str | None = None
+    crops: DataFrame, harvest: DataFrame, exact: Exact = None
 ) -> DataFrame:
     joined = crops.join(harvest.select("crop_id", "yield_amount"), "crop_id", "left")
     grouped = joined.groupBy("crop_type", "crop_name", "growing_season").agg(
