@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.functions.scalar import month_floor
-from martflow.operators.conform import align
+from martflow.operators.conform import align, present
 
 
 def replace_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
@@ -62,7 +62,8 @@ def append_evolving(
     """
     spark = df.sparkSession
     incoming = df.withColumn(month_column, F.date_format(month_floor(date_column), "yyyy-MM"))
-    laid_out = incoming.hint("rebalance", F.col(month_column)).sortWithinPartitions(month_column, *cluster_by)
+    keys = present(incoming, cluster_by)
+    laid_out = incoming.hint("rebalance", F.col(month_column)).sortWithinPartitions(month_column, *keys)
     if not spark.catalog.tableExists(table):
         writer = laid_out.write.partitionBy(month_column)
         if path:
