@@ -25,12 +25,21 @@ Exact = int | str | None
 
 @dataclass(frozen=True)
 class FixedPoint:
-    """How exactly to sum the measures of single records, and ratios and amounts already added up."""
+    """How exactly to sum the measures of single records, their ratios, and amounts already added up."""
 
     measure: Exact = "decimal(18,4)"
+    ratio: Exact = "decimal(28,10)"
     amount: Exact = "decimal(18,4)"
 
 
+def widest(exact: Exact) -> Exact:
+    """The decimal type with the same decimals and all digits there are, for sums of weighted sums."""
+    if exact is None:
+        return None
+    decimals = exact if isinstance(exact, int) else int(exact.rstrip(")").split(",")[1])
+    return f"decimal(38,{decimals})"
+
+
 def total(value: ColumnLike, exact: Exact = None) -> Column:
     if exact is None:
         return F.sum(col(value))

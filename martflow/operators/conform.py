@@ -108,11 +108,16 @@ def parse_json(
     return df.select(*others, *texts, parsed.alias("_json")).select(*others, *([keep] if keep else []), "_json.*")
 
 
+def is_sound(required: Sequence[str], corrupt: str = "_corrupt") -> Column:
+    """Whether a parsed record is well-formed and holds every required column."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required], F.col(corrupt).isNull())
+
+
 def split_valid(
     parsed: DataFrame, required: Sequence[str], corrupt: str = "_corrupt"
 ) -> tuple[DataFrame, DataFrame]:
-    """Well-formed records that hold every required column, and the rest."""
-    sound = F.col(corrupt).isNull() & reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required])
+    """The sound records, and the rest."""
+    sound = is_sound(required, corrupt)
     return parsed.where(sound), parsed.where(~sound)
 
 

@@ -30,8 +30,7 @@ RECOMMEND_REVIEW = "Review growing conditions and varieties"
 RECOMMEND_NOTHING = "Current practices are effective"
 
 
-def exactness(exact: FixedPoint | None) -> tuple[agg.Exact, agg.Exact]:
-    return (exact.measure, exact.amount) if exact else (None, None)
+NOT_EXACT = FixedPoint(None, None, None)
 
 
 def season_advice(percentage: scalar.ColumnLike, season: scalar.ColumnLike) -> Column:
@@ -63,35 +62,35 @@ def farm_performance(
     Soil, sustainability and yield rows of a farm repeat its records. That leaves averages as they are but
     multiplies the total yield; ``fanout="none"`` reports the plain total.
     """
-    measure, amount = exactness(exact)
+    exact = exact or NOT_EXACT
     by_type = records.groupBy("farm_id", F.col("crop_type").alias("farm_type")).agg(
-        agg.mean("soil_moisture", measure).alias("avg_soil_moisture"),
-        agg.mean("soil_temperature", measure).alias("avg_soil_temperature"),
-        agg.mean("actual_yield", measure).alias("avg_actual_yield"),
-        agg.mean("expected_yield", measure).alias("avg_expected_yield"),
-        agg.total("actual_yield", measure).alias("plain_total"),
-        agg.mean("yield_percentage", measure).alias("avg_yield_percentage"),
-        agg.mean("sustainability_score", measure).alias("avg_sustainability_score"),
-        agg.mean_since_year("year", as_of_year - 1, "actual_yield", measure).alias("recent_avg_yield"),
-        agg.mean("growing_period_days", measure).alias("avg_growing_period"),
-        agg.mean_of_ratio("actual_yield", "farm_size_acres", amount).alias("yield_per_acre"),
+        agg.mean("soil_moisture", exact.measure).alias("avg_soil_moisture"),
+        agg.mean("soil_temperature", exact.measure).alias("avg_soil_temperature"),
+        agg.mean("actual_yield", exact.measure).alias("avg_actual_yield"),
+        agg.mean("expected_yield", exact.measure).alias("avg_expected_yield"),
+        agg.total("actual_yield", exact.measure).alias("plain_total"),
+        agg.mean("yield_percentage", exact.measure).alias("avg_yield_percentage"),
+        agg.mean("sustainability_score", exact.measure).alias("avg_sustainability_score"),
+        agg.mean_since_year("year", as_of_year - 1, "actual_yield", exact.measure).alias("recent_avg_yield"),
+        agg.mean("growing_period_days", exact.measure).alias("avg_growing_period"),
+        agg.mean_of_ratio("actual_yield", "farm_size_acres", exact.ratio).alias("yield_per_acre"),
     )
     soil_by_farm = soil.groupBy("farm_id").agg(
         F.count(F.lit(1)).alias("_copies_soil"),
-        agg.mean("ph_level", amount).alias("avg_soil_ph"),
-        agg.mean("organic_matter", amount).alias("avg_organic_matter"),
+        agg.mean("ph_level", exact.amount).alias("avg_soil_ph"),
+        agg.mean("organic_matter", exact.amount).alias("avg_organic_matter"),
     )
     use_by_farm = sustainability.groupBy("farm_id").agg(
         F.count(F.lit(1)).alias("_copies_sustainability"),
-        agg.mean("water_usage", amount).alias("avg_water_usage"),
-        agg.mean("carbon_footprint", amount).alias("avg_carbon_footprint"),
-        agg.mean("pesticide_usage", amount).alias("avg_pesticide_usage"),
-        agg.mean_or("water_usage", 0, amount).alias("water"),
-        agg.mean_or("carbon_footprint", 0, amount).alias("carbon"),
+        agg.mean("water_usage", exact.amount).alias("avg_water_usage"),
+        agg.mean("carbon_footprint", exact.amount).alias("avg_carbon_footprint"),
+        agg.mean("pesticide_usage", exact.amount).alias("avg_pesticide_usage"),
+        agg.mean_or("water_usage", 0, exact.amount).alias("water"),
+        agg.mean_or("carbon_footprint", 0, exact.amount).alias("carbon"),
     )
     yield_by_farm = yields.groupBy("farm_id").agg(
         F.count(F.lit(1)).alias("_copies_yield"),
-        agg.mean("yield_per_hectare", amount).alias("avg_yield_per_hectare"),
+        agg.mean("yield_per_hectare", exact.amount).alias("avg_yield_per_hectare"),
     )
     named = farms.select("farm_id", "farm_name", "farm_location", "farm_size")
     if fanout == "reference":
@@ -150,33 +149,33 @@ def crop_performance(
     Records are aggregated once per type, the others once per crop, and recombined by their row counts.
     ``fanout="none"`` weighs every yield, production and harvest row once.
     """
-    measure, amount = exactness(exact)
+    exact = exact or NOT_EXACT
     by_type = records.groupBy("crop_type").agg(
-        agg.mean("expected_yield", measure).alias("avg_expected_yield"),
-        agg.mean("actual_yield", measure).alias("avg_actual_yield"),
-        agg.mean("growing_period_days", measure).alias("avg_growing_period_days"),
+        agg.mean("expected_yield", exact.measure).alias("avg_expected_yield"),
+        agg.mean("actual_yield", exact.measure).alias("avg_actual_yield"),
+        agg.mean("growing_period_days", exact.measure).alias("avg_growing_period_days"),
         agg.distinct_count("farm_id").alias("farm_count"),
-        agg.mean("sustainability_score", measure).alias("avg_sustainability_score"),
-        agg.mean_in_year("year", as_of_year, "actual_yield", measure).alias("current_year_yield"),
-        agg.mean_in_year("year", as_of_year - 1, "actual_yield", measure).alias("previous_year_yield"),
+        agg.mean("sustainability_score", exact.measure).alias("avg_sustainability_score"),
+        agg.mean_in_year("year", as_of_year, "actual_yield", exact.measure).alias("current_year_yield"),
+        agg.mean_in_year("year", as_of_year - 1, "actual_yield", exact.measure).alias("previous_year_yield"),
         *[
             value.alias(f"{season}_yield")
-            for season, value in agg.season_means("month", "actual_yield", measure).items()
+            for season, value in agg.season_means("month", "actual_yield", exact.measure).items()
         ],
-        agg.mean("yield_percentage", measure).alias("avg_yield_percentage"),
+        agg.mean("yield_percentage", exact.measure).alias("avg_yield_percentage"),
     )
-    yield_side = Side("yield", yields, "crop_id", {"per_hectare": F.col("yield_per_hectare")})
+    yield_side = Side("yield", yields, "crop_id", {"per_hectare": (F.col("yield_per_hectare"), exact.amount)})
     production_side = Side(
         "production",
         production,
         "crop_id",
         {
-            "quantity": F.col("quantity_produced"),
-            "cost": F.col("cost"),
-            "efficiency": scalar.safe_ratio("quantity_produced", "cost"),
+            "quantity": (F.col("quantity_produced"), exact.amount),
+            "cost": (F.col("cost"), exact.amount),
+            "efficiency": (scalar.safe_ratio("quantity_produced", "cost"), exact.ratio),
         },
     )
-    harvest_side = Side("harvest", harvest, "crop_id", {"amount": F.col("yield_amount")})
+    harvest_side = Side("harvest", harvest, "crop_id", {"amount": (F.col("yield_amount"), exact.amount)})
     sides = [yield_side, production_side, harvest_side]
     key = ["crop_type", "crop_variety", "crop_name", "growing_season", "water_needs"]
     if fanout == "reference":
@@ -195,14 +194,14 @@ def crop_performance(
         )
         named = single.withColumn("crop_variety", F.col("crop_name"))
     by_crop = (
-        join_condensed(named, sides, amount)
+        join_condensed(named, sides)
         .groupBy(*key)
         .agg(
-            product_mean(yield_side, met, "per_hectare", amount).alias("avg_yield_per_hectare"),
-            product_mean(production_side, met, "quantity", amount).alias("avg_quantity_produced"),
-            product_mean(production_side, met, "cost", amount).alias("avg_production_cost"),
-            product_mean(production_side, met, "efficiency", amount).alias("production_efficiency"),
-            product_mean(harvest_side, met, "amount", amount).alias("avg_harvest_yield"),
+            product_mean(yield_side, met, "per_hectare").alias("avg_yield_per_hectare"),
+            product_mean(production_side, met, "quantity").alias("avg_quantity_produced"),
+            product_mean(production_side, met, "cost").alias("avg_production_cost"),
+            product_mean(production_side, met, "efficiency").alias("production_efficiency"),
+            product_mean(harvest_side, met, "amount").alias("avg_harvest_yield"),
         )
     )
     score = (
@@ -233,16 +232,16 @@ def seasonal_performance(
     Records are averaged before farms and crops are joined to them, and the weather every row meets is one
     summary row.
     """
-    measure, amount = exactness(exact)
+    exact = exact or NOT_EXACT
     metrics = (
         records.withColumn("season", scalar.season_of("month"))
         .groupBy("farm_id", "crop_id", "year", "season")
         .agg(
-            agg.mean("actual_yield", measure).alias("avg_yield"),
-            agg.mean("expected_yield", measure).alias("avg_expected_yield"),
-            agg.mean("yield_percentage", measure).alias("avg_yield_percentage"),
-            agg.mean("sustainability_score", measure).alias("avg_sustainability_score"),
-            agg.mean("growing_period_days", measure).alias("avg_growing_period"),
+            agg.mean("actual_yield", exact.measure).alias("avg_yield"),
+            agg.mean("expected_yield", exact.measure).alias("avg_expected_yield"),
+            agg.mean("yield_percentage", exact.measure).alias("avg_yield_percentage"),
+            agg.mean("sustainability_score", exact.measure).alias("avg_sustainability_score"),
+            agg.mean("growing_period_days", exact.measure).alias("avg_growing_period"),
         )
     )
     changed = change_from_previous(
@@ -255,9 +254,9 @@ def seasonal_performance(
         named,
         weather,
         {
-            "avg_temperature": agg.mean("temperature", amount),
-            "avg_precipitation": agg.mean("precipitation", amount),
-            "avg_humidity": agg.mean("humidity", amount),
+            "avg_temperature": agg.mean("temperature", exact.amount),
+            "avg_precipitation": agg.mean("precipitation", exact.amount),
+            "avg_humidity": agg.mean("humidity", exact.amount),
         },
     )
     return attached.select(
@@ -306,7 +305,7 @@ def sustainability_metrics(
     are grouping keys, and each record of a farm and crop meets the same rows. Several sustainability or soil
     rows of a farm give one result row each; with ``fanout="none"`` one of them is taken.
     """
-    measure, amount = exactness(exact)
+    exact = exact or NOT_EXACT
     own_keys = [
         "farm_id", "crop_type", "crop_id", "year", "month", "planting_date", "sustainability_score",
         "farm_size_acres", "actual_yield", "expected_yield", "growing_period_days",
@@ -315,8 +314,8 @@ def sustainability_metrics(
         records.where(F.col("sustainability_score").isNotNull())
         .groupBy(*own_keys)
         .agg(
-            agg.mean("soil_moisture", measure).alias("avg_soil_moisture"),
-            agg.mean("soil_temperature", measure).alias("avg_soil_temperature"),
+            agg.mean("soil_moisture", exact.measure).alias("avg_soil_moisture"),
+            agg.mean("soil_temperature", exact.measure).alias("avg_soil_temperature"),
         )
         .withColumnRenamed("crop_type", "farm_type")
     )
@@ -338,8 +337,8 @@ def sustainability_metrics(
         joined,
         weather,
         {
-            "avg_precipitation": agg.mean("precipitation", amount),
-            "avg_humidity": agg.mean("humidity", amount),
+            "avg_precipitation": agg.mean("precipitation", exact.amount),
+            "avg_humidity": agg.mean("humidity", exact.amount),
         },
     )
     return attached.select(

@@ -7,9 +7,11 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martflow.functions.scalar import month_floor
 from martflow.operators.conform import align, present
+from martflow.sources.files import read_seed
 
 
 def replace_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
@@ -21,6 +23,13 @@ def replace_table(df: DataFrame, table: str, path: str | None = None) -> DataFra
     return df.sparkSession.table(table)
 
 
+def reload_seed(
+    spark: SparkSession, csv_path: str, schema: T.StructType | str, table: str, path: str | None = None
+) -> DataFrame:
+    """Replace a table by the full content of its seed file."""
+    return replace_table(read_seed(spark, csv_path, schema), table, path)
+
+
 def create_if_absent(
     spark: SparkSession, table: str, build: Callable[[], DataFrame], path: str | None = None
 ) -> bool:

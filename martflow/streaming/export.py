@@ -34,7 +34,10 @@ def export_new_files(
     def append(batch: DataFrame, batch_id: int) -> None:
         month = F.date_format(month_floor(date_column), "yyyy-MM")
         dated = shape(batch).withColumn("month", month)
-        unseen = not_yet_stored(dated, target, record_id, batch_id, "month", "export_id")
+        months = dated.agg(F.min("month"), F.max("month")).first()
+        if months[0] is None:
+            return
+        unseen = not_yet_stored(dated, target, record_id, batch_id, tuple(months), "month", "export_id")
         stamped = unseen.withColumn("export_id", F.lit(batch_id).cast("bigint"))
         write_partitioned(stamped, target, ["month", "export_id"], cluster_by)
 

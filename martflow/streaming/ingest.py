@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from martflow.operators.conform import parse_json, split_valid
+from martflow.operators.conform import is_sound, parse_json
 from martflow.sinks.files import write_partitioned
 from martflow.sources.messages import Landing, Topic, read_messages
 
@@ -67,37 +67,42 @@ def read_if_any(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 
 def not_yet_stored(
-    fresh: DataFrame, path: str, message_id: str, batch_id: int, period: str = DAY, batch: str = BATCH
+    fresh: DataFrame,
+    path: str,
+    message_id: str,
+    batch_id: int,
+    periods: tuple,
+    period: str = DAY,
+    batch: str = BATCH,
 ) -> DataFrame:
     """Records whose id earlier batches have not stored.
 
     A redelivered message carries the same event time, so only the periods this batch touches are read.
     """
     kept = T.StructType([fresh.schema[message_id], fresh.schema[period], T.StructField(batch, T.LongType())])
-    first, last = fresh.agg(F.min(period), F.max(period)).first()
-    if first is None:
-        return fresh
     stored = read_if_any(fresh.sparkSession, path, kept)
-    earlier = stored.where(F.col(period).between(F.lit(first), F.lit(last)) & (F.col(batch) < batch_id))
-    return fresh.join(earlier, [period, message_id], "left_anti")
+    touched = F.col(period).between(F.lit(periods[0]), F.lit(periods[1]))
+    return fresh.join(stored.where(touched & (F.col(batch) < batch_id)), [period, message_id], "left_anti")
 
 
 def store_batch(lake: Lake, form: MessageFormat) -> Callable[[DataFrame, int], None]:
     """The step that stores one batch of message texts."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_json(batch, form.schema, keep=MESSAGE).persist()
+        parsed = parse_json(batch, form.schema, keep=MESSAGE).withColumn(DAY, F.to_date(form.event_time)).persist()
+        stamp = F.lit(batch_id).cast("bigint")
+        sound = is_sound(form.required)
         try:
-            good, bad = split_valid(parsed, form.required)
-            records = (
-                good.drop(MESSAGE, "_corrupt")
-                .withColumn(DAY, F.to_date(form.event_time))
-                .dropDuplicates([DAY, form.message_id])
-            )
-            records = not_yet_stored(records, lake.records, form.message_id, batch_id)
-            stamp = F.lit(batch_id).cast("bigint")
-            write_partitioned(records.withColumn(BATCH, stamp), lake.records, [DAY, BATCH])
-            write_partitioned(bad.select(MESSAGE).withColumn(BATCH, stamp), lake.quarantine, [BATCH])
+            first, last, misfits = parsed.agg(
+                F.min(F.when(sound, F.col(DAY))), F.max(F.when(sound, F.col(DAY))), F.count_if(~sound)
+            ).first()
+            if first is not None:
+                records = parsed.where(sound).drop(MESSAGE, "_corrupt").dropDuplicates([DAY, form.message_id])
+                records = not_yet_stored(records, lake.records, form.message_id, batch_id, (first, last))
+                write_partitioned(records.withColumn(BATCH, stamp), lake.records, [DAY, BATCH])
+            if misfits:
+                rejected = parsed.where(~sound).select(MESSAGE).withColumn(BATCH, stamp)
+                write_partitioned(rejected, lake.quarantine, [BATCH])
         finally:
             parsed.unpersist()
 

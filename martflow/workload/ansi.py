@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 
-def mean(value: str, scale: int = 4) -> str:
-    return f"(CAST(SUM(CAST({value} AS DECIMAL(18,{scale}))) AS DOUBLE) / NULLIF(COUNT({value}), 0))"
+def total(value: str, scale: int = 4) -> str:
+    return f"CAST(SUM(CAST({value} AS DECIMAL({18 if scale <= 4 else 28},{scale}))) AS DOUBLE)"
 
 
-def total(value: str, scale: int = 4) -> str:
-    return f"CAST(SUM(CAST({value} AS DECIMAL(18,{scale}))) AS DOUBLE)"
+def mean(value: str, scale: int = 4) -> str:
+    return f"({total(value, scale)} / NULLIF(COUNT({value}), 0))"
 
 
 def days(start: str, end: str) -> str:

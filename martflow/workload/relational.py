@@ -21,6 +21,7 @@ from martflow.workload.scalars import LINE, LINE_SQL
 
 AS_OF_YEAR = 2001
 AMOUNT = "decimal(18,4)"
+RATIO = "decimal(28,10)"
 
 
 @query("scan_glob_count", "SELECT COUNT(*) AS n_rows FROM lineitem")
@@ -307,13 +308,13 @@ def agg_ratio_of_means(b: Binding) -> DataFrame:
 @query(
     "agg_mean_of_ratio",
     sql(
-        f"""SELECT farm_id, {mean('actual_yield / NULLIF(farm_size_acres, 0)', 6)} AS yield_per_acre,
+        f"""SELECT farm_id, {mean('actual_yield / NULLIF(farm_size_acres, 0)', 10)} AS yield_per_acre,
         {total('actual_yield')} AS total_actual FROM records GROUP BY farm_id"""
     ),
 )
 def agg_mean_of_ratio(b: Binding) -> DataFrame:
     return b.records.groupBy("farm_id").agg(
-        agg.mean_of_ratio("actual_yield", "farm_size_acres", "decimal(18,6)").alias("yield_per_acre"),
+        agg.mean_of_ratio("actual_yield", "farm_size_acres", RATIO).alias("yield_per_acre"),
         agg.total("actual_yield", MEASURE).alias("total_actual"),
     )
 

@@ -13,13 +13,13 @@ from martflow.functions.aggregate import FixedPoint
 from martflow.plans import marts, olap, seeded, staging, star
 from martflow.workload.ansi import days, mean, month, season, sql, total, year
 from martflow.workload.registry import query
-from martflow.workload.relational import AMOUNT, AS_OF_YEAR, year_mean
+from martflow.workload.relational import AMOUNT, AS_OF_YEAR, RATIO, year_mean
 from martflow.workload.scalars import NOISE_SQL
 
 AS_OF = datetime(2024, 1, 1)
 TODAY = date(2024, 1, 1)
 LOADED = "DATE '2024-01-01' AS loaded_at"
-RECORDS = FixedPoint(MEASURE, AMOUNT)
+RECORDS = FixedPoint(MEASURE, RATIO, AMOUNT)
 AUDIT = ["timestamp", "created_at", "loaded_at"]
 
 
@@ -281,32 +281,43 @@ def seed_fallback_rollups(b: Binding) -> DataFrame:
 # Marts
 
 
-FARM_SIDES = {
-    "by_type": f"""SELECT farm_id, crop_type AS farm_type, {mean('soil_moisture')} AS avg_soil_moisture,
-        {mean('soil_temperature')} AS avg_soil_temperature, {mean('actual_yield')} AS avg_actual_yield,
-        {mean('expected_yield')} AS avg_expected_yield, {total('actual_yield')} AS plain_total,
-        {mean('yield_percentage')} AS avg_yield_percentage, {mean('sustainability_score')} AS avg_sustainability_score,
-        {year_mean('year >= 2000')} AS recent_avg_yield, {mean('growing_period_days')} AS avg_growing_period,
-        {mean('actual_yield / NULLIF(farm_size_acres, 0)')} AS yield_per_acre
-        FROM {{source}} GROUP BY farm_id, crop_type""",
-    "soil_side": f"""SELECT farm_id, COUNT(*) AS k, {mean('ph_level')} AS avg_soil_ph,
-        {mean('organic_matter')} AS avg_organic_matter FROM soil GROUP BY farm_id""",
-    "use_side": f"""SELECT farm_id, COUNT(*) AS k, {mean('water_usage')} AS avg_water_usage,
-        {mean('carbon_footprint')} AS avg_carbon_footprint, {mean('pesticide_usage')} AS avg_pesticide_usage,
-        {mean('COALESCE(water_usage, 0)')} AS water, {mean('COALESCE(carbon_footprint, 0)')} AS carbon
-        FROM sustainability GROUP BY farm_id""",
-    "yield_side": f"""SELECT farm_id, COUNT(*) AS k, {mean('yield_per_hectare')} AS avg_yield_per_hectare
-        FROM yields GROUP BY farm_id""",
-    "metrics": """SELECT f.farm_id, farm_name, farm_location, farm_type, farm_size AS avg_farm_size_acres,
-        avg_soil_moisture, avg_soil_temperature, avg_soil_ph, avg_organic_matter, avg_water_usage,
-        avg_carbon_footprint, avg_pesticide_usage, avg_yield_per_hectare, avg_actual_yield, avg_expected_yield,
-        plain_total * (COALESCE(s.k, 1) * COALESCE(u.k, 1) * COALESCE(y.k, 1))::DOUBLE AS total_actual_yield,
-        avg_yield_percentage, avg_sustainability_score, recent_avg_yield, avg_growing_period, yield_per_acre,
-        avg_yield_percentage * 0.4::DOUBLE + avg_sustainability_score * 0.3::DOUBLE
-        + (100 - COALESCE(water, 0) * 0.1::DOUBLE) + (100 - COALESCE(carbon, 0) * 0.2::DOUBLE) AS farm_performance_score
-        FROM farms f LEFT JOIN by_type t ON f.farm_id = t.farm_id LEFT JOIN soil_side s ON f.farm_id = s.farm_id
-        LEFT JOIN use_side u ON f.farm_id = u.farm_id LEFT JOIN yield_side y ON f.farm_id = y.farm_id""",
-}
+def farm_sides(source: str, scale: int) -> dict[str, str]:
+    """The aggregates of the farm mart, records being summed at a number of decimals."""
+
+    def of_record(value: str) -> str:
+        return mean(value, scale)
+
+    return {
+        "by_type": f"""SELECT farm_id, crop_type AS farm_type, {of_record('soil_moisture')} AS avg_soil_moisture,
+            {of_record('soil_temperature')} AS avg_soil_temperature, {of_record('actual_yield')} AS avg_actual_yield,
+            {of_record('expected_yield')} AS avg_expected_yield, {total('actual_yield', scale)} AS plain_total,
+            {of_record('yield_percentage')} AS avg_yield_percentage,
+            {of_record('sustainability_score')} AS avg_sustainability_score,
+            {of_record('CASE WHEN year >= 2000 THEN actual_yield END')} AS recent_avg_yield,
+            {of_record('growing_period_days')} AS avg_growing_period,
+            {mean('actual_yield / NULLIF(farm_size_acres, 0)', 10)} AS yield_per_acre
+            FROM {source} GROUP BY farm_id, crop_type""",
+        "soil_side": f"""SELECT farm_id, COUNT(*) AS k, {mean('ph_level')} AS avg_soil_ph,
+            {mean('organic_matter')} AS avg_organic_matter FROM soil GROUP BY farm_id""",
+        "use_side": f"""SELECT farm_id, COUNT(*) AS k, {mean('water_usage')} AS avg_water_usage,
+            {mean('carbon_footprint')} AS avg_carbon_footprint, {mean('pesticide_usage')} AS avg_pesticide_usage,
+            {mean('COALESCE(water_usage, 0)')} AS water, {mean('COALESCE(carbon_footprint, 0)')} AS carbon
+            FROM sustainability GROUP BY farm_id""",
+        "yield_side": f"""SELECT farm_id, COUNT(*) AS k, {mean('yield_per_hectare')} AS avg_yield_per_hectare
+            FROM yields GROUP BY farm_id""",
+        "metrics": """SELECT f.farm_id, farm_name, farm_location, farm_type, farm_size AS avg_farm_size_acres,
+            avg_soil_moisture, avg_soil_temperature, avg_soil_ph, avg_organic_matter, avg_water_usage,
+            avg_carbon_footprint, avg_pesticide_usage, avg_yield_per_hectare, avg_actual_yield, avg_expected_yield,
+            plain_total * (COALESCE(s.k, 1) * COALESCE(u.k, 1) * COALESCE(y.k, 1))::DOUBLE AS total_actual_yield,
+            avg_yield_percentage, avg_sustainability_score, recent_avg_yield, avg_growing_period, yield_per_acre,
+            avg_yield_percentage * 0.4::DOUBLE + avg_sustainability_score * 0.3::DOUBLE
+            + (100 - COALESCE(water, 0) * 0.1::DOUBLE) + (100 - COALESCE(carbon, 0) * 0.2::DOUBLE)
+              AS farm_performance_score
+            FROM farms f LEFT JOIN by_type t ON f.farm_id = t.farm_id LEFT JOIN soil_side s ON f.farm_id = s.farm_id
+            LEFT JOIN use_side u ON f.farm_id = u.farm_id LEFT JOIN yield_side y ON f.farm_id = y.farm_id""",
+    }
+
+
 FARM_RANKED = """SELECT *,
     ROW_NUMBER() OVER (ORDER BY avg_yield_percentage DESC NULLS LAST, farm_id, farm_type NULLS LAST) AS yield_rank,
     ROW_NUMBER() OVER (ORDER BY avg_sustainability_score DESC NULLS LAST, farm_id, farm_type NULLS LAST)
@@ -315,9 +326,8 @@ FARM_RANKED = """SELECT *,
     FROM metrics"""
 
 
-def farm_sql(source: str, **more: str) -> str:
-    sides = dict(FARM_SIDES, by_type=FARM_SIDES["by_type"].format(source=source))
-    return sql(FARM_RANKED, **more, **sides)
+def farm_sql(source: str, scale: int = 4, **more: str) -> str:
+    return sql(FARM_RANKED, **more, **farm_sides(source, scale))
 
 
 @query("farm_performance", farm_sql("records"))
@@ -327,18 +337,18 @@ def farm_performance(b: Binding) -> DataFrame:
     )
 
 
-@query("farm_performance_synth", farm_sql("staged", staged=STAGED_FULL_DATA))
+@query("farm_performance_synth", farm_sql("staged", 6, staged=STAGED_FULL_DATA))
 def farm_performance_synth(b: Binding) -> DataFrame:
     """The farm mart over the seed-derived records."""
     records = seeded.staged_full_data(b.shared().seeds, AS_OF)
     return marts.farm_performance(
-        b.farms, records, b.soil, b.sustainability, b.yields, AS_OF_YEAR, FixedPoint()
+        b.farms, records, b.soil, b.sustainability, b.yields, AS_OF_YEAR, FixedPoint("decimal(28,6)", RATIO, AMOUNT)
     )
 
 
-def product_mean(name: str, others: str) -> str:
+def product_mean(name: str, others: str, scale: int = 4) -> str:
     return (
-        f"CAST(SUM(CAST(sum_{name} * {others} AS DECIMAL(38,4))) AS DOUBLE) / "
+        f"CAST(SUM(CAST(sum_{name} * {others} AS DECIMAL(38,{scale}))) AS DOUBLE) / "
         f"NULLIF(CAST(SUM(CAST(n_{name} * {others} AS DECIMAL(38,0))) AS DOUBLE), 0)"
     )
 
@@ -363,7 +373,7 @@ def crop_sql() -> str:
                 COUNT(yield_per_hectare) AS n_y FROM yields GROUP BY crop_id) y ON c.crop_id = y.crop_id
             LEFT JOIN (SELECT crop_id, COUNT(*) AS kp, {total('quantity_produced')} AS sum_q,
                 COUNT(quantity_produced) AS n_q, {total('cost')} AS sum_c, COUNT(cost) AS n_c,
-                {total('quantity_produced / NULLIF(cost, 0)')} AS sum_e,
+                {total('quantity_produced / NULLIF(cost, 0)', 10)} AS sum_e,
                 COUNT(quantity_produced / NULLIF(cost, 0)) AS n_e
                 FROM production GROUP BY crop_id) p ON c.crop_id = p.crop_id
             LEFT JOIN (SELECT crop_id, COUNT(*) AS kh, {total('yield_amount')} AS sum_h, COUNT(yield_amount) AS n_h
@@ -372,7 +382,7 @@ def crop_sql() -> str:
             {product_mean('y', f'({KP} * {KH})')} AS avg_yield_per_hectare,
             {product_mean('q', f'({KY} * {KH})')} AS avg_quantity_produced,
             {product_mean('c', f'({KY} * {KH})')} AS avg_production_cost,
-            {product_mean('e', f'({KY} * {KH})')} AS production_efficiency,
+            {product_mean('e', f'({KY} * {KH})', 10)} AS production_efficiency,
             {product_mean('h', f'({KY} * {KP})')} AS avg_harvest_yield
             FROM sums GROUP BY crop_type, crop_name, growing_season, water_needs""",
         metrics="""SELECT c.crop_type, crop_name AS crop_variety, crop_name, growing_season, water_needs,

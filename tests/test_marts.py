@@ -126,7 +126,7 @@ def by_key(rows, *names):
     return sorted(rows, key=lambda r: [(r[n] is None, str(r[n])) for n in names])
 
 
-@pytest.mark.parametrize("exact", [None, FixedPoint(), FixedPoint(2, "decimal(18,6)")])
+@pytest.mark.parametrize("exact", [None, FixedPoint(), FixedPoint(4, 6, "decimal(18,6)")])
 @pytest.mark.parametrize("window_rows", [100, 0])
 def test_farm_performance(tables, exact, window_rows):
     found = marts.farm_performance(
@@ -249,7 +249,7 @@ def test_product_mean_equals_the_product(spark):
     left = spark.createDataFrame([(1, 2.0), (1, None), (2, 5.0), (3, 1.0)], "k int, x double")
     right = spark.createDataFrame([(1, 7.0), (1, 8.0), (1, 9.0), (3, None)], "k int, y double")
     base = spark.createDataFrame([(1,), (2,), (3,), (4,)], "k int")
-    sides = [Side("l", left, "k", {"x": left.x}), Side("r", right, "k", {"y": right.y})]
+    sides = [Side("l", left, "k", {"x": (left.x, None)}), Side("r", right, "k", {"y": (right.y, None)})]
     met = [s.name for s in sides]
     row = join_condensed(base, sides).agg(
         product_mean(sides[0], met, "x").alias("x"), product_mean(sides[1], met, "y").alias("y")

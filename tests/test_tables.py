@@ -46,3 +46,12 @@ def test_replace_and_temporary_view(spark, path):
     assert spark.table(table).columns == ["x"] and spark.table(table).count() == 5
     assert not spark.catalog.tableExists("passing")
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_seed_reload_replaces_everything(spark, tmp_path):
+    table, file = table_name("seed"), tmp_path / "seed.csv"
+    for text, expected in (("id,v\n1,a\n2,b\n", [(1, "a"), (2, "b")]), ("id,v\n2,c\n", [(2, "c")])):
+        file.write_text(text)
+        stored = tables.reload_seed(spark, str(file), "id int, v string", table, str(tmp_path / "stored"))
+        assert rows(stored) == expected
+    spark.sql(f"DROP TABLE {table}")
