@@ -49,25 +49,37 @@ def join_cast_key(
     return base.join(matched, as_id(base_key) == F.col("_dim_key"), how).drop("_dim_key")
 
 
-def repeat_by_matches(
-    base: DataFrame, other: DataFrame, keys: Sequence[str], chunk: int = MATCH_CHUNK
-) -> DataFrame:
-    """Left join to a table of which only the row multiplicity matters.
+MATCHES = "_matches"
+
+
+def count_matches(base: DataFrame, other: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
+    """Add the number of rows each base row matches in another table, and find the largest such number."""
+    counted = materialise(other.groupBy(*keys).agg(F.count(F.lit(1)).alias(MATCHES)), "matches")
+    most = counted.agg(F.max(MATCHES)).first()[0] or 1
+    return base.join(counted, list(keys), "left"), most
+
 
-    The other side is counted per key before it is joined. A base row comes out once per match, and once
-    when there is none. Where a key has very many matches, its rows are cut into chunks that are spread over
-    the cluster before they are repeated.
+def repeat_rows(counted: DataFrame, most: int, chunk: int = MATCH_CHUNK) -> DataFrame:
+    """Repeat each row as often as it has matches, and once when it has none.
+
+    Rows with very many matches are cut into chunks that are spread over the cluster before they are repeated.
     """
-    counted = materialise(other.groupBy(*keys).agg(F.count(F.lit(1)).alias("_matches")), "matches")
-    most = counted.agg(F.max("_matches")).first()[0] or 1
     one = F.lit(1).cast("bigint")
-    joined = base.join(counted, list(keys), "left").withColumn("_matches", F.coalesce("_matches", one))
+    repeated = counted.withColumn(MATCHES, F.coalesce(MATCHES, one))
     if most > chunk:
-        starts = F.sequence(F.lit(0).cast("bigint"), F.col("_matches") - 1, F.lit(chunk).cast("bigint"))
-        tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        joined = joined.withColumn("_start", F.explode(starts)).repartition(tasks)
-        joined = joined.withColumn("_matches", F.least(F.lit(chunk), F.col("_matches") - F.col("_start")))
-    return joined.withColumn("_copy", F.explode(F.sequence(one, "_matches"))).select(*base.columns)
+        tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        starts = F.sequence(F.lit(0).cast("bigint"), F.col(MATCHES) - 1, F.lit(chunk).cast("bigint"))
+        repeated = repeated.withColumn("_start", F.explode(starts)).repartition(tasks)
+        repeated = repeated.withColumn(MATCHES, F.least(F.lit(chunk), F.col(MATCHES) - F.col("_start"))).drop("_start")
+    return repeated.withColumn("_copy", F.explode(F.sequence(one, MATCHES))).drop(MATCHES, "_copy")
+
+
+def repeat_by_matches(
+    base: DataFrame, other: DataFrame, keys: Sequence[str], chunk: int = MATCH_CHUNK
+) -> DataFrame:
+    """Left join to a table of which only the row multiplicity matters, by its counts per key."""
+    counted, most = count_matches(base, other, keys)
+    return repeat_rows(counted, most, chunk).select(*base.columns)
 
 
 def attach_summary(base: DataFrame, lookup: DataFrame, measures: Mapping[str, Column]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from martflow.functions import scalar
 from martflow.functions.aggregate import Exact, mean
 from martflow.operators.conform import with_constants
-from martflow.operators.joins import first_pairs, one_per_key, repeat_by_matches, star
+from martflow.operators.joins import count_matches, first_pairs, one_per_key, repeat_rows, star
 
 # Growing days of each season.
 SEASON_DAYS = {"Annual": 365, "Spring": 90, "Summer": 100, "Fall": 80, "Winter": 120}
@@ -122,13 +122,15 @@ def day_by_season(year: Column, season: Column, days: Mapping[str, tuple[int, in
     return scalar.first_match(rules, scalar.date_in_year(year, otherwise))
 
 
-def season_dates(yields: DataFrame, crops: DataFrame, wrap_year: bool = False) -> DataFrame:
-    """Planting and harvest date of each yield's year by its crop's season.
+def season_dates(
+    yields: DataFrame, crops: DataFrame, wrap_year: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Planting and harvest date of each yield's year by its crop's season, with further crop columns.
 
     A winter harvest lies before its planting, both being in one year; ``wrap_year`` moves it to the next.
     """
     joined = yields.select("farm_id", "crop_id", "year").join(
-        crops.select("crop_id", "growing_season"), "crop_id"
+        crops.select("crop_id", "growing_season", *keep), "crop_id"
     )
     year, season = F.col("year"), F.col("growing_season")
     planting = day_by_season(year, season, PLANTING_DAY, PLANTING_DAY_OTHERWISE)
@@ -136,34 +138,36 @@ def season_dates(yields: DataFrame, crops: DataFrame, wrap_year: bool = False) -
     if wrap_year:
         harvest = F.when(harvest < planting, F.add_months(harvest, 12)).otherwise(harvest)
     return joined.select(
-        "farm_id", "crop_id", "year", planting.alias("planting_date"), harvest.alias("harvest_date")
+        "farm_id", "crop_id", "year", planting.alias("planting_date"), harvest.alias("harvest_date"), *keep
     )
 
 
 def seed_records(seeds: Tables, fanout: str = "reference", wrap_year: bool = False) -> DataFrame:
     """Farms, their dated crops, harvests, sustainability and soil, one row per record.
 
+    What belongs to a farm, a crop or a harvest is put together first, so records are shuffled once for each.
+
     With ``fanout="reference"`` a record comes out once per matching harvest, yield of that harvest,
     sustainability and soil row. With ``"none"`` each of those counts once per key.
     """
     farms, crops, harvest = seeds["farm"], seeds["crop"], seeds["harvest"]
     sustainability, soil = seeds["sustainability"], seeds["soil"]
+    seasons, names = crops.select("crop_id", "growing_season"), crops.select("crop_id", "crop_name", "crop_type")
+    amounts = harvest.select("harvest_id", "farm_id", "crop_id", "yield_amount")
     if fanout == "none":
-        harvest = one_per_key(harvest, ["farm_id", "crop_id"])
+        amounts = one_per_key(amounts, ["farm_id", "crop_id"])
         sustainability, soil = one_per_key(sustainability, ["farm_id"]), one_per_key(soil, ["farm_id"])
-    dated = season_dates(seeds["yield"], crops, wrap_year).drop("year")
+        crop_side, most = one_per_key(crops, ["crop_id"]), 1
+    else:
+        crop_side = seasons.join(names, "crop_id")
+        matched = seeds["yield"].where("harvest_id is not null")
+        amounts, most = count_matches(amounts, matched, ["harvest_id"])
     use = sustainability.select("farm_id", "water_usage", "carbon_footprint", "pesticide_usage")
     ground = soil.select("farm_id", "ph_level", "organic_matter")
     farm_side = star(farms, [(use, ["farm_id"]), (ground, ["farm_id"])])
-    amounts = harvest.select("harvest_id", "farm_id", "crop_id", "yield_amount")
-    joined = (
-        dated.join(crops.select("crop_id", "crop_name", "crop_type"), "crop_id")
-        .join(farm_side, "farm_id")
-        .join(amounts, ["farm_id", "crop_id"], "left")
-    )
-    if fanout == "none":
-        return joined
-    return repeat_by_matches(joined, seeds["yield"].where("harvest_id is not null"), ["harvest_id"])
+    dated = season_dates(seeds["yield"], crop_side, wrap_year, ["crop_name", "crop_type"]).drop("year")
+    joined = dated.join(farm_side, "farm_id").join(amounts, ["farm_id", "crop_id"], "left")
+    return joined if fanout == "none" else repeat_rows(joined, most)
 
 
 def derived_attributes() -> dict[str, Column]:

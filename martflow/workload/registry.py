@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martflow.bindings.testdata import Binding
+from martflow.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -18,7 +19,7 @@ def query(name: str, sql: str | None = None):
 
     def register(build: Callable[[Binding], DataFrame]):
         def run(spark: SparkSession, directory: str) -> DataFrame:
-            return build(Binding(spark, directory))
+            return build(Binding(prepare(spark), directory))
 
         run.__name__ = name
         QUERIES[name] = run

@@ -63,3 +63,32 @@ def test_unbroadcast_dimension_joins_once(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert text.count("FullOuter") == 2 and text.count("LeftOuter") == 3
+
+
+def test_hot_keys_are_split(spark):
+    """A farm with a third of all records: its join is split, also where an aggregate on the farm follows."""
+    from pyspark.sql import functions as F
+
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000)
+    payload = F.sha2(F.col("id").cast("string"), 256).alias("payload")
+    records = spark.range(100_000).select(hot.alias("farm_id"), (F.col("id") % 7).alias("x"), payload)
+    farms = spark.range(1000).select(F.col("id").alias("farm_id"), F.lit("n").alias("farm_name"))
+    lowered = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+    }
+    for key, value in lowered.items():
+        spark.conf.set(key, value)
+    try:
+        joined = records.repartition(8).join(farms, "farm_id", "left")
+        counted = joined.groupBy("farm_id", "x").agg(F.count(F.lit(1)).alias("n"), F.max("payload"))
+        found = counted.agg(F.sum("n")).first()[0]
+        counted.collect()
+        text = plan(counted)
+    finally:
+        for key in lowered:
+            spark.conf.unset(key)
+    assert found == 100_000 and "SortMergeJoin(skew=true)" in text
