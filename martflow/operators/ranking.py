@@ -73,8 +73,8 @@ def ranged_rank(df: DataFrame, rank: Rank) -> DataFrame:
 
 def add_ranks(df: DataFrame, ranks: Sequence[Rank], window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Add several row numbers; the input is computed once, and its size decides how they are computed."""
-    base = materialise(df, "to-rank")
-    small = base.count() <= window_rows
+    base = materialise(df, "to-rank") if window_rows or len(ranks) > 1 else df
+    small = bool(window_rows) and base.count() <= window_rows
     for rank in ranks:
         base = window_rank(base, rank) if small else ranged_rank(base, rank)
     return base.withColumns({rank.name: F.col(rank.name).cast("bigint") for rank in ranks})

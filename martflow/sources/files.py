@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -67,7 +68,7 @@ def schema_groups(spark: SparkSession, path: str, glob: str = PARQUET_GLOB) -> d
     groups: dict[str, list[str]] = {}
     for row in named.mapInPandas(_footer_schemas, "path string, signature string").toLocalIterator():
         groups.setdefault(row.signature, []).append(row.path)
-    return {signature: sorted(files) for signature, files in sorted(groups.items())}
+    return {signature: sorted(map(unquote, files)) for signature, files in sorted(groups.items())}
 
 
 def read_drifting(

@@ -4,7 +4,15 @@ from __future__ import annotations
 
 
 def total(value: str, scale: int = 4) -> str:
-    return f"CAST(SUM(CAST({value} AS DECIMAL({18 if scale <= 4 else 28},{scale}))) AS DOUBLE)"
+    """Sum at a number of decimals; beyond five of them as two integer sums."""
+    if scale <= 5:
+        return f"CAST(SUM(CAST({value} AS DECIMAL(18,{scale}))) AS DOUBLE)"
+    scaled, finer = f"(({value}) * 100000::DOUBLE)", 10 ** (scale - 5)
+    return (
+        f"(CAST(SUM(CAST(FLOOR({scaled}) AS HUGEINT)) * {finer} + "
+        f"SUM(CAST(ROUND_EVEN(({scaled} - FLOOR({scaled})) * {finer}::DOUBLE, 0) AS HUGEINT)) AS DOUBLE) "
+        f"/ {10**scale}::DOUBLE)"
+    )
 
 
 def mean(value: str, scale: int = 4) -> str:

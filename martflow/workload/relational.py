@@ -21,7 +21,7 @@ from martflow.workload.scalars import LINE, LINE_SQL
 
 AS_OF_YEAR = 2001
 AMOUNT = "decimal(18,4)"
-RATIO = "decimal(28,10)"
+RATIO = 10
 
 
 @query("scan_glob_count", "SELECT COUNT(*) AS n_rows FROM lineitem")

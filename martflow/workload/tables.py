@@ -32,8 +32,8 @@ def register_star() -> None:
         query(f"dim_{name}", sql(f"SELECT DISTINCT {quoted(columns)} FROM raw"))(
             lambda b, name=name: star.dimension(star.conformed(b.raw), name)
         )
-    for name in ("crop_yield", "sustainability"):
-        query(f"fact_{name}", sql(f"SELECT {quoted(agri.FACTS[name])} FROM raw"))(
+    for label, name in (("yield", "crop_yield"), ("sustainability", "sustainability")):
+        query(f"fact_{label}", sql(f"SELECT {quoted(agri.FACTS[name])} FROM raw"))(
             lambda b, name=name: star.fact(star.conformed(b.raw), name)
         )
 
@@ -342,7 +342,7 @@ def farm_performance_synth(b: Binding) -> DataFrame:
     """The farm mart over the seed-derived records."""
     records = seeded.staged_full_data(b.shared().seeds, AS_OF)
     return marts.farm_performance(
-        b.farms, records, b.soil, b.sustainability, b.yields, AS_OF_YEAR, FixedPoint("decimal(28,6)", RATIO, AMOUNT)
+        b.farms, records, b.soil, b.sustainability, b.yields, AS_OF_YEAR, FixedPoint(6, RATIO, AMOUNT)
     )
 
 

@@ -29,8 +29,8 @@ def drifting_files(folder):
 
 
 def test_drifting_files_are_read_once_per_schema(spark, tmp_path):
-    drifting_files(tmp_path / "raw")
-    path = str(tmp_path / "raw")
+    drifting_files(tmp_path / "raw files")
+    path = str(tmp_path / "raw files")
     groups = sources.schema_groups(spark, path)
     assert sorted(len(files) for files in groups.values()) == [1, 1, 2]
     df = sources.read_drifting(spark, path, ["Pesticide_Amount", "Irrigation_Amount"])
@@ -100,6 +100,11 @@ def test_default_only_for_a_missing_path(spark, path):
         sources.read_or_default(lambda: default.select("missing_column"), lambda: default)
 
 
+def test_rows_with_a_schema(spark):
+    df = sources.read_rows(spark, [("F", None)], "Farm_ID string not null, size double")
+    assert not df.schema["Farm_ID"].nullable and rows(df) == [("F", None)]
+
+
 def test_data_present(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "full"))
     spark.range(0).write.parquet(str(tmp_path / "empty"))

@@ -126,7 +126,7 @@ def by_key(rows, *names):
     return sorted(rows, key=lambda r: [(r[n] is None, str(r[n])) for n in names])
 
 
-@pytest.mark.parametrize("exact", [None, FixedPoint(), FixedPoint(4, 6, "decimal(18,6)")])
+@pytest.mark.parametrize("exact", [None, FixedPoint(), FixedPoint("decimal(18,4)", "decimal(28,10)", "decimal(18,6)")])
 @pytest.mark.parametrize("window_rows", [100, 0])
 def test_farm_performance(tables, exact, window_rows):
     found = marts.farm_performance(

@@ -116,3 +116,25 @@ def test_classification(spark):
     plausible = scalar.ph_plausible("s", "p")
     found = evaluate(spark, plausible, "s string, p double", ("Peaty", 4.0), ("Peaty", 7.0), ("Other", 7.5))
     assert found == [True, False, True]
+
+
+def test_exact_sums_agree(spark):
+    import random
+
+    from martflow.functions import aggregate as agg
+
+    draw = random.Random(3)
+    values = [draw.uniform(-500, 500) for _ in range(2000)] + [None, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    wanted = sum(v for v in values if v is not None)
+    for exact in (None, 4, 5, 8, 10, "decimal(18,4)", "decimal(28,10)"):
+        spread = [
+            df.repartition(n).agg(agg.total("x", exact).alias("t"), agg.mean("x", exact).alias("m")).first()
+            for n in (1, 7, 40)
+        ]
+        assert all(abs(r.t - wanted) < 0.1 and abs(r.m - wanted / 2001) < 1e-4 for r in spread)
+        if exact is not None:
+            assert len({tuple(r) for r in spread}) == 1
+    assert agg.widest(10) == agg.widest("decimal(28,10)") == "decimal(38,10)"
+    empty = df.where("x is null").agg(agg.total("x", 10).alias("t"), agg.mean("x", 2).alias("m")).first()
+    assert empty.t is None and empty.m is None
