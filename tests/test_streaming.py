@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,7 +35,9 @@ class Site:
 
     def deliver(self, *texts):
         self.files += 1
-        (self.folder / f"{self.files:04d}.txt").write_text("\n".join(texts) + "\n")
+        file = self.folder / f"{self.files:04d}.txt"
+        file.write_text("\n".join(texts) + "\n")
+        os.utime(file, (1_700_000_000 + self.files, 1_700_000_000 + self.files))
 
 
 @pytest.fixture
