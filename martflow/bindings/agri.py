@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import types as T
 
+from martflow.operators.quality import Accepted, InRange
+
 # Columns and types of a batch record.
 RECORD_DDL = """
     Farm_ID string not null, Farm_Type string, Farm_Size_Acres double, Farm_Location string,
@@ -95,6 +99,40 @@ CONTRACTS = {
     ],
 }
 
+# Columns of the marts.
+MARTS = {
+    "farm_performance": [
+        "farm_id", "farm_name", "farm_location", "farm_type", "avg_farm_size_acres", "avg_soil_moisture",
+        "avg_soil_temperature", "avg_soil_ph", "avg_organic_matter", "avg_water_usage", "avg_carbon_footprint",
+        "avg_pesticide_usage", "avg_yield_per_hectare", "avg_actual_yield", "avg_expected_yield",
+        "total_actual_yield", "avg_yield_percentage", "avg_sustainability_score", "recent_avg_yield",
+        "avg_growing_period", "yield_per_acre", "farm_performance_score", "yield_rank", "sustainability_rank",
+        "yield_rank_in_type", "generated_at",
+    ],
+    "crop_performance": [
+        "crop_type", "crop_variety", "crop_name", "growing_season", "water_needs", "avg_expected_yield",
+        "avg_actual_yield", "avg_growing_period_days", "yield_efficiency_pct", "avg_yield_per_hectare",
+        "avg_quantity_produced", "avg_production_cost", "production_efficiency", "avg_harvest_yield", "farm_count",
+        "avg_sustainability_score", "current_year_yield", "previous_year_yield", "yoy_growth_pct", "spring_yield",
+        "summer_yield", "fall_yield", "winter_yield", "avg_yield_percentage", "crop_performance_score",
+        "yield_efficiency_rank", "generated_at",
+    ],
+    "sustainability_metrics": [
+        "farm_id", "farm_name", "farm_location", "farm_type", "crop_id", "crop_name", "crop_type", "water_needs",
+        "year", "month", "planting_month", "sustainability_score", "water_usage", "carbon_footprint",
+        "pesticide_usage", "ph_level", "organic_matter", "avg_precipitation", "avg_humidity",
+        "comprehensive_sustainability_score", "sustainability_tier", "avg_soil_moisture", "avg_soil_temperature",
+        "farm_size_acres", "water_need_rating", "water_efficiency", "carbon_efficiency", "resource_efficiency",
+        "yield_density", "growing_period", "size_normalized_score", "yield_normalized_score", "generated_at",
+    ],
+    "seasonal_performance": [
+        "farm_id", "farm_name", "farm_location", "crop_id", "crop_name", "crop_type", "year", "season", "avg_yield",
+        "avg_expected_yield", "avg_yield_percentage", "avg_sustainability_score", "avg_growing_period",
+        "yield_change_from_previous_year", "avg_temperature", "avg_precipitation", "avg_humidity",
+        "season_recommendations", "season_performance_rating", "generated_at",
+    ],
+}
+
 # Columns and types of the seed tables.
 SEEDS_DDL = {
     "seed_farm": "farm_id long, farm_name string, farm_location string, farm_size long, established_date date",
@@ -133,6 +171,12 @@ ACCEPTED_VALUES = {
 SCALES = {"Soil_Fertility": (1, 10), "Sustainability_Score": (1, 10)}
 
 
+def dictionary_checks(columns: Collection[str]) -> list[Accepted | InRange]:
+    """The data dictionary's checks for those of its fields that a table has."""
+    accepted = [Accepted(name, values) for name, values in ACCEPTED_VALUES.items() if name in columns]
+    return accepted + [InRange(name, low, high) for name, (low, high) in SCALES.items() if name in columns]
+
+
 def schema(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(" ".join(ddl.split()))
 

@@ -6,12 +6,17 @@ sides are aggregated before they meet (see ``operators.fanout``); the results ar
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martflow.bindings import agri
 from martflow.functions import aggregate as agg
 from martflow.functions import scalar
 from martflow.functions.aggregate import FixedPoint
+from martflow.operators.conform import audited
 from martflow.operators.fanout import Side, join_condensed, product_mean, repeats
 from martflow.operators.joins import attach_summary, combined, join_cast_key, one_per_key, star
 from martflow.operators.ranking import WINDOW_ROWS, Rank, add_ranks, change_from_previous
@@ -360,3 +365,25 @@ def sustainability_metrics(
         scalar.per_root("sustainability_score", "farm_size_acres").alias("size_normalized_score"),
         scalar.safe_ratio("sustainability_score", "actual_yield").alias("yield_normalized_score"),
     )
+
+
+def published(mart: DataFrame, name: str, as_of: datetime) -> DataFrame:
+    """A mart in the column order of its contract, with its audit time."""
+    return audited(mart, as_of, "generated_at").select(*agri.MARTS[name])
+
+
+def all_marts(
+    records: DataFrame, staged: Mapping[str, DataFrame], as_of: datetime, exact: FixedPoint | None = None
+) -> dict[str, DataFrame]:
+    """All marts over staged records and the staging views (``stg_farm``, ``stg_crop`` and so on)."""
+    farms, crops, weather = staged["stg_farm"], staged["stg_crop"], staged["stg_weather"]
+    soil, use, yields = staged["stg_soil"], staged["stg_sustainability"], staged["stg_yield"]
+    marts = {
+        "farm_performance": farm_performance(farms, records, soil, use, yields, as_of.year, exact),
+        "crop_performance": crop_performance(
+            crops, records, yields, staged["stg_production"], staged["stg_harvest"], as_of.year, exact
+        ),
+        "seasonal_performance": seasonal_performance(records, farms, crops, weather, exact),
+        "sustainability_metrics": sustainability_metrics(records, farms, use, soil, crops, weather, exact),
+    }
+    return {name: published(mart, name, as_of) for name, mart in marts.items()}

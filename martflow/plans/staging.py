@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martflow.functions.scalar import days_between, month_floor, percent_of
 from martflow.operators.conform import audited, pick
+from martflow.operators.quality import NotNull, Unique
 
 # Columns each staging view takes from its seed table.
 SEED_COLUMNS = {
@@ -22,6 +23,16 @@ SEED_COLUMNS = {
     "stg_yield": ["yield_id", "farm_id", "crop_id", "harvest_id", "yield_per_hectare", "year"],
 }
 
+# Keys that must be present and unique.
+SEED_KEYS = {
+    "stg_weather": "weather_id",
+    "stg_soil": "soil_id",
+    "stg_harvest": "harvest_id",
+    "stg_production": "production_id",
+    "stg_yield": "yield_id",
+    "stg_sustainability": "sustainability_id",
+}
+
 # Names of the streamed tables -> names of their staging views.
 FARM_ANALYSIS_NAMES = {
     "Farm_ID": "farm_id",
@@ -58,6 +69,10 @@ def stage_seed(seed: DataFrame, view: str, as_of: datetime | date) -> DataFrame:
     return audited(pick(seed, SEED_COLUMNS[view]), as_of)
 
 
+def key_checks(view: str, severity: str = "warn") -> list[Unique | NotNull]:
+    return [Unique(SEED_KEYS[view], severity), NotNull(SEED_KEYS[view], severity)]
+
+
 def stage_farm_analysis(table: DataFrame, as_of: datetime | date) -> DataFrame:
     return audited(pick(table, FARM_ANALYSIS_NAMES), as_of)
 

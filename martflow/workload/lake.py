@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martflow.bindings import agri
 from martflow.bindings.testdata import MEASURE, Binding
 from martflow.functions import aggregate as agg
 from martflow.functions import scalar
 from martflow.operators import conform, quality
-from martflow.plans import star
+from martflow.plans import staging, star
 from martflow.sinks import files as file_sinks
 from martflow.sinks import tables as table_sinks
 from martflow.sources import files as file_sources
@@ -76,6 +77,52 @@ def dq_accepted(b: Binding) -> DataFrame:
     )
 
 
+def dictionary_sql() -> str:
+    shown = ["Farm_Type", "Crop_Type", "Yield_Unit", "Soil_Type", "Irrigation_Method", "Fertilizer_Type",
+             "Pesticide_Type", "Certification", "Order_Status"]
+    parts = [
+        f"""SELECT 'accepted' AS check_name, '{name}' AS column_name, 'warn' AS severity, COUNT(*) FILTER (
+        WHERE "{name}" NOT IN ({", ".join(f"'{v}'" for v in agri.ACCEPTED_VALUES[name])})) AS violations FROM raw"""
+        for name in shown
+    ] + [
+        f"""SELECT 'in_range', '{name}', 'warn', COUNT(*) FILTER (WHERE "{name}" NOT BETWEEN {low} AND {high}) FROM raw"""
+        for name, (low, high) in agri.SCALES.items()
+    ]
+    return sql(" UNION ALL ".join(parts))
+
+
+@query("dq_dictionary", dictionary_sql())
+def dq_dictionary(b: Binding) -> DataFrame:
+    """Accepted values and scales of the data dictionary, in one pass."""
+    return quality.run_checks(b.raw, agri.dictionary_checks(b.raw.columns))
+
+
+KEYED = {
+    "stg_weather": "weather", "stg_soil": "soil", "stg_harvest": "harvest", "stg_production": "production",
+    "stg_yield": "yields", "stg_sustainability": "sustainability",
+}
+
+
+@query(
+    "dq_keys",
+    sql(
+        " UNION ALL ".join(
+            f"""SELECT 'unique' AS check_name, '{staging.SEED_KEYS[view]}' AS column_name, 'error' AS severity,
+            COUNT({staging.SEED_KEYS[view]}) - COUNT(DISTINCT {staging.SEED_KEYS[view]}) AS violations FROM {table}
+            UNION ALL SELECT 'not_null', '{staging.SEED_KEYS[view]}', 'error',
+            COUNT(*) FILTER (WHERE {staging.SEED_KEYS[view]} IS NULL) FROM {table}"""
+            for view, table in KEYED.items()
+        )
+    ),
+)
+def dq_keys(b: Binding) -> DataFrame:
+    """Keys of the staging views."""
+    b.shared()
+    return conform.union_all(
+        [quality.run_checks(getattr(b, table), staging.key_checks(view, "error")) for view, table in KEYED.items()]
+    )
+
+
 @query(
     "dq_contract",
     """SELECT column_name, expected_type, found_type, status, n_rows FROM (VALUES

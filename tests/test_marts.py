@@ -311,3 +311,25 @@ def test_sustainability_metrics(tables):
         fanout="none",
     )
     assert single.count() == 6
+
+
+def test_all_marts_keep_their_contracts(spark, tables, path):
+    from datetime import datetime
+
+    from martflow.bindings import agri
+    from martflow.operators.quality import contract_report
+    from martflow.sinks.files import write_tables
+
+    staged = {
+        "stg_farm": tables["farms"], "stg_crop": tables["crops"], "stg_weather": tables["weather"],
+        "stg_soil": tables["soil"], "stg_sustainability": tables["use"], "stg_yield": tables["yields"],
+        "stg_production": tables["production"], "stg_harvest": tables["harvest"],
+    }
+    as_of = datetime(2023, 6, 1, 12)
+    found = marts.all_marts(tables["records"], staged, as_of)
+    assert {name: mart.columns for name, mart in found.items()} == agri.MARTS
+    for name, mart in found.items():
+        assert contract_report(mart, agri.MARTS[name]).where("status <> 'ok'").count() == 0
+    for name, written in write_tables(found, path("marts")).items():
+        rows = spark.read.parquet(written)
+        assert rows.count() > 0 and rows.where("generated_at <> timestamp'2023-06-01 12:00:00'").count() == 0

@@ -45,3 +45,19 @@ def test_profile_and_preview(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
     assert rows(quality.profile(df)) == [("a", "int", 2, 0), ("b", "string", 2, 1)]
     assert quality.preview(df, 1).count() == 1
+
+
+def test_dictionary_and_key_checks(spark):
+    from martflow.bindings import agri
+    from martflow.plans import staging
+
+    records = spark.createDataFrame(
+        [("Mixed", 3, "Organic"), ("Zoo", 11, None)], "Farm_Type string, Soil_Fertility int, Certification string"
+    )
+    results = quality.run_checks(records, agri.dictionary_checks(records.columns))
+    assert rows(results, "column_name", "violations") == [
+        ("Certification", 0), ("Farm_Type", 1), ("Soil_Fertility", 1),
+    ]
+    soil = spark.createDataFrame([(1,), (1,), (None,)], "soil_id long")
+    results = quality.run_checks(soil, staging.key_checks("stg_soil"))
+    assert rows(results, "check_name", "violations") == [("not_null", 1), ("unique", 1)]
