@@ -13,6 +13,7 @@ from martflow.workspace import materialise
 
 # Inputs of at most this many rows are ranked by a plain window, whose largest task is then this big.
 WINDOW_ROWS = 200_000
+SALT = "_salt"
 
 
 @dataclass(frozen=True)
@@ -35,22 +36,29 @@ def window_rank(df: DataFrame, rank: Rank) -> DataFrame:
     return df.withColumn(rank.name, F.row_number().over(window))
 
 
+def salted(df: DataFrame) -> DataFrame:
+    """The rows as a stored table, with a random number each.
+
+    The numbers are stored before any shuffle depends on them, so a task repeated after a lost executor sends its
+    rows to the same places.
+    """
+    return materialise(df.withColumn(SALT, F.rand(17)), "to-rank")
+
+
 def ranged_rank(df: DataFrame, rank: Rank) -> DataFrame:
-    """The same numbers from a distributed sort.
+    """The same numbers from a distributed sort of ``salted`` rows.
 
     Rows are range-partitioned and sorted by (group, order). A row's number is its distance from the first row
     of its group in its partition, plus the group's rows in earlier partitions. Only those counts, one row per
-    group and partition, go through a window. A random last sort key splits rows that are equal in every other
-    key; the sorted table is written out, so both passes see the same placement.
+    group and partition, go through a window. The salt is the last sort key and splits rows that are equal in
+    every other one; the sorted table is written out, so both passes see the same placement.
     """
-    keys = [F.col(c).asc_nulls_last() for c in rank.within] + rank.order + [F.col("_salt")]
+    keys = [F.col(c).asc_nulls_last() for c in rank.within] + rank.order + [F.col(SALT)]
     placed = materialise(
-        df.withColumn("_salt", F.rand(17))
-        .repartitionByRange(*keys)
+        df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_position", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_position", 33))
-        .drop("_salt"),
+        .withColumn("_part", F.shiftright("_position", 33)),
         "ranked",
     )
     spans = placed.groupBy("_part", *rank.within).agg(
@@ -73,11 +81,11 @@ def ranged_rank(df: DataFrame, rank: Rank) -> DataFrame:
 
 def add_ranks(df: DataFrame, ranks: Sequence[Rank], window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Add several row numbers; the input is computed once, and its size decides how they are computed."""
-    base = materialise(df, "to-rank") if window_rows or len(ranks) > 1 else df
+    base = salted(df)
     small = bool(window_rows) and base.count() <= window_rows
     for rank in ranks:
         base = window_rank(base, rank) if small else ranged_rank(base, rank)
-    return base.withColumns({rank.name: F.col(rank.name).cast("bigint") for rank in ranks})
+    return base.select(*df.columns, *[F.col(rank.name).cast("bigint").alias(rank.name) for rank in ranks])
 
 
 def change_from_previous(

@@ -131,7 +131,8 @@ def read_messy_csv(spark: SparkSession, path: str, schema: T.StructType) -> Data
     line = F.regexp_replace("value", "\r", "")
     lines = spark.read.text(path, lineSep="\n").select(line.alias("line"))
     records = lines.where((F.trim("line") != "") & (F.trim("line") != header))
-    parsed = F.from_csv("line", schema.simpleString()[7:-1].replace(":", " "), {"quote": '"', "escape": '"'})
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = F.from_csv("line", ddl, {"quote": '"', "escape": '"'})
     return records.select(parsed.alias("r")).select("r.*")
 
 

@@ -2,7 +2,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from martflow.operators.ranking import Rank, add_ranks, change_from_previous, ranged_rank, window_rank
+from martflow.operators.ranking import Rank, add_ranks, change_from_previous, ranged_rank, salted, window_rank
 from tests.helpers import rows
 
 entries = st.lists(
@@ -28,7 +28,7 @@ def test_hot_group_with_equal_values_is_spread(spark):
         "id", F.lit("hot").alias("g"), F.when(F.col("id") < 15_000, 1.0).otherwise(F.col("id") * 1.0).alias("v")
     )
     rank = Rank("r", "v", [], within=["g"])
-    ranked = ranged_rank(df, rank)
+    ranked = ranged_rank(salted(df), rank)
     assert sorted(r.r for r in ranked.select("r").collect()) == list(range(1, 20_001))
     ordered = ranked.orderBy("r").collect()
     assert all(a.v >= b.v for a, b in zip(ordered, ordered[1:]))
@@ -37,7 +37,7 @@ def test_hot_group_with_equal_values_is_spread(spark):
 def test_nulls_rank_last(spark):
     df = spark.createDataFrame([(1, None), (2, 5.0), (3, 7.0)], "id int, v double")
     for rank in (window_rank, ranged_rank):
-        assert rows(rank(df, Rank("r", "v", ["id"])).select("id", "r")) == [(1, 3), (2, 2), (3, 1)]
+        assert rows(rank(salted(df), Rank("r", "v", ["id"])).select("id", "r")) == [(1, 3), (2, 2), (3, 1)]
 
 
 def test_change_from_previous_available_or_calendar_year(spark):
