@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import bpe, exact, near, packing, shards
-from martflow.llm.common import read
+from martflow.llm import bpe, exact, language, near, packing, quality, shards
+from martflow.llm.common import held_out, read
 from martflow.llm.sql import EXACT_DEDUP, HILBERT_SHARDS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,21 @@ def op10_forced_boundary_bpe(spark: SparkSession, directory: str) -> DataFrame:
 @query("op7_bbit_minhash")
 def op7_bbit_minhash(spark: SparkSession, directory: str) -> DataFrame:
     return near.near_duplicates(read(spark, directory, "documents"))
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, directory: str) -> DataFrame:
+    docs = read(spark, directory, "documents")
+    found = language.predict(docs, language.train(docs))
+    return found.select(F.col("key").alias("doc_id"), held_out(F.col("key")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op2_boosted_quality")
+def op2_boosted_quality(spark: SparkSession, directory: str) -> DataFrame:
+    docs, labels = read(spark, directory, "documents"), read(spark, directory, "labels")
+    return quality.scored(docs, labels).select(
+        F.col("key").alias("doc_id"),
+        held_out(F.col("key")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
