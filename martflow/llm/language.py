@@ -171,28 +171,38 @@ def calibrate(raw: np.ndarray, targets: np.ndarray) -> tuple[float, float]:
     return temperature, 0.0
 
 
+def _predictor(fitted: Model | None):
+    """The prediction for one text: language, score, and whether it is rejected."""
+
+    def one(text: str | None) -> tuple[str, float, bool]:
+        if fitted is None or text is None or not has_letter(text):
+            return UNDETERMINED, 0.0, True
+        total, count = np.zeros(len(fitted.languages)), 0
+        for part in segments(text):
+            found = buckets(part)
+            total += fitted.scores[found].sum(axis=0, dtype=np.float64)
+            count += len(found)
+        chances = _softmax((total / max(count, 1) + fitted.bias)[None, :])[0]
+        best = int(chances.argmax())
+        return fitted.languages[best], float(chances[best]), bool(chances[best] <= fitted.threshold)
+
+    return one
+
+
+def _shared(docs: DataFrame, model: Model | None):
+    # Broadcast as plain values, as executors may lack the class.
+    return docs.sparkSession.sparkContext.broadcast(model and astuple(model))
+
+
 def predict(docs: DataFrame, model: Model | None, key: str = "doc_id") -> DataFrame:
     """key, lang_pred, score, rejected of every row, from its whole text alone.
 
     A text that is null or without a letter is ``und`` with score 0 and rejected; so is every text if there is no model.
     """
-    # Broadcast as plain values, as executors may lack the class.
-    shared = docs.sparkSession.sparkContext.broadcast(model and astuple(model))
+    shared = _shared(docs, model)
 
     def start():
-        fitted = Model(*shared.value) if shared.value else None
-
-        def one(text):
-            if fitted is None or text is None or not has_letter(text):
-                return UNDETERMINED, 0.0, True
-            total, count = np.zeros(len(fitted.languages)), 0
-            for part in segments(text):
-                found = buckets(part)
-                total += fitted.scores[found].sum(axis=0, dtype=np.float64)
-                count += len(found)
-            chances = _softmax((total / max(count, 1) + fitted.bias)[None, :])[0]
-            best = int(chances.argmax())
-            return fitted.languages[best], float(chances[best]), bool(chances[best] <= fitted.threshold)
+        one = _predictor(Model(*shared.value) if shared.value else None)
 
         def apply(columns):
             found = [one(text) for text in columns["text"]]
@@ -203,3 +213,24 @@ def predict(docs: DataFrame, model: Model | None, key: str = "doc_id") -> DataFr
 
     schema = "key long, lang_pred string, score double, rejected boolean"
     return map_columns(docs.select(F.col(key).alias("key"), "text"), schema, start)
+
+
+def with_language(docs: DataFrame, model: Model | None, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with all columns; a missing language is filled in."""
+    shared = _shared(docs, model)
+    place, name = docs.columns.index(text), docs.columns.index(lang)
+
+    def run(batches):
+        import pyarrow as pa
+
+        one = _predictor(Model(*shared.value) if shared.value else None)
+        for batch in batches:
+            found = [one(value) for value in batch.column(place).to_pylist()]
+            given = batch.column(name).to_pylist()
+            columns = list(batch.columns)
+            filled = [g if g is not None else f[0] for g, f in zip(given, found)]
+            columns[name] = pa.array(filled, batch.schema.field(name).type)
+            whole = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            yield whole.filter(pa.array([not f[2] for f in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import bpe, exact, language, near, packing, quality, shards
+from martflow.llm import bpe, exact, language, near, packing, pii, quality, shards
 from martflow.llm.common import held_out, read
 from martflow.llm.sql import EXACT_DEDUP, HILBERT_SHARDS
 
@@ -86,3 +86,24 @@ def op2_boosted_quality(spark: SparkSession, directory: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def _listed(column: str):
+    parts = F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    return F.array_join(parts, ",")
+
+
+@query("op3_crf_pii")
+def op3_crf_pii(spark: SparkSession, directory: str) -> DataFrame:
+    """The counts are those of the base spans; ``spans`` holds the added ones too."""
+    found = pii.spans(read(spark, directory, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    return found.select(
+        F.col("key").alias("doc_id"),
+        *counts,
+        F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256"),
+        _listed("spans").alias("spans"),
+    )
