@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from martflow.workload.registry import QUERIES, SQL
 from tools.compare import TABLES, rows_of
 
 SMALL = "/root/testdata/sf0.001"
@@ -18,10 +19,11 @@ def connection():
 
 
 def test_all_queries_have_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, connection, name):
     df = entry.queries()[name](spark, SMALL)
     names, found = rows_of(df.columns, [tuple(r) for r in df.collect()])
