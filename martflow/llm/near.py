@@ -238,9 +238,9 @@ def _apart(members: DataFrame, classes: DataFrame, labels: DataFrame, texts: Dat
         blocks.withColumn("met", F.explode(met))
         .withColumn("low", F.least("own", "met"))
         .withColumn("high", F.greatest("own", "met"))
-        .select("bucket", "low", "high", "own", "id", "component", "n", "shared", "bits")
+        .select("bucket", "low", "high", "own", "id", "component", "n", "shared", "bits", "bands")
     )
-    return _compared(paired).distinct()
+    return _compared(paired)
 
 
 def _details(ids: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -271,8 +271,8 @@ def _details(ids: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("alone"))
     )
     return (
-        classes.select("id", "n").join(wide.select("id", "bits"), "id").join(alone, "id", "left")
-        .select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"), "bits")
+        classes.select("id", "n", "bands").join(wide.select("id", "bits"), "id").join(alone, "id", "left")
+        .select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"), "bits", "bands")
     )
 
 
@@ -312,6 +312,8 @@ def _pairs_of(held):
     own, high, low = (table[c].to_numpy() for c in ("own", "high", "low"))
     ids, component, n, shared = (table[c].to_numpy() for c in ("id", "component", "n", "shared"))
     bits = np.frombuffer(b"".join(table["bits"].to_pylist()), np.uint64).reshape(len(ids), -1)
+    bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+    bucket = table["bucket"][0].as_py()
     within = low[0] == high[0]
     first, second = (np.arange(len(ids)),) * 2 if within else (np.flatnonzero(own == low[0]), np.flatnonzero(own == high[0]))
     out: tuple[list, list] = ([], [])
@@ -324,6 +326,9 @@ def _pairs_of(held):
         for width, margin in ((MINIMA // PER_LONG, MARGIN), (LONG_MINIMA // PER_LONG, LONG_MARGIN)):
             if len(j):
                 j = j[_estimates(bits[j, :width], bits[i, :width]) >= PERCENT / 100 - margin]
+        # A pair that shares several buckets is told of by the first.
+        same = bands[j] == bands[i]
+        j = j[bands[i][same.argmax(axis=1)] == bucket]
         out[0].extend(np.minimum(ids[i], ids[j]).tolist())
         out[1].extend(np.maximum(ids[i], ids[j]).tolist())
     if out[0]:
