@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import bpe, exact, language, near, packing, pii, quality, shards
+from martflow.llm import ann, bpe, exact, language, near, packing, pages, pii, quality, shards
 from martflow.llm.common import held_out, read
 from martflow.llm.sql import EXACT_DEDUP, HILBERT_SHARDS
 
@@ -107,3 +107,14 @@ def op3_crf_pii(spark: SparkSession, directory: str) -> DataFrame:
         F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256"),
         _listed("spans").alias("spans"),
     )
+
+
+@query("op4_learned_partitions")
+def op4_learned_partitions(spark: SparkSession, directory: str) -> DataFrame:
+    return ann.nearest(read(spark, directory, "embeddings"))
+
+
+@query("op5_wrapper_induction")
+def op5_wrapper_induction(spark: SparkSession, directory: str) -> DataFrame:
+    found = pages.main_texts(read(spark, directory, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
