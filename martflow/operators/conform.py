@@ -25,7 +25,8 @@ def parse_dates(df: DataFrame, columns: Iterable[str], pattern: str = "yyyy-MM-d
 
 
 def cast_present(df: DataFrame, columns: Iterable[str], to: str = "double") -> DataFrame:
-    return df.withColumns({c: F.col(c).cast(to) for c in present(df, columns)})
+    """Cast columns; values that can't be cast become null."""
+    return df.withColumns({c: F.col(c).try_cast(to) for c in present(df, columns)})
 
 
 def fill_nulls(df: DataFrame, columns: Iterable[str], value: float = 0) -> DataFrame:
@@ -64,14 +65,24 @@ def audited(df: DataFrame, as_of: datetime | date | Column, name: str = "loaded_
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast to a declared schema by name; absent columns become null, undeclared ones are left out."""
-    have = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    """Cast to a declared schema by name; absent columns become null, undeclared ones are left out.
+
+    A number that an integer column can't hold whole fails the job.
+    """
+    given = {f.name: f.dataType for f in df.schema.fields}
+
+    def conformed(f: T.StructField) -> Column:
+        if f.name not in given:
+            return F.lit(None).cast(f.dataType)
+        value = F.col(f.name)
+        fractional = isinstance(given[f.name], (T.FractionalType, T.DecimalType))
+        if fractional and isinstance(f.dataType, T.IntegralType):
+            told = F.concat(F.lit(f"{f.name} is an integer column and can't hold "), value.cast("string"))
+            whole = value.isNull() | (value == F.floor(value))
+            return F.when(whole, value.cast(f.dataType)).otherwise(F.raise_error(told).cast(f.dataType))
+        return value.cast(f.dataType)
+
+    return df.select(*[conformed(f).alias(f.name) for f in schema.fields])
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

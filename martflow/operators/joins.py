@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martflow.functions.scalar import as_id
-from martflow.workspace import materialise
 
 MATCH_CHUNK = 100_000
 
@@ -52,34 +51,42 @@ def join_cast_key(
 MATCHES = "_matches"
 
 
-def count_matches(base: DataFrame, other: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
-    """Add the number of rows each base row matches in another table, and find the largest such number."""
-    counted = materialise(other.groupBy(*keys).agg(F.count(F.lit(1)).alias(MATCHES)), "matches")
-    most = counted.agg(F.max(MATCHES)).first()[0] or 1
-    return base.join(counted, list(keys), "left"), most
+def count_matches(base: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the number of rows each base row matches in another table."""
+    counted = other.groupBy(*keys).agg(F.count(F.lit(1)).alias(MATCHES))
+    return base.join(counted, list(keys), "left")
 
 
-def repeat_rows(counted: DataFrame, most: int, chunk: int = MATCH_CHUNK) -> DataFrame:
+def repeat_rows(counted: DataFrame, chunk: int = MATCH_CHUNK) -> DataFrame:
     """Repeat each row as often as it has matches, and once when it has none.
 
-    Rows with very many matches are cut into chunks that are spread over the cluster before they are repeated.
+    Matches are cut into chunks that are spread over the cluster before rows are repeated, so that a row with very many
+    of them is repeated by several tasks.
     """
     one = F.lit(1).cast("bigint")
-    repeated = counted.withColumn(MATCHES, F.coalesce(MATCHES, one))
-    if most > chunk:
-        tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        starts = F.sequence(F.lit(0).cast("bigint"), F.col(MATCHES) - 1, F.lit(chunk).cast("bigint"))
-        repeated = repeated.withColumn("_start", F.explode(starts)).repartition(tasks)
-        repeated = repeated.withColumn(MATCHES, F.least(F.lit(chunk), F.col(MATCHES) - F.col("_start"))).drop("_start")
-    return repeated.withColumn("_copy", F.explode(F.sequence(one, MATCHES))).drop(MATCHES, "_copy")
+    tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = counted.withColumn(MATCHES, F.coalesce(MATCHES, one))
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col(MATCHES) - 1, F.lit(chunk).cast("bigint"))
+    spread = counted.withColumn("_start", F.explode(starts)).repartition(tasks)
+    spread = spread.withColumn(MATCHES, F.least(F.lit(chunk), F.col(MATCHES) - F.col("_start"))).drop("_start")
+    return spread.withColumn("_copy", F.explode(F.sequence(one, MATCHES))).drop(MATCHES, "_copy")
 
 
 def repeat_by_matches(
     base: DataFrame, other: DataFrame, keys: Sequence[str], chunk: int = MATCH_CHUNK
 ) -> DataFrame:
     """Left join to a table of which only the row multiplicity matters, by its counts per key."""
-    counted, most = count_matches(base, other, keys)
-    return repeat_rows(counted, most, chunk).select(*base.columns)
+    return repeat_rows(count_matches(base, other, keys), chunk).select(*base.columns)
+
+
+def joined_to_itself(
+    df: DataFrame, keys: Sequence[str], left: Sequence[str], right: Sequence[str]
+) -> DataFrame:
+    """A table joined to itself: some columns of a row next to others of every row with its key.
+
+    Rows with a null key keep their own columns. A repeated key gives every combination of its rows.
+    """
+    return df.select(*keys, *left).join(df.select(*keys, *right), list(keys), "left")
 
 
 def attach_summary(base: DataFrame, lookup: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
@@ -93,21 +100,6 @@ def attach_summary(base: DataFrame, lookup: DataFrame, measures: Mapping[str, Co
     return with_summary.select(*base.columns, *[F.col("_summary")[name].alias(name) for name in measures])
 
 
-def first_pairs(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, limit: int
-) -> DataFrame:
-    """The first ``limit`` pairs of two tables in the order of (left key, right key), for unique keys.
-
-    Only the first ``limit`` rows of either side can take part, so at most that many are held per side and
-    the full product is never formed.
-    """
-    packed = F.struct(*[F.col(c) for c in right.columns])
-    rights = right.orderBy(right_key).limit(limit).agg(F.array_sort(F.collect_list(packed)).alias("_rows"))
-    lefts = left.orderBy(left_key).limit(limit)
-    paired = lefts.withColumn("_right", F.explode(rights.scalar()))
-    return paired.select(*left.columns, "_right.*").orderBy(left_key, right_key).limit(limit)
-
-
 def first_rows(df: DataFrame, order_by: Sequence[str], limit: int) -> DataFrame:
     """A capped table that is the same on every run: the first rows in key order."""
     return df.orderBy(*order_by).limit(limit)

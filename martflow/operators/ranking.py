@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from martflow.workspace import materialise
 
-# Inputs of at most this many rows are ranked by a plain window, whose largest task is then this big.
-WINDOW_ROWS = 200_000
 SALT = "_salt"
+ROW = "_row"
 
 
 @dataclass(frozen=True)
@@ -31,18 +30,18 @@ class Rank:
 
 
 def window_rank(df: DataFrame, rank: Rank) -> DataFrame:
-    """Rank with a window: one task per group, so for small inputs only."""
+    """Rank with a plain window, which takes one task per group: the definition that tests compare with."""
     window = Window.partitionBy(*rank.within).orderBy(*rank.order)
     return df.withColumn(rank.name, F.row_number().over(window))
 
 
 def salted(df: DataFrame) -> DataFrame:
-    """The rows as a stored table, with a random number each.
+    """The rows as a stored table, with a number of their own and a random number each.
 
     The numbers are stored before any shuffle depends on them, so a task repeated after a lost executor sends its
     rows to the same places.
     """
-    return materialise(df.withColumn(SALT, F.rand(17)), "to-rank")
+    return materialise(df.withColumn(ROW, F.monotonically_increasing_id()).withColumn(SALT, F.rand(17)), "to-rank")
 
 
 def ranged_rank(df: DataFrame, rank: Rank) -> DataFrame:
@@ -79,13 +78,15 @@ def ranged_rank(df: DataFrame, rank: Rank) -> DataFrame:
     return ranked.select(*df.columns, (F.col("_position") + F.col("_shift")).cast("bigint").alias(rank.name))
 
 
-def add_ranks(df: DataFrame, ranks: Sequence[Rank], window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """Add several row numbers; the input is computed once, and its size decides how they are computed."""
+def add_ranks(df: DataFrame, ranks: Sequence[Rank]) -> DataFrame:
+    """Add several row numbers. The input is stored once; only row number and sort keys are sorted for each rank."""
     base = salted(df)
-    small = bool(window_rows) and base.count() <= window_rows
+    whole = base
     for rank in ranks:
-        base = window_rank(base, rank) if small else ranged_rank(base, rank)
-    return base.select(*df.columns, *[F.col(rank.name).cast("bigint").alias(rank.name) for rank in ranks])
+        keys = dict.fromkeys([ROW, SALT, rank.by, *rank.ties, *rank.within])
+        numbers = ranged_rank(base.select(*keys), rank).select(ROW, rank.name)
+        whole = whole.join(numbers, ROW)
+    return whole.select(*df.columns, *[rank.name for rank in ranks])
 
 
 def change_from_previous(

@@ -19,7 +19,7 @@ from martflow.functions.aggregate import FixedPoint
 from martflow.operators.conform import audited
 from martflow.operators.fanout import Side, join_condensed, product_mean, repeats
 from martflow.operators.joins import attach_summary, combined, join_cast_key, one_per_key, star
-from martflow.operators.ranking import WINDOW_ROWS, Rank, add_ranks, change_from_previous
+from martflow.operators.ranking import Rank, add_ranks, change_from_previous
 
 # Tiers, ratings and needs.
 SUSTAINABILITY_TIERS = ([(80, 5), (60, 4), (40, 3), (20, 2)], 1)
@@ -60,7 +60,6 @@ def farm_performance(
     as_of_year: int,
     exact: FixedPoint | None = None,
     fanout: str = "reference",
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Performance of each farm by crop type, with three ranks.
 
@@ -99,8 +98,10 @@ def farm_performance(
     )
     named = farms.select("farm_id", "farm_name", "farm_location", "farm_size")
     if fanout == "reference":
-        base = farms.groupBy("farm_id").agg(F.count(F.lit(1)).alias("_copies_base"))
-        named = named.groupBy(*named.columns).agg(F.count(F.lit(1)).alias("_copies_named")).join(base, "farm_id")
+        base = farms.groupBy(F.col("farm_id").alias("_base_id")).agg(F.count(F.lit(1)).alias("_copies_base"))
+        named = named.groupBy(*named.columns).agg(F.count(F.lit(1)).alias("_copies_named"))
+        # A farm without an id stays, as in a left join.
+        named = named.join(base, F.col("farm_id").eqNullSafe(F.col("_base_id"))).drop("_base_id")
         copies = repeats(["base", "named", "soil", "sustainability", "yield"])
     else:
         named = one_per_key(named, ["farm_id"])
@@ -133,7 +134,6 @@ def farm_performance(
             Rank("sustainability_rank", "avg_sustainability_score", ties),
             Rank("yield_rank_in_type", "avg_actual_yield", ties, within=["farm_type"]),
         ],
-        window_rows,
     )
 
 
@@ -146,7 +146,6 @@ def crop_performance(
     as_of_year: int,
     exact: FixedPoint | None = None,
     fanout: str = "reference",
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Performance of each crop (type, name, season, water needs), with its rank.
 
@@ -226,7 +225,7 @@ def crop_performance(
         "spring_yield", "summer_yield", "fall_yield", "winter_yield", "avg_yield_percentage",
         score.alias("crop_performance_score"),
     )
-    return add_ranks(metrics, [Rank("yield_efficiency_rank", "avg_yield_percentage", key)], window_rows)
+    return add_ranks(metrics, [Rank("yield_efficiency_rank", "avg_yield_percentage", key)])
 
 
 def seasonal_performance(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from martflow.functions import scalar
 from martflow.functions.aggregate import Exact, mean
 from martflow.operators.conform import with_constants
-from martflow.operators.joins import count_matches, first_pairs, one_per_key, repeat_rows, star
+from martflow.operators.joins import count_matches, one_per_key, repeat_rows, star
 
 # Growing days of each season.
 SEASON_DAYS = {"Annual": 365, "Spring": 90, "Summer": 100, "Fall": 80, "Winter": 120}
@@ -40,29 +40,6 @@ NO_SUSTAINABILITY = {"score": 75, "irrigation": 200, "pesticide": 30, "carbon":
 # Columns of the table built from farms and crops alone.
 FALLBACK_FARM = {"avg_Soil_Moisture": 60, "avg_Soil_Temperature": 55}
 FALLBACK_CROP = {"avg_Expected_Yield": 100, "avg_Actual_Yield": 90, "avg_Growing_Period_Days": 90}
-FALLBACK_RECORD = {
-    "Expected_Yield": 100,
-    "Actual_Yield": 90,
-    "Soil_Moisture": 60,
-    "Soil_Temperature": 55,
-    "Sustainability_Score": 75,
-    "Yield_Unit": YIELD_UNIT,
-    "Soil_pH": 6.5,
-    "Soil_Fertility": "Medium",
-    "Weather_Sunlight": 8,
-    "Irrigation_Amount": 200,
-    "Fertilizer_Amount": 100,
-    "Pesticide_Type": "Organic",
-    "Pesticide_Amount": 30,
-    "Equipment_Used": "Tractor",
-    "Labor_Hours": 200,
-    "Total_Revenue": 1000,
-    "Quality_Grade": "B",
-    "Certification": "Conventional",
-    "Carbon_Footprint": 50,
-    "Water_Footprint": 300,
-}
-FALLBACK_LIMIT = 100
 
 Tables = Mapping[str, DataFrame]
 
@@ -161,13 +138,13 @@ def seed_records(seeds: Tables, fanout: str = "reference", wrap_year: bool = Fal
     else:
         crop_side = seasons.join(names, "crop_id")
         matched = seeds["yield"].where("harvest_id is not null")
-        amounts, most = count_matches(amounts, matched, ["harvest_id"])
+        amounts = count_matches(amounts, matched, ["harvest_id"])
     use = sustainability.select("farm_id", "water_usage", "carbon_footprint", "pesticide_usage")
     ground = soil.select("farm_id", "ph_level", "organic_matter")
     farm_side = star(farms, [(use, ["farm_id"]), (ground, ["farm_id"])])
     dated = season_dates(seeds["yield"], crop_side, wrap_year, ["crop_name", "crop_type"]).drop("year")
     joined = dated.join(farm_side, "farm_id").join(amounts, ["farm_id", "crop_id"], "left")
-    return joined if fanout == "none" else repeat_rows(joined, most)
+    return joined if fanout == "none" else repeat_rows(joined)
 
 
 def derived_attributes() -> dict[str, Column]:
@@ -266,32 +243,3 @@ def fallback_farm_analysis(farms: DataFrame) -> DataFrame:
 def fallback_crop_analysis(crops: DataFrame) -> DataFrame:
     named = crops.select(F.col("crop_type").alias("Crop_Type"), F.col("crop_name").alias("Crop_Variety"))
     return with_constants(named, FALLBACK_CROP)
-
-
-def fallback_full_data(
-    farms: DataFrame, crops: DataFrame, as_of: datetime, limit: int = FALLBACK_LIMIT
-) -> DataFrame:
-    """A stand-in when nothing but farms and crops is known: their first pairs in key order, with constants."""
-    today = date(as_of.year, as_of.month, as_of.day)
-    pairs = first_pairs(
-        farms.select("farm_id", "farm_name", "farm_location", "farm_size"),
-        crops.select("crop_id"),
-        "farm_id",
-        "crop_id",
-        limit,
-    )
-    named = pairs.select(
-        F.col("farm_id").alias("Farm_ID"),
-        F.lit("Mixed").alias("Farm_Type"),
-        F.col("farm_size").alias("Farm_Size_Acres"),
-        F.col("crop_id").cast("string").alias("Crop_ID"),
-        F.lit(today).alias("Planting_Date"),
-        F.lit(today).alias("Harvest_Date"),
-        F.lit(today.year).alias("year"),
-        F.lit(today.month).alias("month"),
-        F.col("farm_location").alias("Farm_Location"),
-        F.col("farm_name").alias("Farmer_Contact"),
-        F.lit(as_of).alias("timestamp"),
-        F.lit(as_of).alias("created_at"),
-    )
-    return with_constants(named, FALLBACK_RECORD)

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,33 +39,37 @@ def read_partitioned(spark: SparkSession, root: str, within: Sequence[str] = ())
     return spark.read.option("basePath", root).parquet(*paths)
 
 
-def _footer_schemas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-
-    for batch in batches:
-        signatures = []
-        for path in batch["path"]:
-            uri = path.replace("s3a://", "s3://").replace("s3n://", "s3://")
-            filesystem, local = pafs.FileSystem.from_uri(uri)
-            schema = pq.read_schema(local, filesystem=filesystem)
-            fields = sorted(f"{name}:{kind}" for name, kind in zip(schema.names, schema.types))
-            signatures.append("|".join(fields))
-        yield pd.DataFrame({"path": batch["path"], "signature": signatures})
-
-
 def schema_groups(spark: SparkSession, path: str, glob: str = PARQUET_GLOB) -> dict[str, list[str]]:
     """Files below a path by the physical schema in their footers.
 
     Footers are read in parallel on the executors. Only file names and schemas reach the driver, which lists
     the files of any scan anyway.
     """
+
+    # Defined here, so that it travels inside the tasks and executors need no copy of the library.
+    def footer_schemas(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            signatures = []
+            for path in batch["path"]:
+                uri = path.replace("s3a://", "s3://").replace("s3n://", "s3://")
+                filesystem, local = pafs.FileSystem.from_uri(uri)
+                schema = pq.read_schema(local, filesystem=filesystem)
+                fields = sorted(f"{name}:{kind}" for name, kind in zip(schema.names, schema.types))
+                signatures.append("|".join(fields))
+            yield pd.DataFrame({"path": batch["path"], "signature": signatures})
+
     listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     paths = sorted(listing.load(path).inputFiles())
+    if not paths:
+        raise FileNotFoundError(f"no files that match {glob} below {path}")
     tasks = max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))
     named = spark.createDataFrame([(p,) for p in paths], "path string").repartition(tasks)
     groups: dict[str, list[str]] = {}
-    for row in named.mapInPandas(_footer_schemas, "path string, signature string").toLocalIterator():
+    for row in named.mapInPandas(footer_schemas, "path string, signature string").toLocalIterator():
         groups.setdefault(row.signature, []).append(row.path)
     return {signature: sorted(map(unquote, files)) for signature, files in sorted(groups.items())}
 
@@ -83,13 +86,17 @@ def read_drifting(
     """Parquet files whose columns come and go, or change between integer and floating point.
 
     Files are read in one scan per distinct schema, so the plan grows with the number of schemas, not of files.
-    Drifting columns are cast, missing columns become null, and the drifting columns' nulls are filled. With a
+    Drifting columns are cast, texts that hold no number and missing columns become null, and the drifting columns' nulls are filled. With a
     ``schema`` the result is cast to it instead of being the union of what the files hold.
     """
     drifting = list(drifting)
     frames = []
     for files in schema_groups(spark, path, glob).values():
-        frame = spark.read.parquet(*files)
+        reader = spark.read
+        if all("=" in file.rsplit("/", 2)[1] for file in files):
+            # Partition columns come from the names of the directories below the path.
+            reader = reader.option("basePath", path)
+        frame = reader.parquet(*files)
         frames.append(align(frame, schema) if schema is not None else cast_present(frame, drifting, cast_to))
     whole = union_all(frames)
     return whole if fill is None else fill_nulls(whole, drifting, fill)
@@ -125,14 +132,15 @@ def dictionary_values(dictionary: DataFrame) -> DataFrame:
 def read_messy_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with carriage returns, blank lines or an unfinished last line; one record per line.
 
-    Quotes inside quoted values are doubled, as usual in CSV. The header is recognised by its text.
+    Quotes inside quoted values are doubled, as usual in CSV. The header is recognised by its text. A value that is not
+    of its column's type fails the read.
     """
     header = ",".join(f.name for f in schema.fields)
     line = F.regexp_replace("value", "\r", "")
     lines = spark.read.text(path, lineSep="\n").select(line.alias("line"))
     records = lines.where((F.trim("line") != "") & (F.trim("line") != header))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = F.from_csv("line", ddl, {"quote": '"', "escape": '"'})
+    parsed = F.from_csv("line", ddl, {"quote": '"', "escape": '"', "mode": "FAILFAST"})
     return records.select(parsed.alias("r")).select("r.*")
 
 

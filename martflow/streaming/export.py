@@ -12,6 +12,9 @@ from martflow.functions.scalar import month_floor
 from martflow.sinks.files import write_partitioned
 from martflow.streaming.ingest import not_yet_stored
 
+# Partition of the records without a date.
+UNDATED = "undated"
+
 
 def export_new_files(
     spark: SparkSession,
@@ -27,17 +30,19 @@ def export_new_files(
 ) -> None:
     """Append the lake's new files to a table partitioned by month, then stop.
 
-    Each batch replaces only the partitions of its own export id, so a repeated batch adds nothing twice. Records
+    Records without a date have a partition of their own. Each batch replaces only the partitions of its own export id, so a repeated batch adds nothing twice. Records
     that an earlier export holds are left out, so a lake file written anew adds nothing either.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        month = F.date_format(month_floor(date_column), "yyyy-MM")
+        month = F.coalesce(F.date_format(month_floor(date_column), "yyyy-MM"), F.lit(UNDATED))
         dated = shape(batch).withColumn("month", month)
-        months = dated.agg(F.min("month"), F.max("month")).first()
-        if months[0] is None:
-            return
-        unseen = not_yet_stored(dated, target, record_id, batch_id, tuple(months), "month", "export_id")
+        # A record that the batch holds twice counts once; records without an id can't be told apart.
+        known = F.col(record_id).isNotNull()
+        dated = dated.where(known).dropDuplicates(["month", record_id]).unionByName(dated.where(~known))
+        # One row for each month of the batch.
+        months = [row["month"] for row in dated.select("month").distinct().collect()]
+        unseen = not_yet_stored(dated, target, record_id, batch_id, months, "month", "export_id")
         stamped = unseen.withColumn("export_id", F.lit(batch_id).cast("bigint"))
         write_partitioned(stamped, target, ["month", "export_id"], cluster_by)
 

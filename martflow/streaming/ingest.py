@@ -66,23 +66,33 @@ def read_if_any(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
         raise
 
 
+def read_directories(spark: SparkSession, root: str, parts: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Rows of those of the named partition directories that are there."""
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{part}") for part in parts]
+    there = [path.toString() for path in paths if path.getFileSystem(configuration).exists(path)]
+    if not there:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*there)
+
+
 def not_yet_stored(
     fresh: DataFrame,
     path: str,
     message_id: str,
     batch_id: int,
-    periods: tuple,
+    periods: Sequence,
     period: str = DAY,
     batch: str = BATCH,
 ) -> DataFrame:
     """Records whose id earlier batches have not stored.
 
-    A redelivered message carries the same event time, so only the periods this batch touches are read.
+    A redelivered message carries the same event time, so only the directories of the batch's own periods are listed
+    and read, however far they lie apart and however long the history is.
     """
     kept = T.StructType([fresh.schema[message_id], fresh.schema[period], T.StructField(batch, T.LongType())])
-    stored = read_if_any(fresh.sparkSession, path, kept)
-    touched = F.col(period).between(F.lit(periods[0]), F.lit(periods[1]))
-    return fresh.join(stored.where(touched & (F.col(batch) < batch_id)), [period, message_id], "left_anti")
+    stored = read_directories(fresh.sparkSession, path, [f"{period}={p}" for p in periods], kept)
+    return fresh.join(stored.where(F.col(batch) < batch_id), [period, message_id], "left_anti")
 
 
 def store_batch(lake: Lake, form: MessageFormat) -> Callable[[DataFrame, int], None]:
@@ -93,12 +103,13 @@ def store_batch(lake: Lake, form: MessageFormat) -> Callable[[DataFrame, int], N
         stamp = F.lit(batch_id).cast("bigint")
         sound = is_sound(form.required)
         try:
-            first, last, misfits = parsed.agg(
-                F.min(F.when(sound, F.col(DAY))), F.max(F.when(sound, F.col(DAY))), F.count_if(~sound)
-            ).first()
-            if first is not None:
+            # One row for each day of the batch.
+            counted = parsed.groupBy(F.when(sound, F.col(DAY)).alias("day")).agg(F.count_if(~sound).alias("n")).collect()
+            days = [row["day"] for row in counted if row["day"] is not None]
+            misfits = sum(row["n"] for row in counted)
+            if days:
                 records = parsed.where(sound).drop(MESSAGE, "_corrupt").dropDuplicates([DAY, form.message_id])
-                records = not_yet_stored(records, lake.records, form.message_id, batch_id, (first, last))
+                records = not_yet_stored(records, lake.records, form.message_id, batch_id, days)
                 write_partitioned(records.withColumn(BATCH, stamp), lake.records, [DAY, BATCH])
             if misfits:
                 rejected = parsed.where(~sound).select(MESSAGE).withColumn(BATCH, stamp)

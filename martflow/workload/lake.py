@@ -186,6 +186,26 @@ def scan_drifting(b: Binding) -> DataFrame:
     return file_sources.read_drifting(b.spark, path, ["amount"])
 
 
+@query(
+    "scan_drifting_partitioned",
+    f"""SELECT {LINE_SQL}, l_returnflag, l_linestatus,
+        CASE l_returnflag WHEN 'R' THEN 0 ELSE l_quantity END AS amount FROM lineitem""",
+)
+def scan_drifting_partitioned(b: Binding) -> DataFrame:
+    """Drifting files in partition directories, whose columns stay."""
+    path = new_path(b.spark, "drift-partitioned")
+    lines = b.table("lineitem").select(*LINE, "l_returnflag", "l_linestatus", "l_quantity")
+    shapes = {
+        "A": lines.withColumn("amount", F.col("l_quantity").cast("bigint")),
+        "N": lines.withColumn("amount", F.col("l_quantity")),
+        "R": lines,
+    }
+    for flag, frame in shapes.items():
+        own = frame.where(F.col("l_returnflag") == flag).drop("l_quantity")
+        own.write.mode("append").partitionBy("l_linestatus").parquet(path)
+    return file_sources.read_drifting(b.spark, path, ["amount"])
+
+
 @query(
     "write_star",
     sql(

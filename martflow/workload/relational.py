@@ -190,8 +190,8 @@ def join_many_to_many(b: Binding) -> DataFrame:
     sql("SELECT a.farm_id, a.farm_size, b.farm_name, b.farm_location FROM farms a LEFT JOIN farms b USING (farm_id)"),
 )
 def join_self_dim(b: Binding) -> DataFrame:
-    """A dimension joined to itself on its key adds nothing; one pass over it gives the same rows."""
-    return joins.one_per_key(b.farms, ["farm_id"]).select("farm_id", "farm_size", "farm_name", "farm_location")
+    """A dimension joined to itself on its key."""
+    return joins.joined_to_itself(b.farms, ["farm_id"], ["farm_size"], ["farm_name", "farm_location"])
 
 
 @query(
@@ -213,22 +213,6 @@ def join_constant_lookup(b: Binding) -> DataFrame:
     )
 
 
-@query(
-    "join_first_pairs",
-    sql(
-        """SELECT f.farm_id, farm_name, c.crop_id, crop_name
-        FROM (SELECT farm_id, farm_name FROM farms ORDER BY farm_id LIMIT 100) f
-        CROSS JOIN (SELECT crop_id, crop_name FROM crops ORDER BY crop_id LIMIT 100) c
-        ORDER BY farm_id, crop_id LIMIT 100"""
-    ),
-)
-def join_first_pairs(b: Binding) -> DataFrame:
-    """The capped product of farms and crops; the cap of 100 pairs is the operator's own."""
-    return joins.first_pairs(
-        b.farms.select("farm_id", "farm_name"), b.crops.select("crop_id", "crop_name"), "farm_id", "crop_id", 100
-    )
-
-
 @query(
     "join_key_cast",
     sql(
@@ -441,7 +425,7 @@ def rank_windowed(b: Binding) -> DataFrame:
 
 @query("rank_distributed", sql(f"SELECT *, {RANK_SQL} FROM means", means=FARM_TYPE_MEANS))
 def rank_distributed(b: Binding) -> DataFrame:
-    return add_ranks(farm_type_means(b), RANKS, window_rows=0)
+    return add_ranks(farm_type_means(b), RANKS)
 
 
 @query(
@@ -451,7 +435,7 @@ def rank_distributed(b: Binding) -> DataFrame:
 )
 def rank_global(b: Binding) -> DataFrame:
     orders = b.table("orders").select("o_orderkey", "o_totalprice")
-    return add_ranks(orders, [Rank("rank", "o_totalprice", ["o_orderkey"])], window_rows=0)
+    return add_ranks(orders, [Rank("rank", "o_totalprice", ["o_orderkey"])])
 
 
 @query(
@@ -462,7 +446,7 @@ def rank_global(b: Binding) -> DataFrame:
 def rank_in_type(b: Binding) -> DataFrame:
     orders = b.table("orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
     rank = Rank("rank", "o_totalprice", ["o_orderkey"], within=["o_orderpriority"])
-    return add_ranks(orders, [rank], window_rows=0)
+    return add_ranks(orders, [rank])
 
 
 @query(

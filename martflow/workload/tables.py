@@ -238,27 +238,6 @@ def stg_full_data_synth(b: Binding) -> DataFrame:
     return seeded.staged_full_data(b.shared().seeds, AS_OF).drop(*AUDIT)
 
 
-@query(
-    "seed_fallback_cross",
-    sql(
-        "SELECT farm_id AS \"Farm_ID\", 'Mixed' AS \"Farm_Type\", farm_size AS \"Farm_Size_Acres\", "
-        'CAST(crop_id AS VARCHAR) AS "Crop_ID", DATE \'2024-01-01\' AS "Planting_Date", '
-        'DATE \'2024-01-01\' AS "Harvest_Date", 2024 AS year, 1 AS month, farm_location AS "Farm_Location", '
-        'farm_name AS "Farmer_Contact", '
-        + ", ".join(
-            (f"'{value}'" if isinstance(value, str) else f"{value}::DOUBLE" if isinstance(value, float) else str(value))
-            + f' AS "{name}"'
-            for name, value in seeded.FALLBACK_RECORD.items()
-        )
-        + """ FROM (SELECT * FROM farms ORDER BY farm_id LIMIT 100)
-        CROSS JOIN (SELECT crop_id FROM crops ORDER BY crop_id LIMIT 100) ORDER BY farm_id, crop_id LIMIT 100"""
-    ),
-)
-def seed_fallback_cross(b: Binding) -> DataFrame:
-    """The fallback table; its cap of 100 rows is part of it."""
-    return seeded.fallback_full_data(b.farms, b.crops, AS_OF).drop(*AUDIT)
-
-
 @query(
     "seed_fallback_rollups",
     sql(

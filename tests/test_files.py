@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from martflow.bindings import agri
 from martflow.functions.scalar import table_of_path
+from martflow.operators.conform import align
 from martflow.sinks import files as sinks
 from martflow.sources import catalog
 from martflow.sources import files as sources
@@ -150,3 +151,31 @@ def test_catalog_source_checks_its_contract(spark):
         catalog.source(spark, "contracted", ["a", "c"])
     view = catalog.view_of(spark, "lazy_view", lambda: spark.range(4))
     assert view.count() == 4
+
+
+def test_drifting_scan_keeps_partitions_and_turns_bad_texts_to_null(spark, path):
+    first = spark.createDataFrame([(1, 2020, 5), (2, 2021, 6)], "id int, year int, amount long")
+    second = spark.createDataFrame([(3, 2021, "n/a"), (4, 2022, "7.5")], "id int, year int, amount string")
+    first.write.partitionBy("year").parquet(path("lake"))
+    second.write.mode("append").partitionBy("year").parquet(path("lake"))
+    found = sources.read_drifting(spark, path("lake"), ["amount"], fill=None)
+    assert rows(found, "id", "year", "amount") == [(1, 2020, 5.0), (2, 2021, 6.0), (3, 2021, None), (4, 2022, 7.5)]
+
+
+def test_drifting_scan_of_nothing_says_so(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        sources.read_drifting(spark, str(tmp_path))
+
+
+def test_align_refuses_to_cut_numbers(spark):
+    df = spark.createDataFrame([(1.0,), (None,)], "x double")
+    whole = T.StructType.fromDDL("x bigint")
+    assert rows(align(df, whole)) == [(1,), (None,)]
+    with pytest.raises(Exception, match="integer column"):
+        align(spark.createDataFrame([(1.75,)], "x double"), whole).collect()
+
+
+def test_messy_csv_fails_on_a_bad_value(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text("id,v\n1,2\n2,x\n")
+    with pytest.raises(Exception):
+        sources.read_messy_csv(spark, str(tmp_path / "bad.csv"), T.StructType.fromDDL("id int, v bigint")).collect()

@@ -34,13 +34,11 @@ def test_summary_equals_the_constant_join(spark):
     assert all(r.avg_t is None and r.max_p is None for r in empty.collect()) and empty.count() == 3
 
 
-def test_first_pairs_equal_the_limited_product(spark):
-    left = spark.createDataFrame([(i, f"l{i}") for i in (5, 1, 3, 2)], "a int, x string")
-    right = spark.createDataFrame([(i, f"r{i}") for i in (9, 7, 8)], "b int, y string")
-    for limit in (1, 2, 3, 5, 100):
-        expected = [tuple(r) for r in left.crossJoin(right).orderBy("a", "b").limit(limit).collect()]
-        assert [tuple(r) for r in joins.first_pairs(left, right, "a", "b", limit).collect()] == expected
-    assert joins.first_pairs(left, right.where("b < 0"), "a", "b", 3).count() == 0
+def test_self_join_with_repeated_keys(spark):
+    df = spark.createDataFrame([(1, "a", 5), (1, "b", 6), (2, "c", 7), (None, "d", 8)], "k int, x string, y int")
+    expected = df.alias("l").join(df.alias("r"), F.col("l.k") == F.col("r.k"), "left").select("l.k", "l.x", "r.y")
+    found = joins.joined_to_itself(df, ["k"], ["x"], ["y"])
+    assert rows(found) == rows(expected) and found.count() == 6
 
 
 def test_cast_key_join(spark):

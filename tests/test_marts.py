@@ -127,11 +127,9 @@ def by_key(rows, *names):
 
 
 @pytest.mark.parametrize("exact", [None, FixedPoint(), FixedPoint("decimal(18,4)", "decimal(28,10)", "decimal(18,6)")])
-@pytest.mark.parametrize("window_rows", [100, 0])
-def test_farm_performance(tables, exact, window_rows):
+def test_farm_performance(tables, exact):
     found = marts.farm_performance(
         tables["farms"], tables["records"], tables["soil"], tables["use"], tables["yields"], 2024, exact,
-        window_rows=window_rows,
     ).collect()
     expected = farm_brute_force()
     tolerant = [{k: round(v, 3) if isinstance(v, float) else v for k, v in row.items()} for row in expected]
@@ -333,3 +331,11 @@ def test_all_marts_keep_their_contracts(spark, tables, path):
     for name, written in write_tables(found, path("marts")).items():
         rows = spark.read.parquet(written)
         assert rows.count() > 0 and rows.where("generated_at <> timestamp'2023-06-01 12:00:00'").count() == 0
+
+
+def test_farm_without_an_id_stays(spark, tables):
+    nameless = spark.createDataFrame([(None, "none", "nowhere", 1.0)], tables["farms"].schema)
+    marts_rows = marts.farm_performance(
+        tables["farms"].unionByName(nameless), tables["records"], tables["soil"], tables["use"], tables["yields"], 2024
+    ).collect()
+    assert [r.farm_name for r in marts_rows if r.farm_id is None] == ["none"]

@@ -16,7 +16,7 @@ def plan(df):
 
 def all_lazy():
     writing = {
-        "scan_drifting", "write_star", "partitioned_roundtrip", "partition_overwrite", "append_evolve",
+        "scan_drifting", "scan_drifting_partitioned", "write_star", "partitioned_roundtrip", "partition_overwrite", "append_evolve",
         "create_if_absent", "replace_table", "seed_csv_roundtrip", "messy_csv",
     }
     return [n for n in QUERIES if n not in writing and not n.startswith("stream_")]

@@ -103,10 +103,6 @@ def test_rollups_from_seeds(spark, seeds):
 
 
 def test_fallback(seeds):
-    df = seeded.fallback_full_data(seeds["farm"], seeds["crop"], AS_OF, limit=5)
-    assert sorted(df.columns) == sorted(agri.CONTRACTS["full_data"])
-    assert rows(df, "Farm_ID", "Crop_ID") == [(1, "10"), (1, "11"), (1, "12"), (1, "13"), (2, "10")]
-    assert df.first().Planting_Date == date(2024, 6, 7)
     assert seeded.fallback_farm_analysis(seeds["farm"]).columns == agri.CONTRACTS["farm_analysis"]
     assert seeded.fallback_crop_analysis(seeds["crop"]).columns == agri.CONTRACTS["crop_analysis"]
 

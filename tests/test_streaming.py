@@ -151,6 +151,36 @@ def test_rewritten_lake_files_are_not_exported_twice(spark, site, form, path):
     assert rows(spark.read.parquet(path("out")), "message_id") == [("m1",), ("m2",)]
 
 
+def test_export_keeps_undated_records_and_no_duplicates(spark, form, path):
+    def row(i, dated=True):
+        return (f"m{i}", "2024-01-05 10:00:00" if dated else None, i, 1.0)
+
+    def deliver(name, *given):
+        frame = spark.createDataFrame(given, "message_id string, at string, farm long, amount double")
+        frame.select("message_id", F.to_timestamp("at").alias("timestamp"), "farm", "amount").coalesce(1).write.mode(
+            "append"
+        ).parquet(path("lake"))
+        export.export_new_files(
+            spark, path("lake"), form.schema, path("out"), path("cp"), "timestamp", ["farm"], "message_id"
+        )
+
+    deliver("a", row(1), row(1), row(2, dated=False), row(2, dated=False))
+    deliver("b", row(3, dated=False), row(4, dated=False))
+    deliver("c", row(1), row(2, dated=False), row(5))
+    assert rows(spark.read.parquet(path("out")), "message_id", "export_id", "month") == [
+        ("m1", 0, "2024-01"), ("m2", 0, "undated"), ("m3", 1, "undated"), ("m4", 1, "undated"), ("m5", 2, "2024-01"),
+    ]
+
+
+def test_one_old_record_reads_two_days(spark, site, form):
+    store = ingest.store_batch(site.lake, form)
+    for day in range(1, 7):
+        store(spark.createDataFrame([(message(day, day=day),)], "value string"), day)
+    kept = T.StructType.fromDDL("message_id string, event_day date, batch_id long")
+    found = ingest.read_directories(spark, site.lake.records, [f"{ingest.DAY}=2024-01-0{d}" for d in (1, 6, 9)], kept)
+    assert len(found.inputFiles()) == 2
+
+
 def test_watermark_removes_duplicates_in_the_stream(spark, site, form, path):
     site.deliver(message(1), message(1), message(2))
     site.deliver(message(2), message(3))
