@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from martflow.llm.common import map_columns
+from martflow.llm.common import bounded_sample, map_columns
 from martflow.workspace import materialise
 
 # Vectors that the partition is learned from, at most. Every row is indexed.
@@ -140,8 +140,8 @@ def fit(rows: np.ndarray) -> Router:
 def train(vectors: DataFrame, key: str, vector: str) -> tuple[Router | None, int]:
     """The router and the width of the vectors, from the usable vectors with the smallest hashes of their keys."""
     present = vectors.where(F.col(vector).isNotNull() & F.col(key).isNotNull())
-    chosen = present.select(F.col(key).alias("_key")).orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE_ROWS)
-    found = present.join(F.broadcast(chosen.distinct()), F.col(key) == F.col("_key"), "left_semi")
+    chosen = bounded_sample(present.select(F.col(key).alias("_key")).distinct(), "_key", SAMPLE_ROWS)
+    found = present.join(F.broadcast(chosen), F.col(key) == F.col("_key"), "left_semi")
     sample = [r[1] for r in sorted(found.select(key, vector).limit(2 * SAMPLE_ROWS).collect(), key=lambda r: r[0])]
     sample = [v for v in sample if usable(v, None)]
     if not sample:

@@ -93,17 +93,17 @@ def _listed(column: str):
     return F.array_join(parts, ",")
 
 
+def _count_of(kind: str):
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+
 @query("op3_crf_pii")
 def op3_crf_pii(spark: SparkSession, directory: str) -> DataFrame:
     """The counts are those of the base spans; ``spans`` holds the added ones too."""
     found = pii.spans(read(spark, directory, "documents"))
-    counts = [
-        F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-        for kind in pii.KINDS
-    ]
     return found.select(
         F.col("key").alias("doc_id"),
-        *counts,
+        *[_count_of(kind).alias(f"n_{kind}") for kind in pii.KINDS],
         F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256"),
         _listed("spans").alias("spans"),
     )
