@@ -8,10 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_folder: ContextVar[str | None] = ContextVar("martflow_run_folder", default=None)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -30,7 +34,23 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path nothing has been written to yet."""
-    return f"{shared_root(spark)}/martflow/{label}-{uuid.uuid4().hex}"
+    return f"{_folder.get() or shared_root(spark) + '/martflow'}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for all that is stored within the block; it goes when the block ends.
+
+    What depends on it must be written or collected within the block. Blocks may be nested; each removes its own folder.
+    """
+    path = new_path(spark, "run")
+    token = _folder.set(path)
+    try:
+        yield path
+    finally:
+        _folder.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, label: str = "cut") -> DataFrame:

@@ -3,7 +3,8 @@
 import pytest
 
 from martflow.bindings.testdata import Binding
-from martflow.workload import lake, relational, scalars, tables  # noqa: F401
+from martflow.plans import marts
+from martflow.workload import lake, relational, scalars, supply, tables  # noqa: F401
 from martflow.workload.registry import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -18,6 +19,7 @@ def all_lazy():
     writing = {
         "scan_drifting", "scan_drifting_partitioned", "write_star", "partitioned_roundtrip", "partition_overwrite", "append_evolve",
         "create_if_absent", "replace_table", "seed_csv_roundtrip", "messy_csv",
+        "catalog_contract", "table_of_file", "seed_reload", "write_star_fact", "marts_run",
     }
     return [n for n in QUERIES if n not in writing and not n.startswith("stream_")]
 
@@ -54,6 +56,21 @@ def test_marts_have_no_single_partition_step(spark, name):
     assert "SinglePartition" not in main
 
 
+@pytest.mark.parametrize("name", ["farm_performance", "crop_performance"])
+def test_ranked_marts_before_they_are_stored(spark, name, monkeypatch):
+    """With nothing broadcast, the joins below the ranks keep their keys and gather nothing in one place."""
+    monkeypatch.setattr(marts, "add_ranks", lambda metrics, ranks: metrics)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES[name](spark, SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" in text and "hashpartitioning" in text
+    for operator in ("SinglePartition", "CartesianProduct", "NestedLoop", "Window"):
+        assert operator not in text, operator
+
+
 def test_unbroadcast_dimension_joins_once(spark):
     """With nothing small enough to broadcast, farms, usage and soil join the records in one step."""
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
