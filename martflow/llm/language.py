@@ -98,14 +98,39 @@ def _profiles(rows: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, key: str = "doc_id", rows: int = SAMPLE_ROWS) -> Model | None:
-    """Fit on at most ``rows`` documents with a language, none of them held out. None if there is no such document."""
+    """Fit on at most ``rows`` documents with a language, none of them held out. None if there is no such document.
+
+    The bounded sample is fitted in one task, so that only the model reaches the driver.
+    """
     labelled = docs.where(in_learning_part(F.col(key)) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     chosen = bounded_sample(labelled.select(F.col(key).alias("_key")).distinct(), "_key", rows)
     picked = labelled.join(F.broadcast(chosen), F.col(key) == F.col("_key"), "left_semi")
-    found = _profiles(picked.select(F.col("lang").alias("label"), "text").limit(4 * rows)).collect()
-    profiles = sorted((r["label"], bytes(r["buckets"]), bytes(r["counts"])) for r in found)
-    profiles = [p for p in profiles if p[1]]
-    return fit(profiles) if profiles else None
+    sample = _profiles(picked.select(F.col("lang").alias("label"), "text").limit(4 * rows)).coalesce(1)
+
+    def run(batches):
+        import pyarrow as pa
+
+        profiles = []
+        for batch in batches:
+            labels, found, counts = (batch.column(k) for k in range(3))
+            profiles += zip(labels.to_pylist(), found.to_pylist(), counts.to_pylist())
+        profiles = sorted(p for p in profiles if p[1])
+        if profiles:
+            model = fit(profiles)
+            columns = {
+                "languages": [model.languages],
+                "scores": [model.scores.tobytes()],
+                "bias": [model.bias.tobytes()],
+                "threshold": [model.threshold],
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+    fitted = sample.mapInArrow(run, "languages array<string>, scores binary, bias binary, threshold double").first()
+    if fitted is None:
+        return None
+    languages = list(fitted["languages"])
+    scores = np.frombuffer(bytes(fitted["scores"]), np.float32).reshape(-1, len(languages))
+    return Model(languages, scores, np.frombuffer(bytes(fitted["bias"])), fitted["threshold"])
 
 
 def fit(profiles: list[tuple[str, bytes, bytes]]) -> Model:
@@ -113,7 +138,7 @@ def fit(profiles: list[tuple[str, bytes, bytes]]) -> Model:
     random = np.random.default_rng(7)
     languages = sorted({label for label, _, _ in profiles})
     targets = np.array([languages.index(label) for label, _, _ in profiles])
-    indices = [np.frombuffer(b, np.uint32).astype(np.int64) for _, b, _ in profiles]
+    indices = [np.frombuffer(b, np.uint32) for _, b, _ in profiles]
     weights = [w / w.sum() for w in (np.frombuffer(c, np.float32) for _, _, c in profiles)]
     order = random.permutation(len(profiles))
     kept_back = max(1, int(len(order) * CALIBRATION_SHARE)) if len(order) > 5 else 0
