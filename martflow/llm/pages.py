@@ -3,11 +3,13 @@
 Pages of one host come together in chunks. Every page becomes a tree in which neighbours of one kind are folded into a
 list; the trees of a chunk are aligned with the largest of them by simple tree matching. Slots of the aligned tree whose
 text stays the same from page to page belong to the template, slots whose text varies hold the content. What
-marks itself as menu, advert, form and the like is no content either way, and where a page marks its article, that is it.
+marks itself as menu, advert, form and the like is no content either way. Where a page marks its article, only blocks in it
+can be content, and the template holds there too.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -102,47 +104,59 @@ def parse(html: str) -> Node:
     return builder.root
 
 
-def text_blocks(top: Node, skip=lambda node, path: node.marked) -> list[str]:
-    """Texts of the blocks in page order, white space folded. ``skip`` leaves out an element by itself and its path."""
-    blocks: list[str] = []
+# What lies deeper is not told apart.
+DEEPEST = 40
+
+
+def blocks(top: Node, chosen: list[Node] | None = None) -> list[tuple[str, str]]:
+    """Path and text of every block in page order, white space folded, without marked elements.
+
+    A path names the elements from the page's root to the block, inline ones aside. With ``chosen`` only blocks below
+    these elements are taken, which may be marked themselves.
+    """
+    found: list[tuple[str, str]] = []
     current: list[str] = []
+    roots = {id(node) for node in chosen or ()}
 
-    def flush():
+    def flush(path):
         text = " ".join("".join(current).split())
         current.clear()
         if text:
-            blocks.append(text)
+            found.append((path, text))
 
     # An explicit stack, as pages can be nested without end.
-    stack: list = [(top, "", iter(top.items))]
+    stack: list = [(top, "", 0, chosen is None, iter(top.items))]
     while stack:
-        node, path, items = stack[-1]
+        node, path, depth, taken, items = stack[-1]
         for item in items:
             if isinstance(item, str):
-                current.append(item)
+                if taken:
+                    current.append(item)
                 continue
             if item.tag == "br":
                 current.append(" ")
                 continue
-            below = f"{path}/{item.kind}"
-            if skip(item, below):
-                if item.tag not in INLINE:
-                    flush()
+            root = id(item) in roots
+            inline = item.tag in INLINE
+            if not inline:
+                flush(path)
+            if item.marked and not root:
                 continue
-            if item.tag not in INLINE:
-                flush()
-            stack.append((item, below, iter(item.items)))
+            if inline or depth >= DEEPEST:
+                stack.append((item, path, depth, taken or root, iter(item.items)))
+            else:
+                stack.append((item, f"{path}/{item.kind}", depth + 1, taken or root, iter(item.items)))
             break
         else:
             stack.pop()
             if node.tag not in INLINE:
-                flush()
-    flush()
-    return blocks
+                flush(path)
+    flush("")
+    return found
 
 
 class Slot:
-    """A node of an aligned tree: neighbours of one kind are one slot with the texts of all."""
+    """A node of an aligned tree: neighbours of one kind are one slot with the blocks of all."""
 
     __slots__ = ("kind", "text", "children")
 
@@ -150,26 +164,17 @@ class Slot:
         self.kind, self.text, self.children = kind, [], []
 
 
-DEEPEST = 40
-
-
-def slots(node: Node, depth: int = 0) -> Slot:
-    """The tree with runs of neighbours of one kind folded. What lies very deep is not told apart."""
-    out = Slot(node.kind)
-    _fold(out, node, depth)
-    return out
-
-
-def _fold(slot: Slot, node: Node, depth: int) -> None:
-    for item in node.items:
-        if isinstance(item, str):
-            slot.text.append(item)
-        elif item.tag in CODE or item.tag in INLINE or depth >= DEEPEST:
-            slot.text += text_blocks(item, lambda n, _: n.tag in CODE) if item.tag not in CODE else []
-        else:
-            if not slot.children or slot.children[-1].kind != item.kind:
-                slot.children.append(Slot(item.kind))
-            _fold(slot.children[-1], item, depth + 1)
+def slots(tree: Node) -> Slot:
+    """The blocks of a page as a tree, in which runs of neighbours of one kind are folded."""
+    top = Slot("")
+    for path, text in blocks(tree, _chosen(tree) or None):
+        slot = top
+        for kind in path.split("/")[1:]:
+            if not slot.children or slot.children[-1].kind != kind:
+                slot.children.append(Slot(kind))
+            slot = slot.children[-1]
+        slot.text.append(text)
+    return top
 
 
 def match(a: Slot, b: Slot) -> tuple[int, list[tuple[Slot, Slot]]]:
@@ -197,8 +202,8 @@ def match(a: Slot, b: Slot) -> tuple[int, list[tuple[Slot, Slot]]]:
     return size[rows][columns] + 1, pairs
 
 
-def induce(trees: list[Node]) -> set[str]:
-    """Paths of the template slots of pages of one host."""
+def induce(trees: list[Node]) -> set[tuple[str, str]]:
+    """Path and text of the template blocks of pages of one host."""
     folded = [slots(tree) for tree in trees]
     if len(folded) < LEAST_PAGES:
         return set()
@@ -210,15 +215,18 @@ def induce(trees: list[Node]) -> set[str]:
 
     reference = max(folded, key=lambda slot: _count(slot))
     name(reference, "")
-    there: dict[str, list[str]] = {}
+    there: dict[str, list[tuple[str, ...]]] = {}
     for page in folded:
+        own: dict[str, list[str]] = {}
         for slot, other in match(reference, page)[1]:
-            there.setdefault(paths[id(slot)], []).append(" ".join("".join(other.text).split()))
+            own.setdefault(paths[id(slot)], []).extend(other.text)
+        for path, texts in own.items():
+            there.setdefault(path, []).append(tuple(texts))
     template = set()
-    for path, texts in there.items():
-        most = max(map(texts.count, set(texts)))
-        if path and len(texts) >= LEAST_PAGES and most >= CONSTANT * len(texts) and any(texts):
-            template.add(path)
+    for path, pages in there.items():
+        most, times = Counter(pages).most_common(1)[0]
+        if len(pages) >= LEAST_PAGES and times >= CONSTANT * len(pages):
+            template.update((path, text) for text in most)
     return template
 
 
@@ -240,15 +248,19 @@ def _articles(tree: Node) -> list[Node]:
     return found
 
 
-def main_text(tree: Node, template: set[str]) -> str:
-    """The blocks of the articles if the page marks any, else what is neither marked nor template, joined by line feeds."""
+def _chosen(tree: Node) -> list[Node]:
+    """The elements that the page marks as its articles, if any."""
     marked = _articles(tree)
     if any("main" == node.tag for node in marked):
         inner = [a for node in marked if node.tag == "main" for a in _inside(node)]
         marked = inner or marked
-    if marked:
-        return "\n".join(block for node in marked for block in text_blocks(node))
-    return "\n".join(text_blocks(tree, lambda node, path: node.marked or path in template))
+    return marked
+
+
+def main_text(tree: Node, template: set[tuple[str, str]]) -> str:
+    """The blocks that are neither marked nor template, of the articles if the page marks any, joined by line feeds."""
+    found = blocks(tree, _chosen(tree) or None)
+    return "\n".join(text for path, text in found if (path, text) not in template)
 
 
 def _inside(node: Node) -> list[Node]:

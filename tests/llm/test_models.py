@@ -182,6 +182,13 @@ def test_constant_slots_are_template():
     assert count == len(pairs) == 5
 
 
+def test_template_holds_inside_articles():
+    html = "<body><article><div><h2>Sign up to our letter</h2></div><h1>Title {k}</h1><p>Story {k}</p></article></body>"
+    made = [pages.parse(html.format(k=k)) for k in range(6)]
+    template = pages.induce(made)
+    assert [pages.main_text(t, template) for t in made] == [f"Title {k}\nStory {k}" for k in range(6)]
+
+
 def test_broken_and_deep_pages():
     assert pages.main_text(pages.parse("<div>" * 5000 + "deep"), set()) == "deep"
     pages.induce([pages.parse("<div>" * 3000 + str(k)) for k in range(5)])
