@@ -20,7 +20,8 @@ TOKENIZER = "byte_bpe_50k.json"
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told, and named if they had no name. Those that are rejected go.
 
-    Rejected is what has no letter, or a score below the calibrated threshold. The decision depends on the text alone, so
+    Rejected is what has no letter, a score below the calibrated threshold, or too few subwords that the sample knows, as
+    gibberish, code and languages that were not learnt. The decision depends on the text alone, so
     it is made once for each row and carried next to it.
     """
     session(spark)

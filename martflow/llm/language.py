@@ -3,7 +3,8 @@
 A text is the mean of the embeddings of its subwords, the byte sequences of three and four hashed to a fixed number
 of buckets. As the softmax is linear, a trained model is one row of class scores per bucket, so a prediction is a mean
 of looked-up rows. Part of the sample is kept back to calibrate: a temperature makes the scores
-probabilities, and a threshold rejects predictions that are too uncertain.
+probabilities, and a threshold rejects predictions that are too uncertain. A softmax can be sure of what it never learnt,
+so a text is also rejected if too few of its subwords occur in the sample, by the measure of its language's documents.
 """
 
 from __future__ import annotations
@@ -28,18 +29,30 @@ RATE = 8.0
 CALIBRATION_SHARE = 0.2
 ACCEPTED_ERRORS = 0.01
 SPARED = 0.6
+# A subword is known if so many documents of the sample have it. A text of a language is rejected if its share of known
+# subwords lies below this part of the share that all but a few of the language's documents reach without themselves.
+# Every text counts as having some known subwords more, as a share of few says little.
+KNOWN_IN = 3
+UNUSUAL = 0.01
+COVERED = 0.8
+SURPLUS = 4
 SEGMENT = 1 << 20
 UNDETERMINED = "und"
 
 
 @dataclass
 class Model:
-    """``scores`` holds a row per bucket and a column per language, with the bias and temperature applied."""
+    """``scores`` holds a row per bucket and a column per language, with the bias and temperature applied.
+
+    ``known`` says of each bucket if it counts as known, ``least`` has the lowest share of known subwords by language.
+    """
 
     languages: list[str]
     scores: np.ndarray
     bias: np.ndarray
     threshold: float
+    known: np.ndarray
+    least: np.ndarray
 
 
 def _fold() -> np.ndarray:
@@ -122,15 +135,22 @@ def train(docs: DataFrame, key: str = "doc_id", rows: int = SAMPLE_ROWS) -> Mode
                 "scores": [model.scores.tobytes()],
                 "bias": [model.bias.tobytes()],
                 "threshold": [model.threshold],
+                "known": [np.packbits(model.known).tobytes()],
+                "least": [model.least.tolist()],
             }
             yield pa.RecordBatch.from_pydict(columns)
 
-    fitted = sample.mapInArrow(run, "languages array<string>, scores binary, bias binary, threshold double").first()
+    schema = (
+        "languages array<string>, scores binary, bias binary, threshold double, known binary, least array<double>"
+    )
+    fitted = sample.mapInArrow(run, schema).first()
     if fitted is None:
         return None
     languages = list(fitted["languages"])
     scores = np.frombuffer(bytes(fitted["scores"]), np.float32).reshape(-1, len(languages))
-    return Model(languages, scores, np.frombuffer(bytes(fitted["bias"])), fitted["threshold"])
+    known = np.unpackbits(np.frombuffer(bytes(fitted["known"]), np.uint8)).astype(bool)
+    least = np.array(fitted["least"])
+    return Model(languages, scores, np.frombuffer(bytes(fitted["bias"])), fitted["threshold"], known, least)
 
 
 def fit(profiles: list[tuple[str, bytes, bytes]]) -> Model:
@@ -139,7 +159,9 @@ def fit(profiles: list[tuple[str, bytes, bytes]]) -> Model:
     languages = sorted({label for label, _, _ in profiles})
     targets = np.array([languages.index(label) for label, _, _ in profiles])
     indices = [np.frombuffer(b, np.uint32) for _, b, _ in profiles]
-    weights = [w / w.sum() for w in (np.frombuffer(c, np.float32) for _, _, c in profiles)]
+    counts = [np.frombuffer(c, np.float32) for _, _, c in profiles]
+    sizes = [float(c.sum()) for c in counts]
+    weights = [c / c.sum() for c in counts]
     order = random.permutation(len(profiles))
     kept_back = max(1, int(len(order) * CALIBRATION_SHARE)) if len(order) > 5 else 0
     calibration, training = order[:kept_back], order[kept_back:]
@@ -170,7 +192,29 @@ def fit(profiles: list[tuple[str, bytes, bytes]]) -> Model:
     scores = embeddings @ linear
     raw = np.array([weights[i] @ scores[indices[i]] + bias for i in calibration]).reshape(-1, len(languages))
     temperature, threshold = calibrate(raw, targets[calibration])
-    return Model(languages, (scores / temperature).astype(np.float32), bias / temperature, threshold)
+    known, least = coverage([(targets[i], indices[i], weights[i], sizes[i]) for i in range(len(profiles))], len(languages))
+    return Model(languages, (scores / temperature).astype(np.float32), bias / temperature, threshold, known, least)
+
+
+def coverage(texts: list[tuple[int, np.ndarray, np.ndarray, float]], languages: int) -> tuple[np.ndarray, np.ndarray]:
+    """The known buckets, and for each language the share of known subwords below which a text is rejected.
+
+    ``texts`` are language, buckets, their weights and the number of subwords. A text's own occurrence does not make a
+    subword known to it.
+    """
+    having = np.zeros(1 << BUCKET_BITS, np.int64)
+    for _, found, _, _ in texts:
+        having[found] += 1
+    shares: list[list[float]] = [[] for _ in range(languages)]
+    for language, found, weight, size in texts:
+        known = float(weight[having[found] > KNOWN_IN].sum()) * size
+        shares[language].append(known_share(known, size))
+    least = [COVERED * float(np.quantile(s, UNUSUAL)) if s else 0.0 for s in shares]
+    return having >= KNOWN_IN, np.array(least)
+
+
+def known_share(known: float, size: float) -> float:
+    return (known + SURPLUS) / (size + SURPLUS)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -208,14 +252,16 @@ def _predictor(fitted: Model | None):
     def one(text: str | None) -> tuple[str, float, bool]:
         if fitted is None or text is None or not has_letter(text):
             return UNDETERMINED, 0.0, True
-        total, count = np.zeros(len(fitted.languages)), 0
+        total, count, known = np.zeros(len(fitted.languages)), 0, 0
         for part in segments(text):
             found = buckets(part)
             total += fitted.scores[found].sum(axis=0, dtype=np.float64)
             count += len(found)
+            known += int(np.count_nonzero(fitted.known[found]))
         chances = _softmax((total / max(count, 1) + fitted.bias)[None, :])[0]
         best = int(chances.argmax())
-        return fitted.languages[best], float(chances[best]), bool(chances[best] <= fitted.threshold)
+        unknown = known_share(known, count) < fitted.least[best]
+        return fitted.languages[best], float(chances[best]), bool(chances[best] <= fitted.threshold or unknown)
 
     return one
 

@@ -44,6 +44,20 @@ def test_calibration_finds_temperature_and_threshold():
     assert language.calibrate(np.zeros((0, 2)), np.zeros(0, int)) == (1.0, 0.0)
 
 
+def test_gibberish_code_and_unlearnt_languages_are_rejected(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = language.train(docs.where("lang <> 'es'"))
+    pick = random.Random(4)
+    rows = [(k, "".join(pick.choice("abcdefghijklmnopqrstuvwxyz  ") for _ in range(60 + 40 * k)), "x") for k in range(50)]
+    rows.append((50, "for i in range(len(buf)):\n    buf[i] = lambda q: q.pop() ^ (y << 3)  # xorshift\nimport numpy", None))
+    planted = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert all(r["rejected"] for r in language.predict(planted, model).collect())
+    assert language.with_language(planted, model).count() == 0
+    found = language.predict(docs, model).withColumnRenamed("key", "doc_id").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert np.mean([r["rejected"] for r in found if r["lang"] == "es"]) > 0.8
+    assert np.mean([r["rejected"] for r in found if r["lang"] != "es"]) < 0.01
+
+
 def test_quality_of_held_out_documents(spark):
     docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
     scored = quality.scored(docs, labels).withColumnRenamed("key", "doc_id")
