@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 CHUNK = 64
 # A host with more than one in SHARE of all pages is split over several tasks; there are fewer such hosts than SHARE.
 SHARE = 500
-# A slot is template if so many pages have it, and this share of them the same text.
+# A slot is template if so many different pages have it, and this share of them the same text.
 LEAST_PAGES = 4
 CONSTANT = 0.8
 
@@ -164,10 +164,19 @@ class Slot:
         self.kind, self.text, self.children = kind, [], []
 
 
+def content(tree: Node) -> list[tuple[str, str]]:
+    """The blocks that may be main text: of the articles if the page marks any, else of the whole page."""
+    return blocks(tree, _chosen(tree) or None)
+
+
 def slots(tree: Node) -> Slot:
     """The blocks of a page as a tree, in which runs of neighbours of one kind are folded."""
+    return _folded(content(tree))
+
+
+def _folded(found: list[tuple[str, str]]) -> Slot:
     top = Slot("")
-    for path, text in blocks(tree, _chosen(tree) or None):
+    for path, text in found:
         slot = top
         for kind in path.split("/")[1:]:
             if not slot.children or slot.children[-1].kind != kind:
@@ -204,7 +213,12 @@ def match(a: Slot, b: Slot) -> tuple[int, list[tuple[Slot, Slot]]]:
 
 def induce(trees: list[Node]) -> set[tuple[str, str]]:
     """Path and text of the template blocks of pages of one host."""
-    folded = [slots(tree) for tree in trees]
+    return induce_blocks([content(tree) for tree in trees])
+
+
+def induce_blocks(found: list[list[tuple[str, str]]]) -> set[tuple[str, str]]:
+    """The same from the pages' blocks. Pages with the same blocks are copies and count as one."""
+    folded = [_folded(page) for page in dict.fromkeys(map(tuple, found))]
     if len(folded) < LEAST_PAGES:
         return set()
     paths: dict[int, str] = {}
@@ -259,7 +273,10 @@ def _chosen(tree: Node) -> list[Node]:
 
 def main_text(tree: Node, template: set[tuple[str, str]]) -> str:
     """The blocks that are neither marked nor template, of the articles if the page marks any, joined by line feeds."""
-    found = blocks(tree, _chosen(tree) or None)
+    return kept_text(content(tree), template)
+
+
+def kept_text(found: list[tuple[str, str]], template: set[tuple[str, str]]) -> str:
     return "\n".join(text for path, text in found if (path, text) not in template)
 
 

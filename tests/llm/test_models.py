@@ -203,6 +203,16 @@ def test_template_holds_inside_articles():
     assert [pages.main_text(t, template) for t in made] == [f"Title {k}\nStory {k}" for k in range(6)]
 
 
+def test_copies_of_a_page_count_once():
+    html = "<body><div id=top>Welcome to us</div><div id=body>Story {k}</div></body>"
+    copies = [pages.parse(html.format(k=1)) for _ in range(20)]
+    template = pages.induce(copies)
+    assert [pages.main_text(t, template) for t in copies] == ["Welcome to us\nStory 1"] * 20
+    mixed = copies + [pages.parse(html.format(k=k)) for k in range(2, 6)]
+    template = pages.induce(mixed)
+    assert [pages.main_text(t, template) for t in mixed] == ["Story 1"] * 20 + [f"Story {k}" for k in range(2, 6)]
+
+
 def test_broken_and_deep_pages():
     assert pages.main_text(pages.parse("<div>" * 5000 + "deep"), set()) == "deep"
     pages.induce([pages.parse("<div>" * 3000 + str(k)) for k in range(5)])
