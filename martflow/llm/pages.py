@@ -26,7 +26,10 @@ CONSTANT = 0.8
 # Elements by their role in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CODE = frozenset("script style template noscript svg math iframe object canvas select textarea button audio video".split())
-NO_CONTENT = CODE | frozenset("head nav header footer aside form menu dialog".split())
+NO_CONTENT = CODE | frozenset("head title nav header footer aside form menu dialog".split())
+# Marked by what they are, not by a word that a wrapper may have too.
+FIRM = NO_CONTENT - frozenset(["header", "form"])
+HEAD = frozenset("title base basefont bgsound link meta style script noscript template".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span "
     "strike strong sub sup time tt u var wbr".split()
@@ -73,6 +76,7 @@ class TreeBuilder(HTMLParser):
         parts = {part for name in names for part in name.replace("_", "-").split("-")}
         marked = tag in NO_CONTENT or not MARKS.isdisjoint(parts) or (given.get("role") or "").lower() in ROLES
         marked = marked or "hidden" in given or (given.get("aria-hidden") or "") == "true"
+        self._end_head(tag)
         # Elements that the start of another one ends, unless a list or section lies between.
         for k in range(len(self.open) - 1, 0, -1):
             opened = self.open[k].tag
@@ -86,6 +90,12 @@ class TreeBuilder(HTMLParser):
         if tag not in VOID:
             self.open.append(node)
 
+    def _end_head(self, tag: str) -> None:
+        """The head ends where something begins that it cannot hold."""
+        tags = [node.tag for node in self.open[:4]]
+        if "head" in tags and tag not in HEAD and (tag == "body" or self.open[-1].tag == "head"):
+            del self.open[tags.index("head") :]
+
     def handle_endtag(self, tag):
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k].tag == tag:
@@ -93,6 +103,8 @@ class TreeBuilder(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if data.strip():
+            self._end_head("")
         if data and self.open[-1].tag not in CODE:
             self.open[-1].items.append(data)
 
@@ -101,9 +113,60 @@ def parse(html: str) -> Node:
     builder = TreeBuilder()
     builder.feed(html)
     builder.close()
+    _settle(builder.root)
     return builder.root
 
 
+def _settle(top: Node) -> None:
+    """Take the marks off elements that cannot be left out, whatever their names say.
+
+    These are html and body, what holds the main element or the largest article, unless that is small next to what is not
+    marked, and on pages where no article is free what holds more than half of the page's text. Menus, footers and
+    the like stay marked, and so does what holds code.
+    """
+    nodes, parents = [top], [-1]
+    for k, node in enumerate(nodes):
+        below = [item for item in node.items if isinstance(item, Node) and item.tag not in CODE]
+        nodes += below
+        parents += [k] * len(below)
+    for node in nodes:
+        if node.tag in ("html", "body"):
+            node.marked = False
+    if not any(node.marked and node.tag not in FIRM for node in nodes):
+        return
+    own = [sum(len("".join(item.split())) for item in node.items if isinstance(item, str)) for node in nodes]
+    size = own[:]
+    for k in range(len(nodes) - 1, 0, -1):
+        if nodes[k].tag not in FIRM:
+            size[parents[k]] += size[k]
+
+    def covered() -> list[bool]:
+        out = [False] * len(nodes)
+        for k in range(1, len(nodes)):
+            out[k] = out[parents[k]] or (nodes[parents[k]].marked and nodes[parents[k]].tag not in ARTICLE)
+        return out
+
+    def release(k: int) -> None:
+        k = parents[k]
+        while k > 0:
+            nodes[k].marked = nodes[k].marked and nodes[k].tag in FIRM
+            k = parents[k]
+
+    hidden = covered()
+    free = sum(n for n, node, away in zip(own, nodes, hidden) if not (away or node.marked))
+    articles = [k for k, node in enumerate(nodes) if node.tag in ARTICLE]
+    if articles:
+        largest = max(articles, key=lambda k: size[k])
+        for k in articles:
+            if nodes[k].tag == "main" or k == largest and 2 * size[k] >= free:
+                release(k)
+        hidden = covered()
+    if all(hidden[k] for k in articles):
+        for k, node in enumerate(nodes):
+            if node.marked and node.tag not in FIRM and 2 * size[k] > size[0]:
+                node.marked = False
+
+
 # What lies deeper is not told apart.
 DEEPEST = 40
 

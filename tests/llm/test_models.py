@@ -213,6 +213,24 @@ def test_copies_of_a_page_count_once():
     assert [pages.main_text(t, template) for t in mixed] == ["Story 1"] * 20 + [f"Story {k}" for k in range(2, 6)]
 
 
+def test_pages_are_not_lost_by_a_name_or_an_omitted_tag():
+    for html in (
+        "<html><head><title>T</title></head><body class='has-sidebar'><p>A story is told</p></body></html>",
+        "<html class='no-popup'><body><article><p>A story is told</p></article></body></html>",
+        "<body><nav>Menu</nav><div class='no-comments'><p>A story is told</p></div><div class=footer>Foot</div></body>",
+        "<body><div id='cookie-page'><article>A story is told</article></div><div class=ad>Buy</div></body>",
+        "<body><div class='has-sidebar'><main>A story is told</main><div class=sidebar>Side</div></div></body>",
+        "<body><form action=/><div>A story is told</div><nav>Menu</nav></form></body>",
+        "<html><head><meta charset=utf-8><title>T</title><body><p>A story is told</body></html>",
+        "<head><title>T</title><p>A story is told",
+        "<title>T</title><p>A story is told",
+        "<head><title>T</title><script>x</script>A story is told",
+    ):
+        assert pages.main_text(pages.parse(html), set()) == "A story is told", html
+    teaser = "<body><p>A story is told at length here</p><div class=related><article>Next</article></div></body>"
+    assert pages.main_text(pages.parse(teaser), set()) == "A story is told at length here"
+
+
 def test_broken_and_deep_pages():
     assert pages.main_text(pages.parse("<div>" * 5000 + "deep"), set()) == "deep"
     pages.induce([pages.parse("<div>" * 3000 + str(k)) for k in range(5)])
