@@ -1,8 +1,8 @@
 """Main text of web pages by wrapper induction.
 
 Pages of one host come together in chunks. Every page becomes a tree in which neighbours of one kind are folded into a
-list; the trees of a chunk are aligned with the largest of them by simple tree matching. Slots of the aligned tree whose
-text stays the same from page to page belong to the template, slots whose text varies hold the content. What
+list; the trees of a chunk are aligned with the largest of them by simple tree matching. Blocks of a slot of the aligned
+tree that stay the same from page to page belong to the template, blocks that vary are the content. What
 marks itself as menu, advert, form and the like is no content either way. Where a page marks its article, only blocks in it
 can be content, and the template holds there too.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 CHUNK = 64
 # A host with more than one in SHARE of all pages is split over several tasks; there are fewer such hosts than SHARE.
 SHARE = 500
-# A slot is template if so many different pages have it, and this share of them the same text.
+# A block is template if so many different pages have its slot, and this share of them the same block in it.
 LEAST_PAGES = 4
 CONSTANT = 0.8
 
@@ -292,19 +292,21 @@ def induce_blocks(found: list[list[tuple[str, str]]]) -> set[tuple[str, str]]:
 
     reference = max(folded, key=lambda slot: _count(slot))
     name(reference, "")
-    there: dict[str, list[tuple[str, ...]]] = {}
+    having: Counter[str] = Counter()
+    times: Counter[tuple[str, str]] = Counter()
     for page in folded:
-        own: dict[str, list[str]] = {}
+        own: dict[str, set[str]] = {}
         for slot, other in match(reference, page)[1]:
-            own.setdefault(paths[id(slot)], []).extend(other.text)
+            own.setdefault(paths[id(slot)], set()).update(other.text)
         for path, texts in own.items():
-            there.setdefault(path, []).append(tuple(texts))
-    template = set()
-    for path, pages in there.items():
-        most, times = Counter(pages).most_common(1)[0]
-        if len(pages) >= LEAST_PAGES and times >= CONSTANT * len(pages):
-            template.update((path, text) for text in most)
-    return template
+            having[path] += 1
+            times.update((path, text) for text in texts)
+    # Folded neighbours are judged one by one: a block is template by the share of pages that have it in its slot.
+    return {
+        (path, text)
+        for (path, text), n in times.items()
+        if having[path] >= LEAST_PAGES and n >= CONSTANT * having[path]
+    }
 
 
 def _count(slot: Slot) -> int:

@@ -231,6 +231,15 @@ def test_pages_are_not_lost_by_a_name_or_an_omitted_tag():
     assert pages.main_text(pages.parse(teaser), set()) == "A story is told at length here"
 
 
+def test_constant_neighbours_of_one_kind_are_template():
+    body = "<body><p>Subscribe now</p><p>Story {k}</p><p>Rest {k}</p><p>Call us</p></body>"
+    divs = "<body><div><ul><li>Home<li>About</ul></div><div><p>Story {k}</div><div>Imprint</div></body>"
+    for html, expected in ((body, "Story {k}\nRest {k}"), (divs, "Story {k}")):
+        made = [pages.parse(html.format(k=k)) for k in range(6)]
+        template = pages.induce(made)
+        assert [pages.main_text(t, template) for t in made] == [expected.format(k=k) for k in range(6)]
+
+
 def test_broken_and_deep_pages():
     assert pages.main_text(pages.parse("<div>" * 5000 + "deep"), set()) == "deep"
     pages.induce([pages.parse("<div>" * 3000 + str(k)) for k in range(5)])
