@@ -1,6 +1,6 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host come together in chunks. Every page becomes a tree in which neighbours of one kind are folded into a
+Different pages of one host come together in chunks of even size. Every page becomes a tree in which neighbours of one kind are folded into a
 list; the trees of a chunk are aligned with the largest of them by simple tree matching. Blocks of a slot of the aligned
 tree that stay the same from page to page belong to the template, blocks that vary are the content. What
 marks itself as menu, advert, form and the like is no content either way. Where a page marks its article, only blocks in it
@@ -15,10 +15,15 @@ from html.parser import HTMLParser
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Pages aligned with one another.
+# Different pages aligned with one another, from half to all of that if the host has so many.
 CHUNK = 64
 # A host with more than one in SHARE of all pages is split over several tasks; there are fewer such hosts than SHARE.
+# No split is made for fewer rows than SPLIT_ROWS.
 SHARE = 500
+SPLIT_ROWS = 2 * CHUNK
+# Rows that wait for their chunk, copies included, and rows of one Arrow batch.
+HELD_ROWS = 1 << 16
+BATCH_ROWS = 256
 # A block is template if so many different pages have its slot, and this share of them the same block in it.
 LEAST_PAGES = 4
 CONSTANT = 0.8
@@ -351,6 +356,44 @@ def _inside(node: Node) -> list[Node]:
     return _articles(below)
 
 
+def chunks(rows):
+    """Chunks of pages of one group, each with its template, from (group, row, blocks) ordered by group.
+
+    A chunk is a list of (blocks, rows): rows with the same blocks are copies, which take one place. A group's pages are
+    spread evenly, so that its last chunk is no small rest. Where too many copies wait, the chunk ends early; a rest of
+    fewer pages than a template needs then takes that of the chunk before.
+    """
+    held: dict[tuple, list] = {}
+    group, waiting, template = None, 0, set()
+
+    def take(n: int):
+        nonlocal waiting, template
+        part = [(found, held.pop(found)) for found in list(held)[:n]]
+        waiting -= sum(len(same) for _, same in part)
+        if len(part) >= LEAST_PAGES:
+            template = induce_blocks([found for found, _ in part])
+        return part, template
+
+    def rest():
+        if held:
+            half = len(held) if len(held) <= CHUNK else (len(held) + 1) // 2
+            yield take(half)
+        if held:
+            yield take(len(held))
+
+    for key, row, found in rows:
+        if key != group:
+            yield from rest()
+            group, template = key, set()
+        held.setdefault(tuple(found), []).append(row)
+        waiting += 1
+        if len(held) >= 2 * CHUNK:
+            yield take(CHUNK)
+        elif waiting >= HELD_ROWS:
+            yield from rest()
+    yield from rest()
+
+
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text of every row of ``pages``: the main text of its whole html, empty if there is none.
 
@@ -363,9 +406,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     counts = named.groupBy("host").agg(F.count("*").alias("rows"))
     total = max(1, pages.count())
     # Hosts with more than a SHAREth of all pages: fewer than SHARE of them.
-    hot = counts.where(F.col("rows") * SHARE > total).select(
-        "host", F.ceil(F.col("rows") * SHARE / total).cast("int").alias("splits")
-    )
+    splits = F.least(F.ceil(F.col("rows") * SHARE / total), F.floor(F.col("rows") / SPLIT_ROWS))
+    hot = counts.where(F.col("rows") * SHARE > total).select("host", F.greatest(splits, F.lit(1)).cast("int").alias("splits"))
     split = F.coalesce(F.pmod(F.xxhash64("page_id"), "splits"), F.lit(0))
     dealt = named.join(F.broadcast(hot), "host", "left").withColumn("split", split).drop("splits")
     keys = ["host", "split"]
@@ -375,27 +417,24 @@ def main_texts(pages: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        def extract(chunk):
-            trees = [parse(html or "") for _, _, html in chunk]
-            template = induce(trees)
-            texts = [main_text(tree, template) for tree in trees]
-            return pa.RecordBatch.from_pydict(
-                {
-                    "page_id": pa.array([c[0] for c in chunk], pa.int64()),
-                    "url": pa.array([c[1] for c in chunk], pa.string()),
-                    "text": pa.array(texts, pa.string()),
-                }
-            )
-
-        chunk, current = [], None
+        def extract(chunk, template):
+            rows = [(*row, text) for found, same in chunk for text in [kept_text(found, template)] for row in same]
+            for at in range(0, len(rows), BATCH_ROWS):
+                ids, urls, texts = zip(*rows[at : at + BATCH_ROWS])
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "page_id": pa.array(ids, pa.int64()),
+                        "url": pa.array(urls, pa.string()),
+                        "text": pa.array(texts, pa.string()),
+                    }
+                )
+
+        for chunk, template in chunks(groups(batches)):
+            yield from extract(chunk, template)
+
+    def groups(batches):
         for batch in batches:
-            for host_name, part, *page in zip(*(column.to_pylist() for column in batch.columns)):
-                if chunk and ((host_name, part) != current or len(chunk) >= CHUNK):
-                    yield extract(chunk)
-                    chunk = []
-                current = (host_name, part)
-                chunk.append(page)
-        if chunk:
-            yield extract(chunk)
+            for host_name, part, page_id, url, html in zip(*(column.to_pylist() for column in batch.columns)):
+                yield (host_name, part), (page_id, url), content(parse(html or ""))
 
     return ordered.mapInArrow(run, "page_id long, url string, text string")

@@ -240,6 +240,28 @@ def test_constant_neighbours_of_one_kind_are_template():
         assert [pages.main_text(t, template) for t in made] == [expected.format(k=k) for k in range(6)]
 
 
+def test_no_page_is_left_without_the_template(spark):
+    html = "<body><div id=top>Welcome to us</div><div id=body>Story {k}</div></body>"
+    rows = [(k, f"http://h{n}.example/{k}", html.format(k=k)) for n in (65, 67, 130, 259) for k in range(n)]
+    rows += [(1000 + k, "http://h67.example/copy", html.format(k=3)) for k in range(300)]
+    found = pages.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r["url"], r["page_id"], r["text"]) for r in found) == sorted(
+        (url, k, f"Story {3 if k >= 1000 else k}") for k, url, _ in rows
+    )
+
+
+def test_chunks_are_even_and_copies_take_one_place(monkeypatch):
+    for n in (1, 3, 64, 65, 67, 128, 129, 200):
+        given = [("h", k, [("/p", f"Story {k}"), ("/q", "Foot")]) for k in range(n) for _ in range(3)]
+        made = list(pages.chunks(given))
+        assert sorted(row for chunk, _ in made for _, same in chunk for row in same) == sorted(k for _, k, _ in given)
+        assert all(len(chunk) >= min(n, 32) and len(chunk) <= 64 for chunk, _ in made)
+        assert all(template == ({("/q", "Foot")} if n >= 4 else set()) for _, template in made)
+    monkeypatch.setattr(pages, "HELD_ROWS", 20)
+    given = [("h", k, [("/p", f"Story {min(k, 18)}"), ("/q", "Foot")]) for k in range(21)] + [("i", 0, [("/q", "Foot")])]
+    assert [(len(chunk), len(template)) for chunk, template in pages.chunks(given)] == [(19, 1), (1, 1), (1, 0)]
+
+
 def test_broken_and_deep_pages():
     assert pages.main_text(pages.parse("<div>" * 5000 + "deep"), set()) == "deep"
     pages.induce([pages.parse("<div>" * 3000 + str(k)) for k in range(5)])
