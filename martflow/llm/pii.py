@@ -35,7 +35,8 @@ EMAIL_TAIL = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 EMAIL_HEAD = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 
 WORD = re.compile(r"\S+")
-TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]|\bdot\b", re.I)
+# Every spelling that the checks below accept has a digit or one of these.
+TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]|\bdot\b|(?<=\s)at(?=\s+[\w-]+\s*\.\s*[\w-])", re.I)
 # Checks of what the random field adds.
 SPOKEN_EMAIL = re.compile(
     r"[\w.+-]+\s*(?:@|\(at\)|\[at\]|\sat\s)\s*[\w-]+(?:\s*(?:\.|\(dot\)|\[dot\]|\sdot\s)\s*[\w-]+)+", re.I | re.A

@@ -64,4 +64,17 @@ the and of 34@mail7.example.com is found elsewhere
 the +1 (017) 555-7713 is found elsewhere
 thnt 97.51.17.173 is found elsewhere
 and 4417744280351547 is found elsewhere
+<email>anna at example.com</email>
+write to <email>anna at example.com</email> before noon
+please mail <email>j.meyer at mail.example.org</email> today
+you can reach <email>peter at shop.example.net</email> for the files
+my address is <email>k_lopez at example . com</email> since May
+send it to <email>maria at example. org</email> at once
+contact <email>tom at example . net</email>
+he stayed at home. Then he left
+they looked at it. She said no
+we were at school. It was late
+see the page at www.example.com for more
+more of it is found at example.org and elsewhere
+look at setup.py in the folder
 """.strip().split("\n")

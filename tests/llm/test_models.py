@@ -120,6 +120,22 @@ def test_random_field_adds_other_spellings_and_leaves_the_rest():
     assert pii.added_spans(clean, [[]] * 4, model) == [[]] * 4
 
 
+def test_every_accepted_spelling_of_an_address_is_decoded():
+    model = pii.train()
+    for text in ("write to anna at example.com today", "mail john.smith at mail.example.org please", "contact eva at example . net"):
+        found = pii.added_spans([text], [[]], model)[0]
+        assert [(kind, " at " in text[start:end]) for start, end, kind in found] == [("email", True)], text
+    spellings = [
+        f"anna{at}example{dot}com"
+        for at in ("@", "(at)", " [at] ", " at ", "\tAT  ", " at\n")
+        for dot in (".", " . ", ". ", "(dot)", " [dot] ", " dot ")
+    ]
+    for text in spellings:
+        assert pii.SPOKEN_EMAIL.fullmatch(text) and pii.windows(text), text
+    clean = ["she was at home. Then it rained", "see the page at www.example.com for it", "look at main.py in the folder"]
+    assert pii.added_spans(clean, [[]] * 3, model) == [[]] * 3
+
+
 def test_batches_decode_as_single_sequences():
     model, pick = pii.train(), random.Random(3)
     vocabulary = ["call", "(702)", "555-0742", "the", "4417.1234", "at", "x@", "dot", "10[.]2[.]3[.]4"]
