@@ -63,7 +63,8 @@ STAGES = [
     ("packing", packed),
 ]
 
-# Trained and iterative stages are beyond SQL; the tests hold each against a brute-force version.
+# Trained and iterative stages are beyond SQL; the tests hold the duplicates, personal data and packing against brute force,
+# language_id against planted cases and held-out rows.
 ORACLE_SQL = None
 
 

@@ -1,6 +1,7 @@
 """Registered queries over whole tables, and the stages of the pipeline."""
 
 import hashlib
+import zlib
 from pathlib import Path
 
 import duckdb
@@ -10,6 +11,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from martflow.llm import pii
 from martflow.llm.queries import QUERIES, SQL
+from tests.llm.test_duplicates import roots, sets_of
 from tests.llm.test_models import plain_spans
 
 SMALL = "/root/testdata/sf0.001"
@@ -69,3 +71,42 @@ def test_stages_keep_what_they_should(spark, connection, path):
         assert not plain_spans(r["text"]) and r["n_chars"] == len(r["text"])
     pieces = kept[5].collect()
     assert {r["doc_id"] for r in pieces} == set(ids[4]) and all(1 <= r["length"] <= 1024 for r in pieces)
+
+
+def test_near_dedup_and_packing_stages_equal_brute_force(spark):
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    sets = sets_of(rows)
+    linked = [
+        (a, b)
+        for a in sets
+        for b in sets
+        if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    ]
+    top = roots(sets, linked)
+    kept = stages["near_dedup"](spark, docs, SMALL).collect()
+    assert linked and sorted(r["doc_id"] for r in kept) == sorted(k for k in sets if top[k] == k)
+    texts = dict(rows)
+    assert all(r["text"] == texts[r["doc_id"]] for r in kept)
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.TOKENIZER))
+    expected = {}
+    for key, text in rows:
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        for piece, end in enumerate(range(len(ids) % 1024 or 1024, len(ids) + 1, 1024)):
+            start = max(0, end - 1024)
+            expected[key, piece] = (end - start, zlib.crc32(ids[start:end].tobytes()))
+    packed = stages["packing"](spark, docs, SMALL).collect()
+    assert {(r["doc_id"], r["piece"]): (r["length"], r["ids_crc32"]) for r in packed} == expected
+    assert len(packed) == len(expected)
+    sequences = {}
+    for r in packed:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for spans in sequences.values():
+        ends = [0, *(offset + length for offset, length in sorted(spans))]
+        assert [offset for offset, _ in sorted(spans)] == ends[:-1] and ends[-1] <= 1024
