@@ -6,8 +6,10 @@ chance agreement. Only pairs whose estimate comes near the threshold are compare
 
 No bucket is expanded into all its pairs. First every class is compared with the smallest of one of its buckets, the one
 of the best estimate. Then what shares a bucket and is not yet connected is compared in blocks, in memory, by a
-longer sketch and by a bound: a shingle that no other candidate has can't be common to two. Of a large component,
-which may hold a third of all rows, no member is compared with another.
+longer sketch and by a bound: a shingle that no other candidate has can't be common to two. Where a block has likely
+partners, their full sets are sent there once, and only links that join two components of the block leave it, so
+no step makes more rows than the blocks have members. Of a large component, which may hold a third of all rows, no
+member is compared with another.
 """
 
 from __future__ import annotations
@@ -35,8 +37,11 @@ MARGIN = 0.2
 # The longer sketch of the second round, and its margin of four and a half standard deviations.
 LONG_MINIMA = 1024
 LONG_MARGIN = 0.065
-# Classes of one bucket compared at once with as many others.
+# Classes of one bucket compared at once with as many others, and shingles they may have together.
 MEMBERS = 2000
+BLOCK_SHINGLES = 2_000_000
+# Shingles looked up at once.
+COMPARED_AT_ONCE = 1_000_000
 # A document of more shingles is worked through in blocks of so many.
 BLOCK = 4096
 
@@ -189,7 +194,7 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         .agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits")),
         "classes",
     )
-    held = classes.select("id", F.explode("bands").alias("bucket"))
+    held = classes.select("id", "n", F.explode("bands").alias("bucket"))
     shared = held.groupBy("bucket").agg(F.min("id").alias("b"), F.count("*").alias("size")).where("size > 1")
     members = materialise(held.join(shared.select("bucket", "b"), "bucket"), "members")
     star = members.where("id <> b").select(F.col("id").alias("a"), "b").distinct()
@@ -202,28 +207,36 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     best = star.groupBy("a").agg(F.max_by("b", F.struct("estimate", -F.col("b"))).alias("b"))
     links = materialise(_verified(best, texts), "links")
     labels = materialise(components(links), "labels")
-    more = materialise(_verified(_apart(members, classes, labels, texts), texts), "more-links")
+    more = materialise(_apart(members, classes, labels, texts), "more-links")
     return stored, classes, links.unionByName(more)
 
 
 def _apart(members: DataFrame, classes: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b of classes that share a bucket, are not connected yet, and may be linked."""
+    """a, b of linked classes that share a bucket and were not connected yet, enough of them to connect all such."""
     labelled = members.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
-        "bucket", "id", F.coalesce("component", "id").alias("component")
+        "bucket", "id", "n", F.coalesce("component", "id").alias("component")
     )
-    counts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("rows"))
+    counts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
     split = (
         counts.groupBy("bucket")
-        .agg(F.count("*").alias("kinds"), F.max_by("component", "rows").alias("main"), F.max("rows").alias("in_main"), F.sum("rows").alias("rows"))
+        .agg(
+            F.count("*").alias("kinds"),
+            F.max_by("component", "rows").alias("main"),
+            F.max(F.struct("rows", "n")).alias("in_main"),
+            F.sum("rows").alias("rows"),
+            F.sum("n").alias("all_n"),
+        )
         .where("kinds > 1")
     )
-    apart = materialise(labelled.join(split, "bucket"), "apart")
-    details = materialise(_details(apart.select("id").distinct(), classes, texts), "details")
+    apart = materialise(labelled.drop("n").join(split, "bucket"), "apart")
+    wide = materialise(_wide(apart.select("id").distinct(), texts), "wide")
+    details = materialise(_details(classes, wide), "details")
+    in_main, n_main = F.col("in_main.rows"), F.col("in_main.n")
     # Blocks 0 to main_blocks - 1 hold the largest component of the bucket, the others follow.
     blocks = (
         apart.join(details, "id")
-        .withColumn("main_blocks", F.ceil(F.col("in_main") / MEMBERS).cast("int"))
-        .withColumn("other_blocks", F.ceil((F.col("rows") - F.col("in_main")) / MEMBERS).cast("int"))
+        .withColumn("main_blocks", _blocks(in_main, n_main))
+        .withColumn("other_blocks", _blocks(F.col("rows") - in_main, F.col("all_n") - n_main))
         .withColumn("is_main", F.col("component") == F.col("main"))
         .withColumn(
             "own",
@@ -240,11 +253,19 @@ def _apart(members: DataFrame, classes: DataFrame, labels: DataFrame, texts: Dat
         .withColumn("high", F.greatest("own", "met"))
         .select("bucket", "low", "high", "own", "id", "component", "n", "shared", "bits", "bands")
     )
-    return _compared(paired)
+    # Full sets go only to the blocks where a member has a likely partner, once each.
+    suspects = materialise(_by_block(paired, _suspects, paired.schema), "suspects")
+    with_sets = suspects.join(wide.select("id", "shingles"), "id").select(*paired.columns, "shingles")
+    return _by_block(with_sets, _links_of, "a long, b long")
+
 
+def _blocks(rows: Column, shingles: Column) -> Column:
+    """Blocks for so many rows with so many shingles."""
+    return F.greatest(F.ceil(rows / MEMBERS), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1)).cast("int")
 
-def _details(ids: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """id, n, shared (shingles that another of ``ids`` has as well), bits (the longer sketch)."""
+
+def _wide(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """id, bits (the longer sketch), shingles."""
 
     def start():
         shingler = Shingler()
@@ -259,9 +280,11 @@ def _details(ids: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
 
         return apply
 
-    wide = materialise(
-        map_columns(texts.join(ids, "id"), "id long, bits binary, shingles array<long>", start), "wide"
-    )
+    return map_columns(texts.join(ids, "id"), "id long, bits binary, shingles array<long>", start)
+
+
+def _details(classes: DataFrame, wide: DataFrame) -> DataFrame:
+    """id, n, shared (shingles that another of ``wide`` has as well), bits (the longer sketch), bands."""
     alone = (
         wide.select("id", F.explode("shingles").alias("shingle"))
         .groupBy("shingle")
@@ -276,8 +299,8 @@ def _details(ids: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _compared(paired: DataFrame) -> DataFrame:
-    """a, b of the pairs of two blocks that are of different components and may be linked."""
+def _by_block(paired: DataFrame, of_block, schema) -> DataFrame:
+    """Apply a function of a table to the rows of every pair of blocks, which come together in one task."""
     keys = ["bucket", "low", "high"]
     spark = paired.sparkSession
     spread = paired.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys)
@@ -294,45 +317,77 @@ def _compared(paired: DataFrame) -> DataFrame:
             for start, end in zip(bounds, bounds[1:]):
                 key = tuple(c[start] for c in key_columns) if end > start else current
                 if key != current and held:
-                    yield from _pairs_of(held)
+                    yield from of_block(pa.Table.from_batches(held))
                     held = []
                 current = key
                 held.append(batch.slice(start, end - start))
         if held:
-            yield from _pairs_of(held)
-
-    return spread.mapInArrow(run, "a long, b long")
+            yield from of_block(pa.Table.from_batches(held))
 
+    return spread.mapInArrow(run, schema)
 
-def _pairs_of(held):
-    """The pairs of one group of rows that may be linked, as record batches."""
-    import pyarrow as pa
 
-    table = pa.Table.from_batches(held)
+def _likely(table, label: np.ndarray):
+    """For each row of the first block its likely partners that have another label just then, as row numbers."""
     own, high, low = (table[c].to_numpy() for c in ("own", "high", "low"))
-    ids, component, n, shared = (table[c].to_numpy() for c in ("id", "component", "n", "shared"))
-    bits = np.frombuffer(b"".join(table["bits"].to_pylist()), np.uint64).reshape(len(ids), -1)
-    bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+    n, shared = (table[c].to_numpy() for c in ("n", "shared"))
+    bits = np.frombuffer(b"".join(table["bits"].to_pylist()), np.uint64).reshape(len(n), -1)
+    bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(n), -1)
     bucket = table["bucket"][0].as_py()
     within = low[0] == high[0]
-    first, second = (np.arange(len(ids)),) * 2 if within else (np.flatnonzero(own == low[0]), np.flatnonzero(own == high[0]))
-    out: tuple[list, list] = ([], [])
+    first, second = (np.arange(len(n)),) * 2 if within else (np.flatnonzero(own == low[0]), np.flatnonzero(own == high[0]))
     for i in first:
         j = second[second > i] if within else second
-        j = j[component[j] != component[i]]
+        j = j[label[j] != label[i]]
         j = j[100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i])]
         # 100 * common >= PERCENT * (n_i + n_j - common), and no more can be common than is shared with any.
         j = j[(100 + PERCENT) * np.minimum(shared[j], shared[i]) >= PERCENT * (n[j] + n[i])]
         for width, margin in ((MINIMA // PER_LONG, MARGIN), (LONG_MINIMA // PER_LONG, LONG_MARGIN)):
             if len(j):
                 j = j[_estimates(bits[j, :width], bits[i, :width]) >= PERCENT / 100 - margin]
-        # A pair that shares several buckets is told of by the first.
+        # A pair that shares several buckets is compared in the first.
         same = bands[j] == bands[i]
         j = j[bands[i][same.argmax(axis=1)] == bucket]
-        out[0].extend(np.minimum(ids[i], ids[j]).tolist())
-        out[1].extend(np.maximum(ids[i], ids[j]).tolist())
-    if out[0]:
-        yield pa.RecordBatch.from_pydict({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+        if len(j):
+            yield i, j
+
+
+def _suspects(table):
+    """The rows that have a likely partner in the block."""
+    found = np.zeros(table.num_rows, bool)
+    for i, j in _likely(table, table["component"].to_numpy()):
+        found[i] = True
+        found[j] = True
+    if found.any():
+        yield from table.take(np.flatnonzero(found)).combine_chunks().to_batches()
+
+
+def _links_of(table):
+    """Links proved on full sets, each of which joins two components of the block: fewer than it has rows."""
+    import pyarrow as pa
+
+    ids, n, label = table["id"].to_numpy(), table["n"].to_numpy(), table["component"].to_numpy().copy()
+    shingles = table["shingles"].combine_chunks()
+    bounds, values = shingles.offsets.to_numpy(), shingles.values.to_numpy().view(np.uint64)
+    sets = [values[a:b] for a, b in zip(bounds, bounds[1:])]
+    links = []
+    for i, partners in _likely(table, label):
+        mine = sets[i]
+        for some in np.split(partners, np.flatnonzero(np.diff(np.cumsum(n[partners]) // COMPARED_AT_ONCE)) + 1):
+            some = some[label[some] != label[i]]
+            if not len(some):
+                continue
+            theirs = np.concatenate([sets[j] for j in some])
+            place = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+            starts = np.concatenate([[0], np.cumsum(n[some])[:-1]])
+            common = np.add.reduceat((mine[place] == theirs).astype(np.int64), starts)
+            for j in some[100 * common >= PERCENT * (n[i] + n[some] - common)]:
+                if label[j] != label[i]:
+                    links.append((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
+                    label[label == label[j]] = label[i]
+    if links:
+        a, b = zip(*links)
+        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def _estimates(many: np.ndarray, one: np.ndarray) -> np.ndarray:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -130,8 +131,6 @@ def test_estimate_is_near_the_similarity():
         other = shingler.shingles(" ".join(words(5, int(400 * share)) + [f"z{pick.random()}" for _ in range(20)]))
         common = len(set(base.tolist()) & set(other.tolist()))
         true = common / (len(base) + len(other) - common)
-        import numpy as np
-
         one, two = (np.frombuffer(shingler.long_sketch(s), np.uint64) for s in (base, other))
         assert abs(near._estimates(one[None, :], two)[0] - true) < 0.07
 
@@ -155,3 +154,47 @@ def test_empty_tables(spark):
     assert exact.exact_duplicates(empty).count() == 0
     assert exact.drop_exact_duplicates(empty).count() == 0
     assert near.near_duplicates(empty).count() == 0
+
+
+def test_rows_grow_with_a_group_just_below_the_threshold(spark, monkeypatch):
+    """Texts of a mutual similarity of about 0.71, and among them pairs of 0.9: no step lists the group's pairs."""
+    made = {}
+    store = near.materialise
+
+    def counted(df, label):
+        out = store(df, label)
+        made[label] = out.count()
+        return out
+
+    monkeypatch.setattr(near, "materialise", counted)
+    base = words(9, 300)
+
+    def rows_of(size):
+        texts = []
+        for k in range(size // 2):
+            pick = random.Random(k)
+            one = list(base)
+            for place in pick.sample(range(5, 295, 6), 6):
+                one[place] = f"own{k}x{place}"
+            other = list(one)
+            other[pick.randrange(300)] = f"pair{k}"
+            texts += [" ".join(one), " ".join(other)]
+        made.clear()
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        found = near.near_duplicates(docs).select("doc_id", "component_id").collect()
+        sets = sets_of(enumerate(texts))
+        places = {s: k for k, s in enumerate(sorted(set().union(*sets.values())))}
+        holds = np.zeros((size, len(places)), np.float32)
+        for k, own in sets.items():
+            holds[k, [places[s] for s in own]] = 1
+        common, n = holds @ holds.T, holds.sum(axis=1)
+        linked = np.argwhere(100 * common >= 75 * (n[:, None] + n - common))
+        assert {r["doc_id"]: r["component_id"] for r in found} == roots(sets, linked.tolist())
+        return dict(made)
+
+    small, large = rows_of(300), rows_of(600)
+    # A member is a suspect once in each of its buckets at most.
+    assert 0 < large["suspects"] <= large.pop("apart") <= 2.2 * small["apart"]
+    large.pop("suspects")
+    for label, count in large.items():
+        assert count <= 2.2 * small[label] + 20, (label, small[label], count)
