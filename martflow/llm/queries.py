@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import ann, bpe, exact, language, near, packing, pages, pii, quality, shards
+from martflow.llm import ann, bpe, exact, language, near, negatives, packing, pages, pii, quality, secret_scan, shards, spelling
 from martflow.llm.common import held_out, read
-from martflow.llm.sql import EXACT_DEDUP, HILBERT_SHARDS
+from martflow.llm.sql import EXACT_DEDUP, HARD_NEGATIVES, HILBERT_SHARDS, SPELLING
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -118,3 +118,25 @@ def op4_learned_partitions(spark: SparkSession, directory: str) -> DataFrame:
 def op5_wrapper_induction(spark: SparkSession, directory: str) -> DataFrame:
     found = pages.main_texts(read(spark, directory, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op13_four_russians", HARD_NEGATIVES)
+def op13_four_russians(spark: SparkSession, directory: str) -> DataFrame:
+    return negatives.hard_negatives(read(spark, directory, "embeddings"))
+
+
+@query("op12_assignment_lexing")
+def op12_assignment_lexing(spark: SparkSession, directory: str) -> DataFrame:
+    """The counts are those of the base spans; ``spans`` holds the added ones too."""
+    found = secret_scan.spans(read(spark, directory, "documents"))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        *[_count_of(kind).alias(f"n_{kind}") for kind in secret_scan.KINDS],
+        F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256"),
+        _listed("spans").alias("spans"),
+    )
+
+
+@query("op11_kd_spelling", SPELLING)
+def op11_kd_spelling(spark: SparkSession, directory: str) -> DataFrame:
+    return spelling.variants(read(spark, directory, "documents"))

@@ -54,3 +54,67 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_
        CAST(NULL AS INTEGER) AS grown_shard
 FROM ranked
 """
+
+HARD_NEGATIVES = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS alike, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.alike
+     AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+SPELLING = f"""
+WITH RECURSIVE runs AS MATERIALIZED (
+  SELECT doc, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc,
+               unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+step AS MATERIALIZED (SELECT unnest(range(256)) AS byte, unnest({_crc_steps()}) AS code),
+longest AS MATERIALIZED (SELECT max(octet_length(encode(doc || ':' || run))) AS bytes FROM runs),
+far AS (
+  SELECT 0 AS distance, byte, code FROM step
+  UNION ALL SELECT distance + 1, f.byte, xor(f.code >> 8, s.code) FROM far f JOIN step s ON s.byte = f.code & 255, longest
+  WHERE distance < longest.bytes),
+bare AS (
+  SELECT 0 AS size, 4294967295::BIGINT AS code
+  UNION ALL SELECT size + 1, xor(b.code >> 8, s.code) FROM bare b JOIN step s ON s.byte = b.code & 255, longest
+  WHERE size < longest.bytes),
+bytes AS (
+  SELECT doc, run, n, size, unnest(range(1, size + 1)) AS place, CAST('0x' || substr(text, 2 * place - 1, 2) AS BIGINT) AS byte
+  FROM (SELECT *, hex(encode(doc || ':' || run)) AS text, octet_length(encode(doc || ':' || run)) AS size FROM runs)),
+coded AS MATERIALIZED (
+  SELECT doc, run, n, xor(xor(bit_xor(far.code), any_value(bare.code)), 4294967295) AS code
+  FROM bytes JOIN far ON far.distance = size - place AND far.byte = bytes.byte JOIN bare USING (size) GROUP BY doc, run, n),
+words AS MATERIALIZED (
+  SELECT CASE WHEN code % 199 = 0 THEN substr(run, 1, CAST(code % length(run) AS INTEGER)) || substr(run, CAST(code % length(run) AS INTEGER) + 2)
+              ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+  FROM coded GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
+cut AS (SELECT word, n, place, substr(word, 1, place - 1) || substr(word, place + 1) AS rest
+        FROM (SELECT *, unnest(range(1, length(word) + 1)) AS place FROM words)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.place = b.place AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word),
+best AS (SELECT word, count(*) AS n_near, min({{'less': -other_n, 'form': other}}) AS likely FROM near GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -likely.less >= 5 * n THEN likely.form END AS form,
+         CASE WHEN -likely.less >= 5 * n THEN -likely.less END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+steps AS (
+  SELECT word, word AS root, 0 AS hops FROM forms
+  UNION ALL SELECT s.word, f.form, s.hops + 1 FROM steps s JOIN forms f ON s.root = f.word AND f.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n
+FROM forms JOIN (SELECT word, arg_max(root, hops) AS root FROM steps GROUP BY word) USING (word)
+"""
