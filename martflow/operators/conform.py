@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import date, datetime
 from functools import reduce
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martflow.functions import scalar
+from martflow.operators.widen import wider
 
 
 def present(df: DataFrame, columns: Iterable[str]) -> list[str]:
@@ -29,6 +31,29 @@ def cast_present(df: DataFrame, columns: Iterable[str], to: str = "double") -> D
     return df.withColumns({c: F.col(c).try_cast(to) for c in present(df, columns)})
 
 
+def rescue(df: DataFrame, columns: Iterable[str], to: str = "double", name: str = "_rescued") -> DataFrame:
+    """Cast columns and keep what the cast can't hold, as text by column, in a map; null where there is none.
+
+    A value is held if casting it back gives the same value, so a number that would be rounded is kept as well.
+    """
+
+    def held(c: str) -> Column:
+        kind = df.schema[c].dataType
+        cast = F.col(c).try_cast(to)
+        if isinstance(kind, T.StringType):
+            return cast.isNotNull()
+        return cast.try_cast(kind).eqNullSafe(F.col(c))
+
+    named = present(df, columns)
+    lost = [
+        F.when(F.col(c).isNotNull() & ~held(c), F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("value")))
+        for c in named
+    ]
+    kept = F.map_from_entries(F.array_compact(F.array(*lost))) if lost else F.lit(None).cast("map<string,string>")
+    values = {c: F.when(held(c), F.col(c).try_cast(to)) for c in named}
+    return df.withColumns({**values, name: F.when(F.size(kept) > 0, kept) if lost else kept})
+
+
 def fill_nulls(df: DataFrame, columns: Iterable[str], value: float = 0) -> DataFrame:
     return df.na.fill(value, present(df, columns))
 
@@ -67,24 +92,33 @@ def audited(df: DataFrame, as_of: datetime | date | Column, name: str = "loaded_
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast to a declared schema by name; absent columns become null, undeclared ones are left out.
 
-    A number that an integer column can't hold whole fails the job.
+    A number or time that the column can't hold as it is fails the job: nothing is rounded or cut.
     """
     given = {f.name: f.dataType for f in df.schema.fields}
 
     def conformed(f: T.StructField) -> Column:
         if f.name not in given:
             return F.lit(None).cast(f.dataType)
-        value = F.col(f.name)
-        fractional = isinstance(given[f.name], (T.FractionalType, T.DecimalType))
-        if fractional and isinstance(f.dataType, T.IntegralType):
-            told = F.concat(F.lit(f"{f.name} is an integer column and can't hold "), value.cast("string"))
-            whole = value.isNull() | (value == F.floor(value))
-            return F.when(whole, value.cast(f.dataType)).otherwise(F.raise_error(told).cast(f.dataType))
-        return value.cast(f.dataType)
+        value, kind = F.col(f.name), given[f.name]
+        cast = value.cast(f.dataType)
+        if not may_lose(kind, f.dataType):
+            return cast
+        word = "an integer" if isinstance(f.dataType, T.IntegralType) else f"a {f.dataType.simpleString()}"
+        told = F.concat(F.lit(f"{f.name} is {word} column and can't hold "), value.cast("string"))
+        back = value.try_cast(f.dataType).try_cast(kind)
+        return F.when(value.isNull() | back.eqNullSafe(value), cast).otherwise(F.raise_error(told).cast(f.dataType))
 
     return df.select(*[conformed(f).alias(f.name) for f in schema.fields])
 
 
+def may_lose(given: T.DataType, to: T.DataType) -> bool:
+    """Whether a cast can give another value without failing: numbers cut or rounded, times cut to days."""
+    numbers = (T.NumericType, T.DecimalType)
+    if isinstance(given, numbers) and isinstance(to, numbers):
+        return wider(given, to) != to or isinstance(given, T.LongType) and isinstance(to, T.DoubleType)
+    return isinstance(given, (T.TimestampType, T.TimestampNTZType)) and isinstance(to, T.DateType)
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Union by name; columns missing from a frame become null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -139,3 +173,33 @@ def infer_json_schema(spark: SparkSession, sample: str) -> T.StructType:
     """
     parsed = spark.range(1).select(F.from_json(F.lit(sample), F.schema_of_json(F.lit(sample))).alias("r"))
     return parsed.schema["r"].dataType
+
+
+def infer_json_schema_of_all(df: DataFrame, value: str = "value") -> T.StructType:
+    """Schema of all JSON objects of a column: every key that any text has, with a type that holds all its values.
+
+    One aggregation over all rows, combined map-side; its single result reaches the driver. Whole numbers become
+    bigint, or a decimal if they have more digits, others double; dates and times stay text. Values of kinds that no type holds, and keys that are always null,
+    become text. Texts that are no JSON object are left out.
+    """
+    parsed = F.try_parse_json(value)
+    objects = df.select(parsed.alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
+    told = objects.agg(F.schema_of_variant_agg("v")).first()[0]
+    if not told or not told.startswith("OBJECT"):
+        return T.StructType()
+    ddl = re.sub(r"\bOBJECT<", "STRUCT<", told)
+    return _as_json_types(T._parse_datatype_string(ddl))
+
+
+def _as_json_types(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_json_types(f.dataType), True) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_json_types(kind.elementType), True)
+    if isinstance(kind, T.DecimalType):
+        if kind.scale:
+            return T.DoubleType()
+        return T.LongType() if kind.precision <= 18 else kind
+    if isinstance(kind, (T.DoubleType, T.FloatType, T.LongType, T.BooleanType)):
+        return kind
+    return T.StringType()

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from urllib.parse import unquote
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martflow.operators.conform import align, cast_present, fill_nulls, union_all
+from martflow.operators.conform import align, cast_present, fill_nulls, present, rescue, union_all
 
 PARQUET_GLOB = "*.parquet"
 
@@ -39,39 +40,126 @@ def read_partitioned(spark: SparkSession, root: str, within: Sequence[str] = ())
     return spark.read.option("basePath", root).parquet(*paths)
 
 
-def schema_groups(spark: SparkSession, path: str, glob: str = PARQUET_GLOB) -> dict[str, list[str]]:
-    """Files below a path by the physical schema in their footers.
+FOOTER = "path string, length long, modified timestamp, signature string, spark_schema string"
 
-    Footers are read in parallel on the executors. Only file names and schemas reach the driver, which lists
-    the files of any scan anyway.
-    """
+
+def _footers(files: DataFrame) -> DataFrame:
+    """Footer schemas of files (path, length, modified), opened on the executors."""
 
     # Defined here, so that it travels inside the tasks and executors need no copy of the library.
-    def footer_schemas(batches):
-        import pandas as pd
+    def opened(batches):
+        import re
+        from urllib.parse import quote
+
         import pyarrow.fs as pafs
         import pyarrow.parquet as pq
+        from pyspark.errors import PySparkTypeError
+        from pyspark.sql.pandas.types import from_arrow_schema
+        from pyspark.sql.types import StructType
 
         for batch in batches:
-            signatures = []
+            signatures, schemas = [], []
             for path in batch["path"]:
-                uri = path.replace("s3a://", "s3://").replace("s3n://", "s3://")
-                filesystem, local = pafs.FileSystem.from_uri(uri)
+                uri = quote(re.sub("^file:/+", "file:///", path), safe=":/=+,@!$&'()*;~")
+                filesystem, local = pafs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
                 schema = pq.read_schema(local, filesystem=filesystem)
-                fields = sorted(f"{name}:{kind}" for name, kind in zip(schema.names, schema.types))
-                signatures.append("|".join(fields))
-            yield pd.DataFrame({"path": batch["path"], "signature": signatures})
+                signatures.append("|".join(sorted(f"{name}:{kind}" for name, kind in zip(schema.names, schema.types))))
+                try:
+                    fields = from_arrow_schema(schema).fields
+                    schemas.append(StructType(sorted(fields, key=lambda f: f.name)).json())
+                except PySparkTypeError:
+                    schemas.append(None)  # left to Spark
+            yield batch.assign(signature=signatures, spark_schema=schemas)
+
+    return files.mapInPandas(opened, FOOTER)
+
 
+def _listed(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """path, length, modified of the files below a path. The listing is made by tasks, and no file is opened."""
     listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    paths = sorted(listing.load(path).inputFiles())
+    return listing.load(path).select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def footer_schemas(spark: SparkSession, path: str, glob: str = PARQUET_GLOB, index: str | None = None) -> DataFrame:
+    """path, length, modified, signature, spark_schema of every file below a path.
+
+    With an ``index``, a folder of what earlier scans have found, only files that are new or have changed
+    are opened, and are added to it.
+    """
+    listing = _listed(spark, path, glob)
+    if index is None:
+        return _footers(listing)
+    known = read_or_default(
+        lambda: spark.read.schema(FOOTER).parquet(index), lambda: spark.createDataFrame([], FOOTER)
+    )
+    new = _footers(listing.join(known, ["path", "length", "modified"], "left_anti"))
+    new.write.mode("append").parquet(index)
+    stored = spark.read.schema(FOOTER).parquet(index).dropDuplicates(["path", "length", "modified"])
+    return listing.join(stored, ["path", "length", "modified"])
+
+
+@dataclass(frozen=True)
+class SchemaGroup:
+    """Files, or directories all of whose files count, of one physical schema; the schema, if it is known without Spark."""
+
+    paths: list[str]
+    schema: T.StructType | None
+
+
+def schema_groups(
+    spark: SparkSession, path: str, glob: str = PARQUET_GLOB, index: str | None = None
+) -> dict[str, SchemaGroup]:
+    """What lies below a path, by the physical schema in the footers.
+
+    Footers are read in parallel on the executors. A directory whose files have one schema reaches the driver as one row;
+    only the files of mixed directories are named one by one.
+    """
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder")
+    told = footer_schemas(spark, path, glob, index).select("path", folder, "signature", "spark_schema").persist()
+    try:
+        kinds = F.collect_set(F.struct("signature", "spark_schema")).alias("kinds")
+        folders = told.groupBy("folder").agg(kinds).collect()
+        if not folders:
+            raise FileNotFoundError(f"no files that match {glob} below {path}")
+        # A directory with others below it would bring theirs along.
+        above = {"/".join(r["folder"].split("/")[:k]) for r in folders for k in range(r["folder"].count("/") + 1)}
+        whole = [r for r in folders if len(r["kinds"]) == 1 and r["folder"] not in above]
+        found = [(r["kinds"][0]["signature"], r["kinds"][0]["spark_schema"], r["folder"]) for r in whole]
+        if len(whole) < len(folders):
+            names = spark.createDataFrame([(r["folder"],) for r in whole], "folder string")
+            mixed = told.join(names, "folder", "left_anti").select("signature", "spark_schema", "path")
+            found += [tuple(row) for row in mixed.toLocalIterator()]
+    finally:
+        told.unpersist()
+    groups: dict[str, SchemaGroup] = {}
+    for signature, schema, place in sorted(found, key=lambda row: (row[0], row[2])):
+        declared = T.StructType.fromJson(json.loads(schema)) if schema else None
+        groups.setdefault(signature, SchemaGroup([], declared)).paths.append(place)
+    return groups
+
+
+def _read_group(spark: SparkSession, group: SchemaGroup, base: str, glob: str) -> DataFrame:
+    reader = spark.read.option("pathGlobFilter", glob)
+    if group.schema is not None:
+        reader = reader.schema(group.schema)
+    if all("=" in place[len(base) :] or "=" in place.rsplit("/", 1)[-1] for place in group.paths):
+        # Partition columns come from the names of the directories below the path.
+        reader = reader.option("basePath", base)
+    return reader.parquet(*group.paths)
+
+
+def frames_by_schema(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+    """The rows of some files, one frame for each physical schema."""
     if not paths:
-        raise FileNotFoundError(f"no files that match {glob} below {path}")
+        return []
     tasks = max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))
     named = spark.createDataFrame([(p,) for p in paths], "path string").repartition(tasks)
-    groups: dict[str, list[str]] = {}
-    for row in named.mapInPandas(footer_schemas, "path string, signature string").toLocalIterator():
-        groups.setdefault(row.signature, []).append(row.path)
-    return {signature: sorted(map(unquote, files)) for signature, files in sorted(groups.items())}
+    files = named.select("path", F.lit(0).cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modified"))
+    groups: dict[str, SchemaGroup] = {}
+    for row in _footers(files).toLocalIterator():
+        declared = T.StructType.fromJson(json.loads(row["spark_schema"])) if row["spark_schema"] else None
+        groups.setdefault(row["signature"], SchemaGroup([], declared)).paths.append(row["path"])
+    return [_read_group(spark, group, "", "*") for _, group in sorted(groups.items())]
 
 
 def read_drifting(
@@ -82,24 +170,32 @@ def read_drifting(
     cast_to: str = "double",
     fill: float | None = 0,
     glob: str = PARQUET_GLOB,
+    index: str | None = None,
+    rescued: str | None = None,
 ) -> DataFrame:
     """Parquet files whose columns come and go, or change between integer and floating point.
 
     Files are read in one scan per distinct schema, so the plan grows with the number of schemas, not of files.
-    Drifting columns are cast, texts that hold no number and missing columns become null, and the drifting columns' nulls are filled. With a
-    ``schema`` the result is cast to it instead of being the union of what the files hold.
+    Drifting columns are cast, texts that hold no number and missing columns become null, and the drifting columns' nulls are
+    filled. With a ``schema`` the result is cast to it instead of being the union of what the files hold. ``index`` names a
+    folder that keeps the schemas of known files. ``rescued`` names a column for a map of the drifting values that the cast could
+    not hold; such a value is null and is not filled.
     """
     drifting = list(drifting)
     frames = []
-    for files in schema_groups(spark, path, glob).values():
-        reader = spark.read
-        if all("=" in file.rsplit("/", 2)[1] for file in files):
-            # Partition columns come from the names of the directories below the path.
-            reader = reader.option("basePath", path)
-        frame = reader.parquet(*files)
+    for group in schema_groups(spark, path, glob, index).values():
+        frame = _read_group(spark, group, path, glob)
+        if rescued:
+            frame = rescue(frame, drifting, cast_to, rescued)
         frames.append(align(frame, schema) if schema is not None else cast_present(frame, drifting, cast_to))
     whole = union_all(frames)
-    return whole if fill is None else fill_nulls(whole, drifting, fill)
+    if fill is None:
+        return whole
+    if rescued is None:
+        return fill_nulls(whole, drifting, fill)
+    held = present(whole, drifting)
+    lost = {c: F.coalesce(F.map_contains_key(F.col(rescued), F.lit(c)), F.lit(False)) for c in held}
+    return whole.withColumns({c: F.when(~lost[c], F.coalesce(c, F.lit(fill).cast(cast_to))) for c in held})
 
 
 def read_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:

@@ -1,27 +1,34 @@
 """Micro-batch ingest: message texts to a lake of typed records, each kept once, misfits set aside.
 
-Every batch writes to partitions that carry its batch id and replaces just those. A batch repeated after a
-failure therefore leaves the same files, and offsets are committed by the checkpoint only after the write.
+Records go to a table whose log names the files of each batch, so a batch is stored whole or not at all, and one
+repeated after a failure is left out. Offsets are committed by the checkpoint only after that. A second table holds, for
+each event day, bitmaps of the hashed ids that are stored: a batch reads stored ids only where its own ids meet a set bit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from martflow.operators.conform import is_sound, parse_json
+from martflow.sinks.committed import TARGET_BYTES, CommittedTable
 from martflow.sinks.files import write_partitioned
 from martflow.sources.messages import Landing, Topic, read_messages
 
 BATCH = "batch_id"
 DAY = "event_date"
 MESSAGE = "_message"
+# Ids are hashed to numbers below this; each bucket of 32768 numbers has one bitmap a day, so a day takes 8 MB at most.
+ID_SPACE = 1 << 26
+BUCKET, POSITION = "_bucket", "_position"
+WRITER = "ingest"
 
 
 @dataclass(frozen=True)
@@ -34,6 +41,16 @@ class Lake:
     def records(self) -> str:
         return f"{self.root}/records"
 
+    @property
+    def seen(self) -> str:
+        return f"{self.root}/seen"
+
+    def records_table(self, spark: SparkSession) -> CommittedTable:
+        return CommittedTable(spark, self.records, DAY, [BUCKET])
+
+    def seen_table(self, spark: SparkSession) -> CommittedTable:
+        return CommittedTable(spark, self.seen, DAY, [BUCKET])
+
     @property
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
@@ -66,53 +83,72 @@ def read_if_any(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
         raise
 
 
-def read_directories(spark: SparkSession, root: str, parts: Sequence[str], schema: T.StructType) -> DataFrame:
-    """Rows of those of the named partition directories that are there."""
-    configuration = spark.sparkContext._jsc.hadoopConfiguration()
-    paths = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{part}") for part in parts]
-    there = [path.toString() for path in paths if path.getFileSystem(configuration).exists(path)]
-    if not there:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", root).parquet(*there)
-
-
-def not_yet_stored(
-    fresh: DataFrame,
-    path: str,
-    message_id: str,
-    batch_id: int,
-    periods: Sequence,
-    period: str = DAY,
-    batch: str = BATCH,
-) -> DataFrame:
-    """Records whose id earlier batches have not stored.
-
-    A redelivered message carries the same event time, so only the directories of the batch's own periods are listed
-    and read, however far they lie apart and however long the history is.
+def hashed(message_id: str) -> tuple[Column, Column]:
+    """Bucket and bit of an id."""
+    number = F.pmod(F.xxhash64(message_id), F.lit(ID_SPACE))
+    return F.bitmap_bucket_number(number).alias(BUCKET), F.bitmap_bit_position(number).alias(POSITION)
+
+
+def maybe_stored(fresh: DataFrame, seen: DataFrame) -> DataFrame:
+    """Rows of a batch whose bit a stored bitmap has: all that are stored, and few others."""
+    byte = F.expr(f"substring(bits, cast({POSITION} div 8 as int) + 1, 1)")
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (F.col(POSITION) % 8).cast("int"))
+    return fresh.join(seen.select(DAY, BUCKET, "bits"), [DAY, BUCKET]).where(bit != 0)
+
+
+def stored_ids(table: CommittedTable, message_id: str, days: Sequence, buckets: Sequence[int]) -> DataFrame:
+    """Day and id of the stored records of some days that lie in some buckets."""
+    rows = table.read(slices=days, within={BUCKET: (min(buckets), max(buckets))})
+    return rows.where(F.col(BUCKET).isin(list(buckets))).select(DAY, message_id)
+
+
+def not_yet_stored(fresh: DataFrame, lake: Lake, message_id: str, days: Sequence) -> DataFrame:
+    """Records whose id is not stored for their day.
+
+    A redelivered message carries the same event time. Bitmaps of the batch's own days tell which ids may be
+    stored; only where there are such ids are stored ones read, by day and bucket, and compared.
     """
-    kept = T.StructType([fresh.schema[message_id], fresh.schema[period], T.StructField(batch, T.LongType())])
-    stored = read_directories(fresh.sparkSession, path, [f"{period}={p}" for p in periods], kept)
-    return fresh.join(stored.where(F.col(batch) < batch_id), [period, message_id], "left_anti")
+    spark = fresh.sparkSession
+    suspects = maybe_stored(fresh, lake.seen_table(spark).read(slices=days)) if lake.seen_table(spark).versions() else None
+    # A row for each day and bucket: there are 2048 buckets.
+    found = suspects.select(DAY, BUCKET).distinct().collect() if suspects is not None else []
+    table = lake.records_table(spark)
+    # A batch that was lost before its records were committed has left bits alone.
+    if not found or not table.versions():
+        return fresh
+    stored = stored_ids(table, message_id, sorted({r[DAY] for r in found}), sorted({r[BUCKET] for r in found}))
+    return fresh.join(stored, [DAY, message_id], "left_anti")
 
 
 def store_batch(lake: Lake, form: MessageFormat) -> Callable[[DataFrame, int], None]:
     """The step that stores one batch of message texts."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_json(batch, form.schema, keep=MESSAGE).withColumn(DAY, F.to_date(form.event_time)).persist()
-        stamp = F.lit(batch_id).cast("bigint")
+        spark = batch.sparkSession
+        records_table, seen_table = lake.records_table(spark), lake.seen_table(spark)
+        dated = parse_json(batch, form.schema, keep=MESSAGE).withColumn(DAY, F.to_date(form.event_time))
+        parsed = dated.select("*", *hashed(form.message_id)).persist()
+        stamp = F.lit(batch_id).cast("bigint").alias(BATCH)
         sound = is_sound(form.required)
         try:
             # One row for each day of the batch.
             counted = parsed.groupBy(F.when(sound, F.col(DAY)).alias("day")).agg(F.count_if(~sound).alias("n")).collect()
             days = [row["day"] for row in counted if row["day"] is not None]
             misfits = sum(row["n"] for row in counted)
-            if days:
+            if days and not records_table.version().holds(WRITER, batch_id):
                 records = parsed.where(sound).drop(MESSAGE, "_corrupt").dropDuplicates([DAY, form.message_id])
-                records = not_yet_stored(records, lake.records, form.message_id, batch_id, days)
-                write_partitioned(records.withColumn(BATCH, stamp), lake.records, [DAY, BATCH])
+                records = not_yet_stored(records, lake, form.message_id, days)
+                bits = parsed.where(sound).groupBy(DAY, BUCKET).agg(F.bitmap_construct_agg(POSITION).alias("bits"))
+                with ThreadPoolExecutor(max_workers=2) as pool:
+                    steps = [
+                        pool.submit(table.prepare, rows, WRITER, batch_id, False)
+                        for table, rows in ((seen_table, bits), (records_table, records.drop(POSITION).select("*", stamp)))
+                    ]
+                # Bits first: a bit without a record costs a look, a record without a bit would be stored twice.
+                for step in steps:
+                    step.result()()
             if misfits:
-                rejected = parsed.where(~sound).select(MESSAGE).withColumn(BATCH, stamp)
+                rejected = parsed.where(~sound).select(MESSAGE, stamp)
                 write_partitioned(rejected, lake.quarantine, [BATCH])
         finally:
             parsed.unpersist()
@@ -120,6 +156,14 @@ def store_batch(lake: Lake, form: MessageFormat) -> Callable[[DataFrame, int], N
     return store
 
 
+def compact_lake(spark: SparkSession, lake: Lake, target_bytes: int = TARGET_BYTES) -> None:
+    """Put the small files that batches have left together, day by day, and the bitmaps of each day into one set."""
+    lake.records_table(spark).compact(target_bytes)
+    lake.seen_table(spark).compact(
+        target_bytes, fold=lambda bits: bits.groupBy(DAY, BUCKET).agg(F.bitmap_or_agg("bits").alias("bits"))
+    )
+
+
 def ingest(
     spark: SparkSession,
     where: Topic | Landing,
@@ -147,8 +191,11 @@ def drain(spark: SparkSession, where: Topic | Landing, lake: Lake, form: Message
 
 
 def stored_records(spark: SparkSession, lake: Lake, form: MessageFormat) -> DataFrame:
+    table = lake.records_table(spark)
+    if table.versions():
+        return table.read().drop(BUCKET)
     partitions = [T.StructField(DAY, T.DateType()), T.StructField(BATCH, T.LongType())]
-    return read_if_any(spark, lake.records, T.StructType([*form.schema.fields, *partitions]))
+    return spark.createDataFrame([], T.StructType([*form.schema.fields, *partitions]))
 
 
 def quarantined(spark: SparkSession, lake: Lake) -> DataFrame:

@@ -14,6 +14,7 @@ from martflow.operators import conform, quality
 from martflow.plans import staging, star
 from martflow.sinks import files as file_sinks
 from martflow.sinks import tables as table_sinks
+from martflow.sinks.committed import CommittedTable
 from martflow.sources import files as file_sources
 from martflow.sources.messages import Landing, read_messages
 from martflow.streaming import export, ingest
@@ -458,24 +459,117 @@ def stream_incremental_export(b: Binding) -> DataFrame:
     messages = event_messages(b)
     error = F.get_json_object("value", "$.event_type") == "error"
     where, lake = landed(b, messages.where(~error)), new_lake(b)
-    target, checkpoint = new_path(b.spark, "export"), new_path(b.spark, "export-checkpoint")
+    target = CommittedTable(b.spark, new_path(b.spark, "export"), export.MONTH, ["user_id"])
 
     def round_trip() -> None:
         ingest.drain(b.spark, where, lake, FORM)
-        export.export_new_files(
-            b.spark, lake.records, MESSAGE, target, checkpoint, "timestamp", ["user_id"], "message_id",
+        export.export_new_commits(
+            lake.records_table(b.spark), target, "timestamp", "message_id",
             lambda df: df.select("message_id", "timestamp", "user_id", "event_type", "value"),
         )
 
     round_trip()
     file_sinks.publish(messages.where(error), where.path)
     round_trip()
-    exported = b.spark.read.parquet(target)
+    exported = target.read()
     return exported.groupBy("event_type", F.date_format("timestamp", "yyyy-MM").alias("month")).agg(
         F.count(F.lit(1)).alias("n"), agg.total("value", "decimal(18,4)").alias("total")
     )
 
 
+@query(
+    "export_evolving",
+    """SELECT event_id, user_id, STRFTIME(ts, '%Y-%m') AS month,
+        CASE user_id % 3 WHEN 0 THEN NULL WHEN 1 THEN CAST(FLOOR(value) AS DOUBLE) ELSE value END AS value,
+        CASE WHEN user_id % 3 = 2 THEN event_type END AS event_type FROM events""",
+)
+def export_evolving(b: Binding) -> DataFrame:
+    """A lake whose later files bring a column, then a wider type and another column, exported in three runs.
+
+    What the second run was about to commit is lost once, and it is run again.
+    """
+    lake, checkpoint = new_path(b.spark, "evolving"), new_path(b.spark, "evolving-checkpoint")
+    target = CommittedTable(b.spark, new_path(b.spark, "evolving-export"), export.MONTH, ["user_id", "event_id"])
+    events = b.table("events").select("event_id", "user_id", "ts", "value", "event_type")
+    waves = [
+        events.drop("value", "event_type"),
+        events.drop("event_type").withColumn("value", F.floor("value").cast("int")),
+        events,
+    ]
+    for k, wave in enumerate(waves):
+        wave.where(F.col("user_id") % 3 == k).write.mode("append").parquet(lake)
+        if k == 1:
+            target.prepare(wave.withColumn(export.MONTH, F.lit("lost")), "files", k)  # written, and never published
+        export.export_new_files(b.spark, lake, target, checkpoint, "ts", "event_id")
+    return target.read().select("event_id", "user_id", "month", "value", "event_type")
+
+
+@query("lake_compacted", EVENTS_SQL)
+def lake_compacted(b: Binding) -> DataFrame:
+    """All messages, delivered in many small batches, partly twice, and put together in between."""
+    messages = event_messages(b)
+    part = F.pmod(F.xxhash64("key"), F.lit(4))
+    where, lake = landed(b, *[messages.where(part == k) for k in range(4)]), new_lake(b)
+    one_file = Landing(where.path, max_files=1)
+    ingest.drain(b.spark, one_file, lake, FORM)
+    ingest.compact_lake(b.spark, lake)
+    file_sinks.publish(messages.where(part < 2), where.path)
+    ingest.drain(b.spark, one_file, lake, FORM)
+    ingest.compact_lake(b.spark, lake)
+    lake.records_table(b.spark).vacuum()
+    return shown(ingest.stored_records(b.spark, lake, FORM))
+
+
+@query(
+    "clustered_lookup",
+    f"""SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, STRFTIME(l_shipdate, '%Y-%m') AS month FROM lineitem
+        WHERE l_suppkey = 7 AND l_partkey BETWEEN 1 AND 150""",
+)
+def clustered_lookup(b: Binding) -> DataFrame:
+    """A range of keys, read from the files of a table that can hold them."""
+    table = CommittedTable(b.spark, new_path(b.spark, "clustered"), "month", ["l_suppkey", "l_partkey"])
+    month = F.date_format("l_shipdate", "yyyy-MM").alias("month")
+    table.append(b.table("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", month))
+    return table.read(within={"l_suppkey": (7, 7), "l_partkey": (1, 150)})
+
+
+@query(
+    "scan_indexed",
+    f"""SELECT {LINE_SQL}, CASE l_returnflag WHEN 'R' THEN 0 ELSE l_quantity END AS amount FROM lineitem""",
+)
+def scan_indexed(b: Binding) -> DataFrame:
+    """Drifting files scanned twice; the second scan opens the footers of the files that have come since."""
+    path, index = new_path(b.spark, "drift-indexed"), new_path(b.spark, "drift-index")
+    lines = b.table("lineitem").select(*LINE, "l_returnflag", "l_quantity")
+    shapes = {
+        "A": lines.withColumn("amount", F.col("l_quantity").cast("bigint")),
+        "N": lines.withColumn("amount", F.col("l_quantity")),
+        "R": lines,
+    }
+    for flag, frame in shapes.items():
+        frame.where(F.col("l_returnflag") == flag).drop("l_quantity", "l_returnflag").write.parquet(f"{path}/{flag}")
+        found = file_sources.read_drifting(b.spark, path, ["amount"], index=index)
+    return found
+
+
+@query(
+    "rescued_values",
+    f"""SELECT {LINE_SQL}, CASE WHEN l_returnflag = 'N' AND l_linenumber = 1 THEN NULL
+            WHEN l_returnflag = 'R' THEN 0 ELSE l_quantity END AS amount,
+        CASE WHEN l_returnflag = 'N' AND l_linenumber = 1 THEN 'n/a' END AS rescued FROM lineitem""",
+)
+def rescued_values(b: Binding) -> DataFrame:
+    """Drifting files, some with texts that are no numbers: those are kept, and are no measured zeros."""
+    path = new_path(b.spark, "rescued")
+    lines = b.table("lineitem").select(*LINE, "l_returnflag", "l_quantity")
+    text = F.when(F.col("l_linenumber") == 1, "n/a").otherwise(F.col("l_quantity").cast("string"))
+    shapes = {"A": lines.withColumn("amount", F.col("l_quantity").cast("bigint")), "N": lines.withColumn("amount", text), "R": lines}
+    for flag, frame in shapes.items():
+        frame.where(F.col("l_returnflag") == flag).drop("l_quantity", "l_returnflag").write.parquet(f"{path}/{flag}")
+    found = file_sources.read_drifting(b.spark, path, ["amount"], rescued="kept")
+    return found.select(*LINE, "amount", F.col("kept")["amount"].alias("rescued"))
+
+
 @query("stream_file_sink", EVENTS_SQL)
 def stream_file_sink(b: Binding) -> DataFrame:
     """The plain exactly-once file sink."""

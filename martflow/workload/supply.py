@@ -123,6 +123,28 @@ def json_inferred(b: Binding) -> DataFrame:
     return conform.parse_json(events, schema, "props").select("event_id", "k")
 
 
+@query(
+    "json_inferred_all",
+    """SELECT event_id, CASE WHEN event_id % 4 = 1 THEN value ELSE CAST(json_extract(props, '$.k') AS DOUBLE) END AS k,
+        CASE WHEN event_id % 4 = 2 THEN event_type END AS kind,
+        CASE WHEN event_id % 4 = 3 THEN CAST(user_id AS VARCHAR) WHEN event_id % 4 = 2 THEN event_type END AS mixed
+        FROM events""",
+)
+def json_inferred_all(b: Binding) -> DataFrame:
+    """Texts parsed with a schema that all of them were looked at for: keys that come later, and types that widen."""
+    events = b.table("events")
+    case = F.col("event_id") % 4
+    texts = (
+        F.when(case == 1, F.to_json(F.struct(F.col("value").alias("k"))))
+        .when(case == 2, F.to_json(F.struct(F.get_json_object("props", "$.k").cast("bigint").alias("k"), F.col("event_type").alias("kind"), F.col("event_type").alias("mixed"))))
+        .when(case == 3, F.to_json(F.struct(F.get_json_object("props", "$.k").cast("bigint").alias("k"), F.col("user_id").alias("mixed"))))
+        .otherwise(F.col("props"))
+    )
+    given = events.select("event_id", texts.alias("text"))
+    schema = conform.infer_json_schema_of_all(given, "text")
+    return conform.parse_json(given, schema, "text").select("event_id", "k", "kind", "mixed")
+
+
 @query(
     "stream_names",
     sql(

@@ -33,7 +33,7 @@ def test_drifting_files_are_read_once_per_schema(spark, tmp_path):
     drifting_files(tmp_path / "raw files")
     path = str(tmp_path / "raw files")
     groups = sources.schema_groups(spark, path)
-    assert sorted(len(files) for files in groups.values()) == [1, 1, 2]
+    assert sorted(len(group.paths) for group in groups.values()) == [1, 1, 2]
     df = sources.read_drifting(spark, path, ["Pesticide_Amount", "Irrigation_Amount"])
     assert rows(df, "id", "Pesticide_Amount", "note") == [
         (1, 0.0, "x"), (2, 3.0, "y"), (3, 5.34, "z"), (4, 0.0, "w"), (5, 7.0, "v"),
@@ -179,3 +179,79 @@ def test_messy_csv_fails_on_a_bad_value(spark, tmp_path):
     (tmp_path / "bad.csv").write_text("id,v\n1,2\n2,x\n")
     with pytest.raises(Exception):
         sources.read_messy_csv(spark, str(tmp_path / "bad.csv"), T.StructType.fromDDL("id int, v bigint")).collect()
+
+
+def test_align_refuses_to_round_or_cut(spark):
+    given = spark.sql("select cast(1.25 as decimal(5,2)) d, timestamp'2024-01-02 03:00:00' t, cast(0.1 as double) x, 9007199254740993 n")
+    for column, kind in (("d", "decimal(4,1)"), ("t", "date"), ("x", "float"), ("n", "double")):
+        with pytest.raises(Exception, match="can't hold"):
+            align(given, T.StructType.fromDDL(f"{column} {kind}")).collect()
+    fits = spark.sql("select cast(1.20 as decimal(5,2)) d, timestamp'2024-01-02' t, cast(0.5 as double) x, 4 n")
+    aligned = align(fits, T.StructType.fromDDL("d decimal(4,1), t date, x float, n double"))
+    assert [str(v) for v in aligned.first()] == ["1.2", "2024-01-02", "0.5", "4.0"]
+
+
+def test_values_that_do_not_fit_are_kept(spark, path):
+    spark.createDataFrame([(1, 5)], "id int, amount long").write.parquet(path("lake/a"))
+    texts = [(2, "n/a"), (3, "7.5"), (4, None), (5, "")]
+    spark.createDataFrame(texts, "id int, amount string").write.parquet(path("lake/b"))
+    spark.createDataFrame([(6, 2**53 + 1)], "id int, amount long").write.parquet(path("lake/c"))
+    spark.createDataFrame([(7,)], "id int").write.parquet(path("lake/d"))
+    found = sources.read_drifting(spark, path("lake"), ["amount"], rescued="_rescued")
+    assert sorted(tuple(r) for r in found.select("id", "amount", "_rescued").collect()) == [
+        (1, 5.0, None), (2, None, {"amount": "n/a"}), (3, 7.5, None), (4, 0.0, None), (5, None, {"amount": ""}),
+        (6, None, {"amount": str(2**53 + 1)}), (7, 0.0, None),
+    ]
+
+
+class Footers:
+    """Counts the footers that scans have added to an index."""
+
+    def __init__(self, spark, index):
+        self.spark, self.index, self.before = spark, index, 0
+
+    def opened(self):
+        now = self.spark.read.schema(sources.FOOTER).parquet(self.index).count()
+        opened, self.before = now - self.before, now
+        return opened
+
+
+def test_only_new_and_changed_files_are_opened(spark, tmp_path):
+    folder = tmp_path / "lake"
+    for part, kind in (("a", pa.int64()), ("b", pa.float64())):
+        (folder / part).mkdir(parents=True)
+        for i in range(4):
+            pq.write_table(pa.table({"id": [i], "amount": pa.array([i], kind)}), folder / part / f"{i}.parquet")
+    index = str(tmp_path / "index")
+    footers = Footers(spark, index)
+
+    def scan():
+        return rows(sources.read_drifting(spark, str(folder), ["amount"], index=index), "id", "amount")
+
+    assert len(scan()) == 8 and footers.opened() == 8
+    assert len(scan()) == 8 and footers.opened() == 0
+    pq.write_table(pa.table({"id": [9], "amount": pa.array([2.5])}), folder / "a" / "new.parquet")
+    pq.write_table(pa.table({"id": [7, 7], "amount": pa.array([1, 1], pa.int64())}), folder / "b" / "0.parquet")
+    found = scan()
+    assert footers.opened() == 2 and (9, 2.5) in found and found.count((7, 1.0)) == 2 and len(found) == 10
+    (folder / "a" / "new.parquet").unlink()
+    assert len(scan()) == 9 and footers.opened() == 0
+
+
+def test_directories_of_one_schema_are_handed_over_whole(spark, path):
+    spark.range(40).selectExpr("id", "id % 5 as part", "id * 1.5d as amount").write.partitionBy("part").parquet(path("lake"))
+    spark.range(8).selectExpr("id", "0L as part", "id as amount").write.mode("append").partitionBy("part").parquet(path("lake"))
+    groups = sources.schema_groups(spark, path("lake"))
+    places = [place for group in groups.values() for place in group.paths]
+    assert sum(place.endswith(".parquet") for place in places) >= 2  # those of part=0
+    assert {place.rsplit("/", 1)[1] for place in places if not place.endswith(".parquet")} == {f"part={k}" for k in range(1, 5)}
+    assert all(group.schema is not None for group in groups.values())
+    assert sources.read_drifting(spark, path("lake"), ["amount"]).groupBy("part").count().count() == 5
+
+
+def test_directories_above_others_are_not_handed_over(spark, tmp_path):
+    folder = tmp_path / "deep"
+    (folder / "below").mkdir(parents=True)
+    pq.write_table(pa.table({"id": [1], "amount": [1]}), folder / "a.parquet")
+    pq.write_table(pa.table({"id": [2], "amount": [2.5]}), folder / "below" / "b.parquet")
+    assert rows(sources.read_drifting(spark, str(folder), ["amount"]), "id", "amount") == [(1, 1.0), (2, 2.5)]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martflow.operators.conform import parse_json
+from martflow.sinks.committed import CommittedTable
 from martflow.sources.messages import Landing, Topic, read_messages
 from martflow.streaming import export, ingest
 from tests.helpers import rows
@@ -117,68 +118,157 @@ def test_stream_equals_batch(spark, site, form):
     assert rows(streamed) == rows(batch) and streamed.count() == 50
 
 
-def test_incremental_export(spark, site, form, path):
+def warehouse(spark, path, *cluster_by):
+    return CommittedTable(spark, path("out"), export.MONTH, cluster_by)
+
+
+def test_incremental_export_of_commits(spark, site, form, path):
+    source, target = site.lake.records_table(spark), warehouse(spark, path, "farm")
+
     def run():
-        export.export_new_files(
-            spark, site.lake.records, form.schema, path("out"), path("cp"), "timestamp", ["farm"], "message_id"
-        )
+        return export.export_new_commits(source, target, "timestamp", "message_id", lambda df: df.drop(ingest.BUCKET))
 
     site.deliver(message(1), message(2))
     ingest.drain(spark, site.where, site.lake, form)
-    run()
+    assert run() == 1
     site.deliver(message(3))
+    site.deliver(message(4, day=2))
     ingest.drain(spark, site.where, site.lake, form)
+    ingest.compact_lake(spark, site.lake)
+    assert run() == 2 and run() is None
+    ingest.compact_lake(spark, site.lake)
     run()
-    run()
-    exported = spark.read.parquet(path("out"))
-    assert rows(exported, "message_id", "export_id", "month") == [
-        ("m1", 0, "2024-01"), ("m2", 0, "2024-01"), ("m3", 1, "2024-01"),
+    assert rows(target.read(), "message_id", "export_id", "month") == [
+        ("m1", 1, "2024-01"), ("m2", 1, "2024-01"), ("m3", 4, "2024-01"), ("m4", 4, "2024-01"),
     ]
 
 
-def test_rewritten_lake_files_are_not_exported_twice(spark, site, form, path):
-    def run():
-        export.export_new_files(
-            spark, site.lake.records, form.schema, path("out"), path("cp"), "timestamp", ["farm"], "message_id"
-        )
-
-    store = ingest.store_batch(site.lake, form)
-    batch = spark.createDataFrame([(message(1),), (message(2),)], "value string")
-    store(batch, 0)
-    run()
-    store(batch, 0)
-    run()
-    assert rows(spark.read.parquet(path("out")), "message_id") == [("m1",), ("m2",)]
-
-
-def test_export_keeps_undated_records_and_no_duplicates(spark, form, path):
+def test_export_keeps_undated_records_and_no_duplicates(spark, path):
     def row(i, dated=True):
         return (f"m{i}", "2024-01-05 10:00:00" if dated else None, i, 1.0)
 
-    def deliver(name, *given):
+    target = warehouse(spark, path, "farm")
+
+    def deliver(*given):
         frame = spark.createDataFrame(given, "message_id string, at string, farm long, amount double")
         frame.select("message_id", F.to_timestamp("at").alias("timestamp"), "farm", "amount").coalesce(1).write.mode(
             "append"
         ).parquet(path("lake"))
-        export.export_new_files(
-            spark, path("lake"), form.schema, path("out"), path("cp"), "timestamp", ["farm"], "message_id"
-        )
-
-    deliver("a", row(1), row(1), row(2, dated=False), row(2, dated=False))
-    deliver("b", row(3, dated=False), row(4, dated=False))
-    deliver("c", row(1), row(2, dated=False), row(5))
-    assert rows(spark.read.parquet(path("out")), "message_id", "export_id", "month") == [
+        export.export_new_files(spark, path("lake"), target, path("cp"), "timestamp", "message_id")
+
+    deliver(row(1), row(1), row(2, dated=False), row(2, dated=False))
+    deliver(row(3, dated=False), row(4, dated=False))
+    deliver(row(1), row(2, dated=False), row(5))
+    assert rows(target.read(), "message_id", "export_id", "month") == [
         ("m1", 0, "2024-01"), ("m2", 0, "undated"), ("m3", 1, "undated"), ("m4", 1, "undated"), ("m5", 2, "2024-01"),
     ]
 
 
-def test_one_old_record_reads_two_days(spark, site, form):
+def test_export_widens_and_repeats_nothing_after_a_failure(spark, path, monkeypatch):
+    target = warehouse(spark, path, "farm")
+
+    def deliver(given, schema):
+        spark.createDataFrame(given, schema).coalesce(1).write.mode("append").parquet(path("lake"))
+
+    def run():
+        export.export_new_files(spark, path("lake"), target, path("cp"), "at", "id")
+
+    deliver([("a", "2024-01-05", 1, 10)], "id string, at string, farm long, amount int")
+    run()
+    old = target.version().number
+    deliver([("b", "2024-02-05", 2, 2.5, "x")], "id string, at string, farm long, amount double, note string")
+    publish = CommittedTable._publish
+
+    def failing(self, change):
+        monkeypatch.setattr(CommittedTable, "_publish", publish)
+        raise RuntimeError("lost between write and commit")
+
+    monkeypatch.setattr(CommittedTable, "_publish", failing)
+    with pytest.raises(Exception, match="lost between write and commit"):
+        run()
+    assert target.version().number == old and target.read().count() == 1
+    run()
+    deliver([("c", "2024-02-06", 3, 7, None)], "id string, at string, farm long, amount long, note string")
+    run()
+    run()
+    assert rows(target.read(), "id", "farm", "amount", "note", "month", "export_id") == [
+        ("a", 1, 10.0, None, "2024-01", 0), ("b", 2, 2.5, "x", "2024-02", 1), ("c", 3, 7.0, None, "2024-02", 2),
+    ]
+    assert "note" not in target.read(version=old).columns and target.read(version=old).count() == 1
+    assert dict(target.read(version=old).dtypes)["amount"] == "int"
+
+
+class ReadIds:
+    """Rows and files of the stored ids that batches have read."""
+
+    def __init__(self, monkeypatch):
+        self.rows, self.days, look = 0, [], ingest.stored_ids
+
+        def counted(table, message_id, days, buckets):
+            found = look(table, message_id, days, buckets)
+            self.rows += found.count()
+            self.days += days
+            return found
+
+        monkeypatch.setattr(ingest, "stored_ids", counted)
+
+
+def test_a_batch_without_repeats_reads_no_stored_ids(spark, site, form, monkeypatch):
+    store = ingest.store_batch(site.lake, form)
+    read = ReadIds(monkeypatch)
+
+    def batch(ids, day):
+        return spark.createDataFrame([(message(i, day=day),) for i in ids], "value string")
+
+    for k in range(4):
+        store(batch(range(500 * k, 500 * (k + 1)), day=1 + k % 2), k)
+    assert read.rows <= 5
+    store(batch([3, 4, 9000], day=1), 4)
+    assert 2 <= read.rows <= 10 and len(set(read.days)) <= 2
+    ingest.compact_lake(spark, site.lake)
+    store(batch([3, 4, 700, 9001], day=1), 5)
+    stored = ingest.stored_records(spark, site.lake, form)
+    assert stored.count() == 2003 == stored.select("message_id", "event_date").distinct().count()
+    assert read.rows <= 20
+
+
+def test_a_crash_between_bits_and_records_stores_all_once(spark, site, form, monkeypatch):
+    store = ingest.store_batch(site.lake, form)
+    batch = spark.createDataFrame([(message(1),), (message(2),)], "value string")
+    publish = CommittedTable._publish
+
+    def failing(self, change):
+        if self.path.endswith("records"):
+            raise RuntimeError("lost")
+        return publish(self, change)
+
+    monkeypatch.setattr(CommittedTable, "_publish", failing)
+    with pytest.raises(RuntimeError):
+        store(batch, 0)
+    monkeypatch.setattr(CommittedTable, "_publish", publish)
+    assert ids(spark, site, form) == []
+    store(batch, 0)
+    store(batch, 1)
+    assert ids(spark, site, form) == ["m1", "m2"]
+
+
+def test_compaction_packs_the_files_of_each_day(spark, site, form):
     store = ingest.store_batch(site.lake, form)
-    for day in range(1, 7):
-        store(spark.createDataFrame([(message(day, day=day),)], "value string"), day)
-    kept = T.StructType.fromDDL("message_id string, event_day date, batch_id long")
-    found = ingest.read_directories(spark, site.lake.records, [f"{ingest.DAY}=2024-01-0{d}" for d in (1, 6, 9)], kept)
-    assert len(found.inputFiles()) == 2
+    for k in range(12):
+        texts = [(message(100 * k + i, day=1 + (i % 3 == 0)),) for i in range(20)]
+        store(spark.createDataFrame(texts, "value string"), k)
+    table = site.lake.records_table(spark)
+    before, files = rows(table.read()), table.files()
+    assert files.count() == 24
+    sizes = {r["slice"]: r["bytes"] for r in files.groupBy("slice").agg(F.sum("bytes").alias("bytes")).collect()}
+    target = max(sizes.values()) // 3 + 1
+    ingest.compact_lake(spark, site.lake, target)
+    live = {r["slice"]: r["n"] for r in table.files().groupBy("slice").agg(F.count("*").alias("n")).collect()}
+    assert live == {day: -(-size // target) for day, size in sizes.items()}
+    assert rows(table.read()) == before
+    assert site.lake.seen_table(spark).files().count() == 2
+    store(spark.createDataFrame([(message(5, day=1),), (message(5000, day=1),)], "value string"), 12)
+    assert table.read().count() == len(before) + 1
 
 
 def test_watermark_removes_duplicates_in_the_stream(spark, site, form, path):
