@@ -73,3 +73,13 @@ def test_streamed_names_reach_the_batch_contract(spark):
     shaped = conformed(df)
     assert shaped.first().Soil_Fertility == 4 and shaped.first().Planting_Date == date(2024, 1, 2)
     assert set(agri.record_schema().names) <= set(shaped.columns)
+
+
+def test_schema_of_all_texts(spark):
+    texts = ['{"a":1,"b":"x","d":{"k":1}}', '{"a":1.5,"late":true,"d":{"m":"s"},"odd key":[1,2.5]}', "nope", "[1]", None, '{"b":2,"z":null}']
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    schema = conform.infer_json_schema_of_all(df)
+    assert schema.simpleString() == "struct<a:double,b:string,d:struct<k:bigint,m:string>,late:boolean,odd key:array<double>,z:string>"
+    parsed = conform.parse_json(df, schema).select("a", "b", "late")
+    assert [tuple(r) for r in parsed.collect()][:2] == [(1.0, "x", None), (1.5, None, True)]
+    assert conform.infer_json_schema_of_all(df.where("value = 'nope'")) == T.StructType()
