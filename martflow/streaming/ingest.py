@@ -25,9 +25,11 @@ from martflow.sources.messages import Landing, Topic, read_messages
 BATCH = "batch_id"
 DAY = "event_date"
 MESSAGE = "_message"
-# Ids are hashed to numbers below this; each bucket of 32768 numbers has one bitmap a day, so a day takes 8 MB at most.
-ID_SPACE = 1 << 26
-BUCKET, POSITION = "_bucket", "_position"
+# Ids are hashed to numbers below this; each bucket of 32768 numbers has one bitmap a day, so a day takes 1 MB at most. Of a
+# day with a million ids one in eight new ids meets a set bit, and its bucket is read; with many more ids than that
+# the bits are full, and the day's ids are read. Must stay the same for a lake.
+ID_SPACE = 1 << 23
+BUCKET, POSITION, MONTH = "_bucket", "_position", "_month"
 WRITER = "ingest"
 
 
@@ -49,7 +51,8 @@ class Lake:
         return CommittedTable(spark, self.records, DAY, [BUCKET])
 
     def seen_table(self, spark: SparkSession) -> CommittedTable:
-        return CommittedTable(spark, self.seen, DAY, [BUCKET])
+        # A file for the month, not for each of the days that a batch has.
+        return CommittedTable(spark, self.seen, MONTH, [DAY, BUCKET])
 
     @property
     def quarantine(self) -> str:
@@ -109,9 +112,12 @@ def not_yet_stored(fresh: DataFrame, lake: Lake, message_id: str, days: Sequence
     stored; only where there are such ids are stored ones read, by day and bucket, and compared.
     """
     spark = fresh.sparkSession
-    suspects = maybe_stored(fresh, lake.seen_table(spark).read(slices=days)) if lake.seen_table(spark).versions() else None
-    # A row for each day and bucket: there are 2048 buckets.
-    found = suspects.select(DAY, BUCKET).distinct().collect() if suspects is not None else []
+    bits = lake.seen_table(spark)
+    found = []
+    if bits.versions():
+        seen = bits.read(slices=sorted({f"{day:%Y-%m}" for day in days})).where(F.col(DAY).isin(list(days)))
+        # A row for each day and bucket: there are 256 buckets.
+        found = maybe_stored(fresh, seen).select(DAY, BUCKET).distinct().collect()
     table = lake.records_table(spark)
     # A batch that was lost before its records were committed has left bits alone.
     if not found or not table.versions():
@@ -139,6 +145,7 @@ def store_batch(lake: Lake, form: MessageFormat) -> Callable[[DataFrame, int], N
                 records = parsed.where(sound).drop(MESSAGE, "_corrupt").dropDuplicates([DAY, form.message_id])
                 records = not_yet_stored(records, lake, form.message_id, days)
                 bits = parsed.where(sound).groupBy(DAY, BUCKET).agg(F.bitmap_construct_agg(POSITION).alias("bits"))
+                bits = bits.withColumn(MONTH, F.date_format(DAY, "yyyy-MM"))
                 with ThreadPoolExecutor(max_workers=2) as pool:
                     steps = [
                         pool.submit(table.prepare, rows, WRITER, batch_id, False)
@@ -157,10 +164,10 @@ def store_batch(lake: Lake, form: MessageFormat) -> Callable[[DataFrame, int], N
 
 
 def compact_lake(spark: SparkSession, lake: Lake, target_bytes: int = TARGET_BYTES) -> None:
-    """Put the small files that batches have left together, day by day, and the bitmaps of each day into one set."""
+    """Put the small files that batches have left together, day by day, and the bitmaps of each month into one file."""
     lake.records_table(spark).compact(target_bytes)
     lake.seen_table(spark).compact(
-        target_bytes, fold=lambda bits: bits.groupBy(DAY, BUCKET).agg(F.bitmap_or_agg("bits").alias("bits"))
+        target_bytes, fold=lambda bits: bits.groupBy(MONTH, DAY, BUCKET).agg(F.bitmap_or_agg("bits").alias("bits"))
     )
 
 
