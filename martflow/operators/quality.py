@@ -5,11 +5,11 @@ All row-level checks of a table share one pass. Results are rows, so they can be
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martflow.operators.conform import union_all
@@ -86,20 +86,46 @@ def run_checks(df: DataFrame, checks: Sequence[NotNull | Accepted | InRange | Un
             for i, c in enumerate(row_checks)
         ]
         results.append(counts.select(F.explode(F.array(*lines)).alias("r")).select("r.*"))
-    for check in checks:
-        if isinstance(check, Unique):
-            repeated = duplicated_keys(df.where(F.col(check.column).isNotNull()), [check.column])
-            results.append(
-                repeated.agg(F.count(F.lit(1)).alias("violations")).select(
-                    F.lit(check.name).alias("check_name"),
-                    F.lit(check.column).alias("column_name"),
-                    F.lit(check.severity).alias("severity"),
-                    "violations",
-                )
-            )
+    unique = [c for c in checks if isinstance(c, Unique)]
+    if unique:
+        results.append(_repeated_values(df, unique))
     return union_all(results)
 
 
+def _repeated_values(df: DataFrame, checks: Sequence[Unique]) -> DataFrame:
+    """One result row per uniqueness check. Grouping sets count the values of all columns in one shuffle."""
+    columns = sorted({c.column for c in checks})
+    names = {c: f"c{i}" for i, c in enumerate(columns)}
+    keys = df.select(*[F.col(c).alias(names[c]) for c in columns])
+    told = [F.grouping(names[c]).alias(f"g{i}") for i, c in enumerate(columns)]
+    counted = keys.groupingSets([[names[c]] for c in columns], *names.values()).agg(F.count(F.lit(1)).alias("n"), *told)
+    # A set's own column is the one that it groups by; its null is no value.
+    own = {c: (F.col(f"g{i}") == 0) & F.col(names[c]).isNotNull() for i, c in enumerate(columns)}
+    sums = counted.where("n > 1").agg(*[F.count_if(own[c]).alias(f"v{i}") for i, c in enumerate(columns)])
+    lines = [
+        F.struct(
+            F.lit(c.name).alias("check_name"),
+            F.lit(c.column).alias("column_name"),
+            F.lit(c.severity).alias("severity"),
+            F.col(f"v{columns.index(c.column)}").alias("violations"),
+        )
+        for c in checks
+    ]
+    return sums.select(F.explode(F.array(*lines)).alias("r")).select("r.*")
+
+
+def observe_checks(df: DataFrame, checks: Sequence[NotNull | Accepted | InRange]) -> tuple[DataFrame, Callable[[], list[tuple]]]:
+    """The frame with its checks counted while it is written, and a function that tells the counts afterwards.
+
+    Put it right under the write, whose tasks count once. The result rows are those of ``run_checks``.
+    """
+    if not checks:
+        return df, lambda: []
+    observation = Observation()
+    watched = df.observe(observation, *[F.count_if(c.violated()).alias(f"v{i}") for i, c in enumerate(checks)])
+    return watched, lambda: [(c.name, c.column, c.severity, observation.get[f"v{i}"]) for i, c in enumerate(checks)]
+
+
 def enforce(results: DataFrame) -> list[str]:
     """Warnings as text; raises if a check of severity ``error`` failed. Holds one line per failed check."""
     failed = results.where("violations > 0").collect()
@@ -145,6 +171,62 @@ def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:
     return counts.withColumn("difference", F.col("source_rows") - F.col("target_rows"))
 
 
+# Buckets of keys whose checksums are compared first.
+KEY_BUCKETS = 4096
+
+
+def differing_keys(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], slice_by: str | None = None
+) -> DataFrame:
+    """Keys whose rows differ between a source and what was loaded from it: the keys, n_source, n_target, kind.
+
+    ``kind`` is missing, extra, count (another number of rows) or changed. Both frames are compared on the columns of the
+    source, whatever the order of rows and columns; equal nulls are equal. First come checksums of each slice, a column by which both are
+    partitioned, so that equal slices are read once and then pruned; then of buckets of keys; then of the keys of
+    the buckets that differ, the only rows that are shuffled. Sums of two 64-bit hashes stand for the rows.
+    """
+    columns = sorted(source.columns)
+    sides = {"source": source.select(*columns), "target": target.select(*columns)}
+
+    def restricted(condition: Column) -> None:
+        for side in sides:
+            sides[side] = sides[side].where(condition)
+
+    if slice_by is not None:
+        # One row for each slice that differs.
+        found = [r["_at"] for r in _unlike(sides, F.col(slice_by), columns).collect()]
+        wanted = F.col(slice_by).isin([v for v in found if v is not None])
+        restricted(wanted | F.col(slice_by).isNull() if None in found else wanted)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS))
+    found = [r["_at"] for r in _unlike(sides, bucket, columns).collect()]
+    restricted(bucket.isin(found))
+    unlike = _unlike(sides, F.struct(*keys), columns)
+    n_source, n_target = (F.coalesce(f"n_{side}", F.lit(0)) for side in ("source", "target"))
+    kind = (
+        F.when(n_target == 0, "missing").when(n_source == 0, "extra").when(n_source != n_target, "count").otherwise("changed")
+    )
+    return unlike.select("_at.*", n_source.alias("n_source"), n_target.alias("n_target"), kind.alias("kind"))
+
+
+def _unlike(sides: Mapping[str, DataFrame], by: Column, columns: Sequence[str]) -> DataFrame:
+    """Groups whose number of rows or checksums differ: _at, n_source, n_target."""
+    # Nulls leave a hash as it is, so their places are hashed too.
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    hashes = [F.xxhash64(*columns, nulls), F.xxhash64(nulls, *reversed(columns), F.lit(1))]
+    counted = [
+        frame.groupBy(by.alias("_at")).agg(
+            F.count(F.lit(1)).alias("n"), *[F.sum(h.cast("decimal(20,0)")).alias(f"h{i}") for i, h in enumerate(hashes)]
+        )
+        .select("_at", *[F.col(c).alias(f"{c}_{side}") for c in ("n", "h0", "h1")])
+        .withColumnRenamed("_at", f"at_{side}")
+        for side, frame in sides.items()
+    ]
+    both = counted[0].join(counted[1], F.col("at_source").eqNullSafe(F.col("at_target")), "full_outer")
+    same = [F.col(f"{c}_source").eqNullSafe(F.col(f"{c}_target")) for c in ("n", "h0", "h1")]
+    there = F.when(F.col("n_source").isNotNull(), F.col("at_source")).otherwise(F.col("at_target"))
+    return both.where(~(same[0] & same[1] & same[2])).select(there.alias("_at"), "n_source", "n_target")
+
+
 def profile(df: DataFrame) -> DataFrame:
     """Type, row count and null count of every column in one pass, one result row per column."""
     counted = df.agg(

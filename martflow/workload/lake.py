@@ -151,6 +151,27 @@ def dq_reconcile(b: Binding) -> DataFrame:
     return quality.reconcile(b.table("lineitem"), loaded)
 
 
+# In the target the first lines of a few orders are changed, lost or repeated, by the order's remainder.
+LINE_KEY = ["l_orderkey", "l_linenumber"]
+
+
+@query(
+    "dq_reconcile_content",
+    """SELECT l_orderkey, l_linenumber, COUNT(*) AS n_source,
+        CASE l_orderkey % 4 WHEN 3 THEN 0 WHEN 0 THEN 2 * COUNT(*) ELSE COUNT(*) END AS n_target,
+        CASE l_orderkey % 4 WHEN 3 THEN 'missing' WHEN 0 THEN 'count' ELSE 'changed' END AS kind
+        FROM lineitem WHERE l_orderkey <= 40 AND l_linenumber = 1 GROUP BY l_orderkey, l_linenumber""",
+)
+def dq_reconcile_content(b: Binding) -> DataFrame:
+    """The keys in which what was loaded differs from all lines: changed, lost and repeated ones."""
+    lines, case = b.table("lineitem"), F.col("l_orderkey") % 4
+    at = (F.col("l_linenumber") == 1) & (F.col("l_orderkey") <= 40)
+    tax = F.when(at & case.isin(1, 2), F.col("l_tax") + 0.01).otherwise(F.col("l_tax"))
+    loaded = lines.withColumn("l_tax", tax).where(~(at & (case == 3)))
+    loaded = materialise(loaded.unionByName(lines.where(at & (case == 0))), "loaded")
+    return quality.differing_keys(lines, loaded, LINE_KEY)
+
+
 @query(
     "profile",
     sql(
