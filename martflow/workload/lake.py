@@ -12,6 +12,7 @@ from martflow.functions import aggregate as agg
 from martflow.functions import scalar
 from martflow.operators import conform, quality
 from martflow.plans import staging, star
+from martflow.plans.refresh import Rollup, compact_state, refresh
 from martflow.sinks import files as file_sinks
 from martflow.sinks import tables as table_sinks
 from martflow.sinks.committed import CommittedTable
@@ -554,6 +555,29 @@ def clustered_lookup(b: Binding) -> DataFrame:
     return table.read(within={"l_suppkey": (7, 7), "l_partkey": (1, 150)})
 
 
+@query(
+    "rollup_refreshed",
+    """SELECT l_returnflag, l_linestatus,
+        CAST(SUM(CAST(ROUND(l_quantity * 10000) AS BIGINT)) AS DOUBLE) / 10000 / COUNT(l_quantity) AS avg_l_quantity,
+        CAST(SUM(CAST(ROUND(l_discount * 10000) AS BIGINT)) AS DOUBLE) / 10000 / COUNT(l_discount) AS avg_l_discount,
+        COUNT(DISTINCT l_suppkey) AS n_l_suppkey FROM lineitem GROUP BY l_returnflag, l_linestatus""",
+)
+def rollup_refreshed(b: Binding) -> DataFrame:
+    """Means and distinct suppliers, kept up to date over three commits of which each refresh reads the last alone."""
+    lines = b.table("lineitem").select(
+        "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_suppkey", F.date_format("l_shipdate", "yyyy").alias("year")
+    )
+    source = CommittedTable(b.spark, new_path(b.spark, "rollup-source"), "year", ["l_suppkey"])
+    rollup = Rollup(["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount"], distinct="l_suppkey")
+    state = rollup.state_table(b.spark, new_path(b.spark, "rollup-state"), "year")
+    part = F.year(F.to_date(F.col("year"), "yyyy")) % 3
+    for k in range(3):
+        source.append(lines.where(part == k))
+        refresh(source, state, rollup)
+    compact_state(state, rollup)
+    return rollup.result(state.read())
+
+
 @query(
     "scan_indexed",
     f"""SELECT {LINE_SQL}, CASE l_returnflag WHEN 'R' THEN 0 ELSE l_quantity END AS amount FROM lineitem""",
