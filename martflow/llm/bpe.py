@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from array import array
+from heapq import heapify, heappop, heappush
 
 from pyspark.sql import DataFrame
 
@@ -20,6 +21,9 @@ WORD_END = "</w>"
 WHITE = r"\t-\r\x20\x85\xa0  -     　"
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+# Symbols of a fragment up to which looking at all pairs is faster than a heap.
+SHORT = 64
+
 
 class WordEncoder:
     """Encodes and decodes whole texts with the vocabulary in a tokenizer file."""
@@ -62,6 +66,8 @@ class WordEncoder:
         symbols = list(letters)
         if ends:
             symbols[-1] += WORD_END
+        if len(symbols) > SHORT:
+            return self._merge_long(symbols)
         ranks, worst = self.ranks, len(self.ranks)
         order = [ranks.get(pair, worst) for pair in zip(symbols, symbols[1:])]
         while order:
@@ -77,14 +83,37 @@ class WordEncoder:
                 order[at] = ranks.get((symbols[at], symbols[at + 1]), worst)
         return tuple(self.ids[s] for s in symbols)
 
+    def _merge_long(self, symbols: list[str]) -> tuple[int, ...]:
+        """As ``_merge``: the pair of the lowest rank first, the leftmost of those, from a heap over linked symbols."""
+        ranks, count = self.ranks, len(symbols)
+        after, before = list(range(1, count + 1)), list(range(-1, count - 1))
+        waiting = [(ranks[pair], k, *pair) for k, pair in enumerate(zip(symbols, symbols[1:])) if pair in ranks]
+        heapify(waiting)
+        while waiting:
+            _, at, left, right = heappop(waiting)
+            end = after[at]
+            # A pair one side of which has been joined meanwhile is out of date.
+            if symbols[at] != left or end >= count or symbols[end] != right:
+                continue
+            symbols[at], symbols[end] = left + right, ""
+            after[at] = end = after[end]
+            if end < count:
+                before[end] = at
+            for first, second in ((before[at], at), (at, end)):
+                if first >= 0 and second < count and (pair := (symbols[first], symbols[second])) in ranks:
+                    heappush(waiting, (ranks[pair], first, *pair))
+        return tuple(self.ids[s] for s in symbols if s)
+
     def _encode_word(self, word: str) -> tuple[int, ...]:
         letters = "".join([self.letters[b] for b in word.encode()])
-        joinable, out, start = self.joinable, (), 0
+        joinable, start = self.joinable, 0
+        out: list[int] = []
         for k in range(1, len(letters)):
             if letters[k - 1 : k + 1] not in joinable:
-                out += self.fragments[letters[start:k], False]
+                out.extend(self.fragments[letters[start:k], False])
                 start = k
-        return out + self.fragments[letters[start:], True]
+        out.extend(self.fragments[letters[start:], True])
+        return tuple(out)
 
     def _encode_chunk(self, chunk: str) -> tuple[bytes, str]:
         """Ids and decoded text of what stands between white space."""
@@ -117,7 +146,8 @@ class WordEncoder:
 def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, ids (binary, little-endian unsigned 32-bit), decoded: one row for each row, whole texts.
 
-    A null or empty text has no ids and decodes to an empty text. Marks of special tokens in a text become those
+    A null or empty text has no ids and decodes to an empty text. A word of any length takes time in proportion to it, but for
+    a logarithm. Marks of special tokens in a text become those
     tokens. Other columns are not read; an empty table gives an empty result.
     """
 

@@ -1,7 +1,10 @@
 """Encoding and packing against the tokenizers library, and shards against their law."""
 
+import hashlib
+import time
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -10,6 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from martflow.llm import bpe, packing, shards
+from martflow.llm.queries import QUERIES
 from martflow.llm.tokens import ByteLevelEncoder
 
 ODD = [
@@ -52,6 +56,39 @@ def test_any_text(word, byte, text):
     assert np.frombuffer(byte[0].encode(text), "<u4").tolist() == byte[1].encode(text, add_special_tokens=False).ids
 
 
+LONG = ["x" * 200_000, "ab" * 100_000, "thequickbrownfox" * 12_500, "é" * 100_000, "the" * 40 + "Q" * 200 + "ing" * 500]
+
+
+@pytest.mark.parametrize("text", LONG, ids=range(len(LONG)))
+def test_long_words(word, text):
+    began = time.time()
+    word[0].encode(text)
+    assert time.time() - began < 5
+    check_word(word, text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abeinrst", min_size=1, max_size=80))
+def test_both_ways_to_merge_agree(word, text):
+    own = word[0]
+    symbols = list(text)
+    symbols[-1] += bpe.WORD_END
+    assert own._merge((text, True)) == own._merge_long(symbols)
+
+
+def test_the_query_equals_the_library_on_the_whole_table(spark, word):
+    small = "/root/testdata/sf0.001"
+    documents = dict(duckdb.sql(f"select doc_id, text from '{small}/documents.parquet'").fetchall())
+    found = QUERIES["op10_forced_boundary_bpe"](spark, small).collect()
+    assert sorted(r["doc_id"] for r in found) == sorted(documents)
+    for r in found:
+        ids = word[1].encode(documents[r["doc_id"]] or "", add_special_tokens=False).ids
+        decoded = word[1].decode(ids, skip_special_tokens=False)
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
+
+
 def test_no_token_holds_a_forced_boundary(word):
     own = word[0]
     for token in list(own.ids)[:2000]:
