@@ -196,5 +196,7 @@ def test_rows_grow_with_a_group_just_below_the_threshold(spark, monkeypatch):
     # A member is a suspect once in each of its buckets at most.
     assert 0 < large["suspects"] <= large.pop("apart") <= 2.2 * small["apart"]
     large.pop("suspects")
+    # Links that join two components: no more than there are texts.
+    assert large.pop("more-links") < 600
     for label, count in large.items():
         assert count <= 2.2 * small[label] + 20, (label, small[label], count)
