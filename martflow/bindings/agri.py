@@ -43,6 +43,7 @@ STREAM_NAMES = {
     "Weather_Sunlight_Hours": "Weather_Sunlight",
 }
 
+# Columns that hold dates, and those whose type differs between files.
 DATE_COLUMNS = ["Planting_Date", "Harvest_Date", "Order_Date", "Delivery_Date"]
 DRIFTING_COLUMNS = ["Pesticide_Amount", "Irrigation_Amount"]
 LAKE_DRIFTING_COLUMNS = ["Pesticide_Amount", "Irrigation_Amount", "Fertilizer_Amount"]

@@ -53,21 +53,23 @@ def season_advice(percentage: scalar.ColumnLike, season: scalar.ColumnLike) -> C
 
 def farm_performance(
     farms: DataFrame,
-    records: DataFrame,
+    records: DataFrame | None,
     soil: DataFrame,
     sustainability: DataFrame,
     yields: DataFrame,
     as_of_year: int,
     exact: FixedPoint | None = None,
     fanout: str = "reference",
+    by_type: DataFrame | None = None,
 ) -> DataFrame:
     """Performance of each farm by crop type, with three ranks.
 
     Soil, sustainability and yield rows of a farm repeat its records. That leaves averages as they are but
-    multiplies the total yield; ``fanout="none"`` reports the plain total.
+    multiplies the total yield; ``fanout="none"`` reports the plain total. ``by_type`` stands for the aggregated records, as
+    ``refresh.farm_side`` keeps them.
     """
     exact = exact or NOT_EXACT
-    by_type = records.groupBy("farm_id", F.col("crop_type").alias("farm_type")).agg(
+    by_type = by_type or records.groupBy("farm_id", F.col("crop_type").alias("farm_type")).agg(
         agg.mean("soil_moisture", exact.measure).alias("avg_soil_moisture"),
         agg.mean("soil_temperature", exact.measure).alias("avg_soil_temperature"),
         agg.mean("actual_yield", exact.measure).alias("avg_actual_yield"),
@@ -139,22 +141,24 @@ def farm_performance(
 
 def crop_performance(
     crops: DataFrame,
-    records: DataFrame,
+    records: DataFrame | None,
     yields: DataFrame,
     production: DataFrame,
     harvest: DataFrame,
     as_of_year: int,
     exact: FixedPoint | None = None,
     fanout: str = "reference",
+    by_type: DataFrame | None = None,
 ) -> DataFrame:
     """Performance of each crop (type, name, season, water needs), with its rank.
 
     A crop meets all records of its type, and its yields, productions and harvests multiply one another.
     Records are aggregated once per type, the others once per crop, and recombined by their row counts.
-    ``fanout="none"`` weighs every yield, production and harvest row once.
+    ``fanout="none"`` weighs every yield, production and harvest row once. ``by_type`` stands for the aggregated records, as
+    ``refresh.crop_side`` keeps them.
     """
     exact = exact or NOT_EXACT
-    by_type = records.groupBy("crop_type").agg(
+    by_type = by_type or records.groupBy("crop_type").agg(
         agg.mean("expected_yield", exact.measure).alias("avg_expected_yield"),
         agg.mean("actual_yield", exact.measure).alias("avg_actual_yield"),
         agg.mean("growing_period_days", exact.measure).alias("avg_growing_period_days"),

@@ -12,7 +12,7 @@ from martflow.functions import aggregate as agg
 from martflow.functions import scalar
 from martflow.operators import conform, quality
 from martflow.plans import staging, star
-from martflow.plans.refresh import Rollup, compact_state, refresh
+from martflow.plans.refresh import Measure, Rollup, compact_state, refresh
 from martflow.sinks import files as file_sinks
 from martflow.sinks import tables as table_sinks
 from martflow.sinks.committed import CommittedTable
@@ -568,7 +568,8 @@ def rollup_refreshed(b: Binding) -> DataFrame:
         "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_suppkey", F.date_format("l_shipdate", "yyyy").alias("year")
     )
     source = CommittedTable(b.spark, new_path(b.spark, "rollup-source"), "year", ["l_suppkey"])
-    rollup = Rollup(["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount"], distinct="l_suppkey")
+    measures = {m: Measure(F.col(m)) for m in ("l_quantity", "l_discount")}
+    rollup = Rollup(["l_returnflag", "l_linestatus"], measures, distinct="l_suppkey")
     state = rollup.state_table(b.spark, new_path(b.spark, "rollup-state"), "year")
     part = F.year(F.to_date(F.col("year"), "yyyy")) % 3
     for k in range(3):

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from martflow.bindings import agri
 from martflow.bindings.testdata import MEASURE, Binding
 from martflow.functions.aggregate import FixedPoint
-from martflow.plans import marts, olap, seeded, staging, star
+from martflow.plans import marts, olap, refresh, seeded, staging, star
+from martflow.sinks.committed import CommittedTable
 from martflow.workload.ansi import days, mean, month, season, sql, total, year
 from martflow.workload.registry import query
 from martflow.workload.relational import AMOUNT, AS_OF_YEAR, RATIO, year_mean
 from martflow.workload.scalars import NOISE_SQL
+from martflow.workspace import new_path
 
 AS_OF = datetime(2024, 1, 1)
 TODAY = date(2024, 1, 1)
@@ -316,6 +318,27 @@ def farm_performance(b: Binding) -> DataFrame:
     )
 
 
+def refreshed(b: Binding, rollup: refresh.Rollup, label: str) -> DataFrame:
+    """State of a roll-up of the records, which are committed and counted in two parts."""
+    source = CommittedTable(b.spark, new_path(b.spark, f"{label}-records"), "period", ["farm_id"])
+    state = rollup.state_table(b.spark, new_path(b.spark, f"{label}-state"), "period")
+    dated = b.records.withColumn("period", F.col("year").cast("string"))
+    for part in (F.col("month") <= 6, F.col("month") > 6):
+        source.append(dated.where(part))
+        refresh.refresh(source, state, rollup)
+    return state.read()
+
+
+@query("farm_performance_refreshed", farm_sql("records"))
+def farm_performance_refreshed(b: Binding) -> DataFrame:
+    """The farm mart, of whose records only the new ones are aggregated."""
+    rollup = refresh.farm_rollup(RECORDS)
+    by_type = refresh.farm_side(refreshed(b, rollup, "farm"), rollup, AS_OF_YEAR)
+    return marts.farm_performance(
+        b.farms, None, b.soil, b.sustainability, b.yields, AS_OF_YEAR, RECORDS, by_type=by_type
+    )
+
+
 @query("farm_performance_synth", farm_sql("staged", 6, staged=STAGED_FULL_DATA))
 def farm_performance_synth(b: Binding) -> DataFrame:
     """The farm mart over the seed-derived records."""
@@ -452,3 +475,14 @@ def sustainability_metrics(b: Binding) -> DataFrame:
     return marts.sustainability_metrics(
         b.records, b.farms, b.sustainability, b.soil, b.crops, b.weather, RECORDS
     )
+
+
+@query("crop_performance_refreshed", crop_sql())
+def crop_performance_refreshed(b: Binding) -> DataFrame:
+    """The crop mart, of whose records only the new ones are aggregated."""
+    b.shared()
+    rollup = refresh.crop_rollup(RECORDS)
+    by_type = refresh.crop_side(refreshed(b, rollup, "crop"), rollup, AS_OF_YEAR)
+    return marts.crop_performance(
+        b.crops, None, b.yields, b.production, b.harvest, AS_OF_YEAR, RECORDS, by_type=by_type
+    )

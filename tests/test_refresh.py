@@ -1,13 +1,18 @@
 """Roll-ups refreshed from commits equal those over all records, bit for bit, and read new files alone."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from martflow.functions import aggregate as agg
 from martflow.plans.olap import mean_rollup
-from martflow.plans.refresh import Rollup, compact_state, refresh
+from martflow.plans.refresh import Measure, Rollup, Shown, compact_state, refresh
 from martflow.sinks.committed import CommittedTable
 from tests.helpers import rows
 
-ROLLUP = Rollup(["kind"], ["x", "y"], distinct="farm")
+
+
+def measures(*names):
+    return {name: Measure(F.col(name)) for name in names}
 
 
 def records(spark, low, high, month):
@@ -18,9 +23,14 @@ def records(spark, low, high, month):
 
 
 @pytest.fixture
-def tables(spark, path):
+def rollup(spark):
+    return Rollup(["kind"], measures("x", "y"), distinct="farm")
+
+
+@pytest.fixture
+def tables(spark, path, rollup):
     source = CommittedTable(spark, path("source"), "month", ["farm"])
-    return source, ROLLUP.state_table(spark, path("state"), "month")
+    return source, rollup.state_table(spark, path("state"), "month")
 
 
 def full(source):
@@ -30,30 +40,30 @@ def full(source):
     return sorted(((r["kind"], r["avg_x"], r["avg_y"], ids[r["kind"]]) for r in means.collect()), key=str)
 
 
-def shown(state):
-    return sorted((tuple(r) for r in ROLLUP.result(state.read()).select("kind", "avg_x", "avg_y", "n_farm").collect()), key=str)
+def shown(state, rollup):
+    return sorted((tuple(r) for r in rollup.result(state.read()).select("kind", "avg_x", "avg_y", "n_farm").collect()), key=str)
 
 
-def test_refreshed_equals_full(spark, tables):
+def test_refreshed_equals_full(spark, tables, rollup):
     source, state = tables
-    assert refresh(source, state, ROLLUP) is None
+    assert refresh(source, state, rollup) is None
     for k, month in enumerate(("2024-01", "2024-02", "2024-01")):
         source.append(records(spark, 3000 * k, 3000 * k + 2000, month))
-        assert refresh(source, state, ROLLUP) is not None and refresh(source, state, ROLLUP) is None
-        assert shown(state) == full(source)
+        assert refresh(source, state, rollup) is not None and refresh(source, state, rollup) is None
+        assert shown(state, rollup) == full(source)
     source.compact()
-    refresh(source, state, ROLLUP)
-    assert shown(state) == full(source)
-    before = shown(state)
-    assert compact_state(state, ROLLUP) is not None and shown(state) == before
+    refresh(source, state, rollup)
+    assert shown(state, rollup) == full(source)
+    before = shown(state, rollup)
+    assert compact_state(state, rollup) is not None and shown(state, rollup) == before
     keys = state.read().select("month", "kind", "_id_bucket")
     assert keys.count() == keys.distinct().count()
 
 
-def test_only_new_files_are_read(spark, tables, monkeypatch):
+def test_only_new_files_are_read(spark, tables, rollup, monkeypatch):
     source, state = tables
     source.append(records(spark, 0, 2000, "2024-01"))
-    refresh(source, state, ROLLUP)
+    refresh(source, state, rollup)
     read, since = [], CommittedTable.since
 
     def counted(self, *given):
@@ -63,24 +73,36 @@ def test_only_new_files_are_read(spark, tables, monkeypatch):
 
     monkeypatch.setattr(CommittedTable, "since", counted)
     source.append(records(spark, 5000, 5100, "2024-02"))
-    refresh(source, state, ROLLUP)
+    refresh(source, state, rollup)
     assert read and all("2024-02" in file for file in read)
 
 
-def test_a_refresh_that_is_lost_counts_once(spark, tables, monkeypatch):
+def test_a_refresh_that_is_lost_counts_once(spark, tables, rollup, monkeypatch):
     source, state = tables
     source.append(records(spark, 0, 500, "2024-01"))
     publish = CommittedTable._publish
     monkeypatch.setattr(CommittedTable, "_publish", lambda self, change: 1 / 0)
     with pytest.raises(ZeroDivisionError):
-        refresh(source, state, ROLLUP)
+        refresh(source, state, rollup)
     monkeypatch.setattr(CommittedTable, "_publish", publish)
-    refresh(source, state, ROLLUP)
-    assert shown(state) == full(source)
+    refresh(source, state, rollup)
+    assert shown(state, rollup) == full(source)
+
+
+def test_conditions_totals_and_fine_decimals(spark):
+    df = records(spark, 0, 3000, "2024-01").unionByName(records(spark, 3000, 5000, "2024-02"))
+    rollup = Rollup(["kind", "month"], {"x": Measure(F.col("x") / 3, 10), "y": Measure(F.col("y"))})
+    state = rollup.state_of(df, "month")
+    shown = {"fine": Shown("x"), "all": Shown("y", total=True), "late": Shown("x", F.col("month") == "2024-02"), "none": Shown("y", F.lit(False))}
+    full = df.groupBy("kind").agg(
+        agg.mean(F.col("x") / 3, 10).alias("fine"), agg.total("y", 4).alias("all"),
+        agg.mean_where(F.col("month") == "2024-02", F.col("x") / 3, 10).alias("late"), F.lit(None).cast("double").alias("none"),
+    )
+    assert rows(rollup.result(state, ["kind"], shown)) == rows(full)
 
 
 def test_ids_must_be_integers(spark):
     with pytest.raises(ValueError, match="kind"):
-        Rollup(["month"], ["x"], distinct="kind").state_of(records(spark, 0, 2, "m"), "month")
-    means = Rollup(["kind"], ["x"]).state_of(records(spark, 0, 9, "m"), "month")
-    assert rows(Rollup(["kind"], ["x"]).result(means), "kind") == rows(records(spark, 0, 9, "m").select("kind").distinct())
+        Rollup(["month"], measures("x"), distinct="kind").state_of(records(spark, 0, 2, "m"), "month")
+    means = Rollup(["kind"], measures("x")).state_of(records(spark, 0, 9, "m"), "month")
+    assert rows(Rollup(["kind"], measures("x")).result(means), "kind") == rows(records(spark, 0, 9, "m").select("kind").distinct())
