@@ -224,12 +224,13 @@ def test_a_batch_without_repeats_reads_no_stored_ids(spark, site, form, monkeypa
         store(batch(range(500 * k, 500 * (k + 1)), day=1 + k % 2), k)
     assert read.rows <= 5
     store(batch([3, 4, 9000], day=1), 4)
-    assert 2 <= read.rows <= 10 and len(set(read.days)) <= 2
+    # Those of two buckets, of the 1000 that the day has.
+    assert 2 <= read.rows <= 60 and len(set(read.days)) <= 2
     ingest.compact_lake(spark, site.lake)
     store(batch([3, 4, 700, 9001], day=1), 5)
     stored = ingest.stored_records(spark, site.lake, form)
     assert stored.count() == 2003 == stored.select("message_id", "event_date").distinct().count()
-    assert read.rows <= 20
+    assert read.rows <= 150
 
 
 def test_a_crash_between_bits_and_records_stores_all_once(spark, site, form, monkeypatch):
