@@ -1,17 +1,22 @@
 """Main text of web pages by wrapper induction.
 
-Different pages of one host come together in chunks of even size. Every page becomes a tree in which neighbours of one kind are folded into a
-list; the trees of a chunk are aligned with the largest of them by simple tree matching. Blocks of a slot of the aligned
-tree that stay the same from page to page belong to the template, blocks that vary are the content. What
-marks itself as menu, advert, form and the like is no content either way. Where a page marks its article, only blocks in it
-can be content, and the template holds there too.
+Different pages of one host come together in chunks of even size. Every page becomes a tree of all its blocks, menus and adverts
+included, in which neighbours of one kind are folded into a list; the trees of a chunk are aligned with the largest of them
+by simple tree matching. Blocks of a slot of the aligned tree that stay the same from page to page belong to the template.
+The slots that vary say where the content lies: in the innermost element that holds nearly all of the text outside of
+links, on the average of the pages. What lies beside that element goes, but for headings and paragraphs on the way to it.
+Within it a page's own marks tell what no alignment can, such as a reader's comment from a paragraph; they also decide
+where a host has too few different pages. Where a page marks its article, only blocks in it can be content.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from hashlib import blake2b
 from html.parser import HTMLParser
+from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +32,10 @@ BATCH_ROWS = 256
 # A block is template if so many different pages have its slot, and this share of them the same block in it.
 LEAST_PAGES = 4
 CONSTANT = 0.8
+# An element holds the content if it has this share of the varying text outside of links, on the average of the pages.
+DOMINANT = 0.8
+# Cells of an alignment that are held at once.
+CELLS = 1 << 23
 
 # Elements by their role in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -34,6 +43,7 @@ CODE = frozenset("script style template noscript svg math iframe object canvas s
 NO_CONTENT = CODE | frozenset("head title nav header footer aside form menu dialog".split())
 # Marked by what they are, not by a word that a wrapper may have too.
 FIRM = NO_CONTENT - frozenset(["header", "form"])
+HEADS = frozenset(["head", "title"])
 HEAD = frozenset("title base basefont bgsound link meta style script noscript template".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span "
@@ -49,6 +59,7 @@ CLOSED_BY = {
     "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]),
     "option": frozenset(["option"]),
 }
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 LISTS = frozenset("ul ol dl table select article section div body main".split())
 MARKS = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies disclaimer "
@@ -176,30 +187,42 @@ def _settle(top: Node) -> None:
 DEEPEST = 40
 
 
-def blocks(top: Node, chosen: list[Node] | None = None) -> list[tuple[str, str]]:
-    """Path and text of every block in page order, white space folded, without marked elements.
+class Block(NamedTuple):
+    """A block of a page: path and text, the letters of it that are links, and whether the page's marks leave it in."""
 
-    A path names the elements from the page's root to the block, inline ones aside. With ``chosen`` only blocks below
-    these elements are taken, which may be marked themselves.
+    path: str
+    text: str
+    linked: int = 0
+    kept: bool = True
+
+
+def blocks(top: Node, chosen: list[Node] | None = None) -> list[Block]:
+    """Every block in page order, white space folded, code and the page's head aside.
+
+    A path names the elements from the page's root to the block, inline ones aside. Blocks in marked elements are not
+    kept; with ``chosen`` only blocks below these elements are, which may be marked themselves.
     """
-    found: list[tuple[str, str]] = []
+    found: list[Block] = []
     current: list[str] = []
+    linked = 0
     roots = {id(node) for node in chosen or ()}
 
-    def flush(path):
+    def flush(path, kept):
+        nonlocal linked
         text = " ".join("".join(current).split())
         current.clear()
         if text:
-            found.append((path, text))
+            found.append(Block(path, text, linked, kept))
+        linked = 0
 
     # An explicit stack, as pages can be nested without end.
-    stack: list = [(top, "", 0, chosen is None, iter(top.items))]
+    stack: list = [(top, "", 0, chosen is None, False, iter(top.items))]
     while stack:
-        node, path, depth, taken, items = stack[-1]
+        node, path, depth, kept, link, items = stack[-1]
         for item in items:
             if isinstance(item, str):
-                if taken:
-                    current.append(item)
+                current.append(item)
+                linked += len("".join(item.split())) if link else 0
                 continue
             if item.tag == "br":
                 current.append(" ")
@@ -207,115 +230,251 @@ def blocks(top: Node, chosen: list[Node] | None = None) -> list[tuple[str, str]]
             root = id(item) in roots
             inline = item.tag in INLINE
             if not inline:
-                flush(path)
-            if item.marked and not root:
+                flush(path, kept)
+            if item.tag in CODE or item.tag in HEADS or (inline and item.marked and not root):
                 continue
+            state = root or (kept and not item.marked), link or item.tag == "a", iter(item.items)
             if inline or depth >= DEEPEST:
-                stack.append((item, path, depth, taken or root, iter(item.items)))
+                stack.append((item, path, depth, *state))
             else:
-                stack.append((item, f"{path}/{item.kind}", depth + 1, taken or root, iter(item.items)))
+                stack.append((item, f"{path}/{item.kind}", depth + 1, *state))
             break
         else:
             stack.pop()
             if node.tag not in INLINE:
-                flush(path)
-    flush("")
+                flush(path, kept)
+    flush("", chosen is None)
     return found
 
 
 class Slot:
     """A node of an aligned tree: neighbours of one kind are one slot with the blocks of all."""
 
-    __slots__ = ("kind", "text", "children")
+    __slots__ = ("kind", "blocks", "children", "shape", "size")
 
     def __init__(self, kind: str):
-        self.kind, self.text, self.children = kind, [], []
+        self.kind, self.blocks, self.children = kind, [], []
+        self.shape, self.size = 0, 1
+
+
+def described(tree: Node) -> list[Block]:
+    """All blocks of a page; those are kept that lie in its articles, if it marks any, and in no other marked element."""
+    return blocks(tree, _chosen(tree) or None)
+
+
+def own(page: list[Block]) -> tuple[tuple[str, str], ...]:
+    """Path and text of the blocks that a page's own marks leave in."""
+    return tuple((block.path, block.text) for block in page if block.kept)
 
 
 def content(tree: Node) -> list[tuple[str, str]]:
     """The blocks that may be main text: of the articles if the page marks any, else of the whole page."""
-    return blocks(tree, _chosen(tree) or None)
+    return list(own(described(tree)))
 
 
 def slots(tree: Node) -> Slot:
     """The blocks of a page as a tree, in which runs of neighbours of one kind are folded."""
-    return _folded(content(tree))
+    return _folded(described(tree))
 
 
-def _folded(found: list[tuple[str, str]]) -> Slot:
+def _folded(page: list[Block]) -> Slot:
+    """Slots of one page, each with a digest of the shape of its subtree, so that equal ones are known at once."""
     top = Slot("")
-    for path, text in found:
+    for block in page:
         slot = top
-        for kind in path.split("/")[1:]:
+        for kind in block.path.split("/")[1:]:
             if not slot.children or slot.children[-1].kind != kind:
                 slot.children.append(Slot(kind))
             slot = slot.children[-1]
-        slot.text.append(text)
+        slot.blocks.append(block)
+
+    def digest(slot: Slot) -> int:
+        parts = [slot.kind, *(str(digest(child)) for child in slot.children)]
+        slot.shape = int.from_bytes(blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+        slot.size = 1 + sum(child.size for child in slot.children)
+        return slot.shape
+
+    digest(top)
     return top
 
 
-def match(a: Slot, b: Slot) -> tuple[int, list[tuple[Slot, Slot]]]:
-    """Simple tree matching: the most nodes that can be paired in order, and the pairs."""
+def match(a: Slot, b: Slot, known: dict | None = None) -> tuple[int, list[tuple[Slot, Slot]]]:
+    """Simple tree matching: the most nodes that can be paired in order, and the pairs.
+
+    ``known`` keeps the size of a match and the places of the paired children, by the shapes of both.
+    """
+    known = {} if known is None else known
     if a.kind != b.kind:
         return 0, []
-    rows, columns = len(a.children), len(b.children)
-    size = [[0] * (columns + 1) for _ in range(rows + 1)]
-    below = {}
-    for i in range(rows):
-        for j in range(columns):
-            found = match(a.children[i], b.children[j])
-            below[i, j] = found
-            size[i + 1][j + 1] = max(size[i][j + 1], size[i + 1][j], size[i][j] + found[0])
-    pairs = [(a, b)]
-    i, j = rows, columns
-    while i and j:
-        if size[i][j] == size[i - 1][j]:
-            i -= 1
-        elif size[i][j] == size[i][j - 1]:
-            j -= 1
-        else:
-            pairs += below[i - 1, j - 1][1]
-            i, j = i - 1, j - 1
-    return size[rows][columns] + 1, pairs
+    pairs, stack = [], [(a, b)]
+    while stack:
+        one, other = stack.pop()
+        pairs.append((one, other))
+        stack += [(one.children[i], other.children[j]) for i, j in _matched(one, other, known)[1]]
+    return len(pairs), pairs
 
 
-def induce(trees: list[Node]) -> set[tuple[str, str]]:
-    """Path and text of the template blocks of pages of one host."""
-    return induce_blocks([content(tree) for tree in trees])
+def _matched(a: Slot, b: Slot, known: dict) -> tuple[int, list[tuple[int, int]]]:
+    """The number of nodes that match, and the places of the children that are paired."""
+    if a.kind != b.kind:
+        return 0, []
+    if a.shape == b.shape:
+        return a.size, [(k, k) for k in range(len(a.children))]
+    key = a.shape, b.shape
+    if key not in known:
+        places = _aligned(a.children, b.children, known)
+        known[key] = 1 + sum(_matched(a.children[i], b.children[j], known)[0] for i, j in places), places
+    return known[key]
+
+
+def _aligned(a: list[Slot], b: list[Slot], known: dict) -> list[tuple[int, int]]:
+    """Places of the paired children. Equal children at both ends are paired at once: no match is larger."""
+    least, first, last = min(len(a), len(b)), 0, 0
+    while first < least and a[first].shape == b[first].shape:
+        first += 1
+    while last < least - first and a[-1 - last].shape == b[-1 - last].shape:
+        last += 1
+    ends = [(k, k) for k in range(first)] + [(len(a) - 1 - k, len(b) - 1 - k) for k in range(last)]
+    a, b = a[first : len(a) - last], b[first : len(b) - last]
+    if not a or not b:
+        return ends
+    # What a pair of children is worth depends on their shapes alone.
+    _, left, rows = np.unique([slot.shape for slot in a], return_index=True, return_inverse=True)
+    _, right, columns = np.unique([slot.shape for slot in b], return_index=True, return_inverse=True)
+    worth = np.array([[_matched(a[i], b[j], known)[0] for j in right] for i in left], np.int32)
+    return ends + [(first + i, first + j) for i, j in _ordered_pairs(worth, rows, columns)]
+
+
+def _row(before: np.ndarray, gains: np.ndarray) -> np.ndarray:
+    """The next row of the table of best sums."""
+    out = before.copy()
+    np.maximum(before[1:], before[:-1] + gains, out=out[1:])
+    return np.maximum.accumulate(out, out=out)
+
+
+def _ordered_pairs(worth: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> list[tuple[int, int]]:
+    """The pairs, in order, of the largest sum of ``worth``. A table that is too large is halved, and only its middle kept."""
+    found, parts = [], [(0, len(rows), 0, len(columns))]
+    while parts:
+        top, bottom, start, end = parts.pop()
+        if bottom == top or end == start:
+            continue
+        gains = worth[:, columns[start:end]]
+        if bottom - top > 1 and (bottom - top) * (end - start) > CELLS:
+            middle = (top + bottom) // 2
+            upper = lower = np.zeros(end - start + 1, np.int32)
+            for i in range(top, middle):
+                upper = _row(upper, gains[rows[i]])
+            for i in range(bottom - 1, middle - 1, -1):
+                lower = _row(lower, gains[rows[i], ::-1])
+            cut = start + int(np.argmax(upper + lower[::-1]))
+            parts += [(top, middle, start, cut), (middle, bottom, cut, end)]
+            continue
+        table = [np.zeros(end - start + 1, np.int32)]
+        for i in range(top, bottom):
+            table.append(_row(table[-1], gains[rows[i]]))
+        i, j = bottom - top, end - start
+        while i and j:
+            if table[i][j] == table[i - 1][j]:
+                i -= 1
+            elif table[i][j] == table[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                found.append((top + i, start + j))
+    return found
+
+
+class Wrapper(set):
+    """Path and text of the template blocks of a host; ``within`` is the path of the element that holds the content."""
 
+    within = ""
 
-def induce_blocks(found: list[list[tuple[str, str]]]) -> set[tuple[str, str]]:
-    """The same from the pages' blocks. Pages with the same blocks are copies and count as one."""
-    folded = [_folded(page) for page in dict.fromkeys(map(tuple, found))]
-    if len(folded) < LEAST_PAGES:
-        return set()
+
+def induce(trees: list[Node]) -> Wrapper:
+    """The wrapper of pages of one host."""
+    return induce_blocks([described(tree) for tree in trees])
+
+
+def induce_blocks(found: list[list[Block]]) -> Wrapper:
+    """The same from the pages' blocks. Pages with the same kept blocks are copies and count as one."""
+    different: dict[tuple, list[Block]] = {}
+    for page in found:
+        different.setdefault(own(page), page)
+    if len(different) < LEAST_PAGES:
+        return Wrapper()
+    folded = [_folded(page) for page in different.values()]
     paths: dict[int, str] = {}
 
-    def name(slot: Slot, path: str) -> int:
+    def name(slot: Slot, path: str) -> None:
         paths[id(slot)] = path
-        return 1 + sum(name(child, f"{path}/{child.kind}") for child in slot.children)
+        for child in slot.children:
+            name(child, f"{path}/{child.kind}")
 
-    reference = max(folded, key=lambda slot: _count(slot))
+    reference = max(folded, key=lambda slot: slot.size)
     name(reference, "")
     having: Counter[str] = Counter()
     times: Counter[tuple[str, str]] = Counter()
+    aligned: list[dict[str, list[Block]]] = []
+    known: dict[tuple[int, int], int] = {}
     for page in folded:
-        own: dict[str, set[str]] = {}
-        for slot, other in match(reference, page)[1]:
-            own.setdefault(paths[id(slot)], set()).update(other.text)
-        for path, texts in own.items():
-            having[path] += 1
-            times.update((path, text) for text in texts)
+        at: dict[str, list[Block]] = {}
+        for slot, other in match(reference, page, known)[1]:
+            at.setdefault(paths[id(slot)], []).extend(other.blocks)
+        having.update(at.keys())
+        times.update((path, text) for path, inside in at.items() for text in {block.text for block in inside})
+        aligned.append(at)
     # Folded neighbours are judged one by one: a block is template by the share of pages that have it in its slot.
-    return {
+    wrapper = Wrapper(
         (path, text)
         for (path, text), n in times.items()
         if having[path] >= LEAST_PAGES and n >= CONSTANT * having[path]
-    }
+    )
+    wrapper.within = _content_path(aligned, wrapper)
+    return wrapper
 
 
-def _count(slot: Slot) -> int:
-    return 1 + sum(map(_count, slot.children))
+def _content_path(aligned: list[dict[str, list[Block]]], template: set[tuple[str, str]]) -> str:
+    """The path of the innermost element that holds nearly all varying text outside of links; every page counts the same.
+
+    No element is chosen that is a paragraph itself, nor one whose text the pages' marks mostly leave out.
+    """
+    weight: Counter[str] = Counter()
+    spared: Counter[str] = Counter()
+    for at in aligned:
+        free = [
+            (path, block.kept, max(0, len("".join(block.text.split())) - block.linked))
+            for path, inside in at.items()
+            for block in inside
+            if (path, block.text) not in template
+        ]
+        total = sum(size for _, _, size in free)
+        for path, kept, size in free:
+            weight[path] += size / total if total else 0
+            spared[path] += size / total if total and kept else 0
+    needed = DOMINANT * sum(weight.values())
+    within = ""
+    while needed:
+        below: Counter[str] = Counter()
+        left: Counter[str] = Counter()
+        for path in weight:
+            if path.startswith(within + "/"):
+                child = f"{within}/{path[len(within) + 1 :].split('/', 1)[0]}"
+                below[child] += weight[path]
+                left[child] += spared[path]
+        if not below:
+            break
+        child = max(below, key=lambda path: (below[path], path))
+        if below[child] < needed or 2 * weight[child] >= below[child] or 2 * left[child] < below[child]:
+            break
+        within = child
+        if _tag(child) in ARTICLE:
+            break
+    return within
+
+
+def _tag(path: str) -> str:
+    return path.rpartition("/")[2].partition(".")[0]
 
 
 def _articles(tree: Node) -> list[Node]:
@@ -341,13 +500,26 @@ def _chosen(tree: Node) -> list[Node]:
     return marked
 
 
-def main_text(tree: Node, template: set[tuple[str, str]]) -> str:
-    """The blocks that are neither marked nor template, of the articles if the page marks any, joined by line feeds."""
-    return kept_text(content(tree), template)
+def main_text(tree: Node, wrapper: set[tuple[str, str]]) -> str:
+    """The text of the blocks that both the page's marks and the wrapper leave in, joined by line feeds."""
+    return kept_text(content(tree), wrapper)
+
+
+def kept_text(found: list[tuple[str, str]], wrapper: set[tuple[str, str]]) -> str:
+    """A page of another build, with nothing in the element that holds the host's content, keeps all but the template."""
+    left = [(path, text) for path, text in found if (path, text) not in wrapper]
+    within = getattr(wrapper, "within", "")
+    inside = [path == within or path.startswith(within + "/") for path, _ in left]
+    if any(inside):
+        left = [block for block, holds in zip(left, inside) if holds or _beside(block[0], within)]
+    return "\n".join(text for _, text in left)
 
 
-def kept_text(found: list[tuple[str, str]], template: set[tuple[str, str]]) -> str:
-    return "\n".join(text for path, text in found if (path, text) not in template)
+def _beside(path: str, within: str) -> bool:
+    """Whether a block is a page's title, or text or a paragraph of an element around the content."""
+    around, _, _ = path.rpartition("/")
+    tag = _tag(path)
+    return tag == "h1" or f"{within}/".startswith(f"{path}/") or (tag in PROSE and f"{within}/".startswith(f"{around}/"))
 
 
 def _inside(node: Node) -> list[Node]:
@@ -357,22 +529,24 @@ def _inside(node: Node) -> list[Node]:
 
 
 def chunks(rows):
-    """Chunks of pages of one group, each with its template, from (group, row, blocks) ordered by group.
+    """Chunks of pages of one group, each with its wrapper, from (group, row, blocks) ordered by group.
 
-    A chunk is a list of (blocks, rows): rows with the same blocks are copies, which take one place. A group's pages are
+    A chunk is a list of (kept blocks, rows): rows with the same kept blocks are copies, which take one place. A group's pages are
     spread evenly, so that its last chunk is no small rest. Where too many copies wait, the chunk ends early; a rest of
-    fewer pages than a template needs then takes that of the chunk before.
+    fewer pages than a wrapper needs then takes that of the chunk before.
     """
     held: dict[tuple, list] = {}
-    group, waiting, template = None, 0, set()
+    whole: dict[tuple, list[Block]] = {}
+    group, waiting, wrapper = None, 0, Wrapper()
 
     def take(n: int):
-        nonlocal waiting, template
-        part = [(found, held.pop(found)) for found in list(held)[:n]]
+        nonlocal waiting, wrapper
+        part = [(kept, held.pop(kept)) for kept in list(held)[:n]]
+        pages = [whole.pop(kept) for kept, _ in part]
         waiting -= sum(len(same) for _, same in part)
         if len(part) >= LEAST_PAGES:
-            template = induce_blocks([found for found, _ in part])
-        return part, template
+            wrapper = induce_blocks(pages)
+        return part, wrapper
 
     def rest():
         if held:
@@ -384,8 +558,10 @@ def chunks(rows):
     for key, row, found in rows:
         if key != group:
             yield from rest()
-            group, template = key, set()
-        held.setdefault(tuple(found), []).append(row)
+            group, wrapper = key, Wrapper()
+        page = [Block(*block) for block in found]
+        whole.setdefault(own(page), page)
+        held.setdefault(own(page), []).append(row)
         waiting += 1
         if len(held) >= 2 * CHUNK:
             yield take(CHUNK)
@@ -417,8 +593,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        def extract(chunk, template):
-            rows = [(*row, text) for found, same in chunk for text in [kept_text(found, template)] for row in same]
+        def extract(chunk, wrapper):
+            rows = [(*row, text) for found, same in chunk for text in [kept_text(found, wrapper)] for row in same]
             for at in range(0, len(rows), BATCH_ROWS):
                 ids, urls, texts = zip(*rows[at : at + BATCH_ROWS])
                 yield pa.RecordBatch.from_pydict(
@@ -429,12 +605,12 @@ def main_texts(pages: DataFrame) -> DataFrame:
                     }
                 )
 
-        for chunk, template in chunks(groups(batches)):
-            yield from extract(chunk, template)
+        for chunk, wrapper in chunks(groups(batches)):
+            yield from extract(chunk, wrapper)
 
     def groups(batches):
         for batch in batches:
             for host_name, part, page_id, url, html in zip(*(column.to_pylist() for column in batch.columns)):
-                yield (host_name, part), (page_id, url), content(parse(html or ""))
+                yield (host_name, part), (page_id, url), described(parse(html or ""))
 
     return ordered.mapInArrow(run, "page_id long, url string, text string")

@@ -284,6 +284,93 @@ def test_broken_and_deep_pages():
     assert pages.main_text(pages.parse("<p>a</b></i><p>b<script>x"), set()) == "a\nb"
 
 
+def most_pairs(a, b):
+    """Simple tree matching by its definition."""
+    if a.kind != b.kind:
+        return 0
+    size = [[0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
+    for i, x in enumerate(a.children):
+        for j, y in enumerate(b.children):
+            size[i + 1][j + 1] = max(size[i][j + 1], size[i + 1][j], size[i][j] + most_pairs(x, y))
+    return size[-1][-1] + 1
+
+
+@pytest.mark.parametrize("cells", [1 << 22, 4])
+def test_alignment_is_that_of_the_definition(monkeypatch, cells):
+    monkeypatch.setattr(pages, "CELLS", cells)
+    random = np.random.default_rng(3)
+
+    def html(depth):
+        tags = random.choice(["div", "section"], random.integers(6 - depth)) if depth < 5 else []
+        return "".join(f"<{tag}>{html(depth + 1)}x</{tag}>" for tag in tags)
+
+    for _ in range(150):
+        a, b = (pages.slots(pages.parse(html(1))) for _ in range(2))
+        size, pairs = pages.match(a, b)
+        assert size == len(pairs) == most_pairs(a, b)
+        assert all(x.kind == y.kind for x, y in pairs)
+
+
+def test_long_pages_are_aligned_in_time():
+    import time
+
+    random = np.random.default_rng(1)
+    extra = "<div><p>More {k} {j}</p></div>"
+    made = [
+        pages.parse(
+            "<body><div><p>Menu</p></div><main>"
+            + "".join(f"<h2>Part {k} {j}</h2><p>Story {k} {j}</p>" + extra.format(k=k, j=j) * (random.random() < 0.1) for j in range(1000 - k))
+            + "</main></body>"
+        )
+        for k in range(16)
+    ]
+    began = time.monotonic()
+    wrapper = pages.induce(made)
+    assert time.monotonic() - began < 20
+    assert wrapper == {("/body/div/p", "Menu")} and wrapper.within == "/body/main"
+    assert pages.main_text(made[3], wrapper).count("\n") > 1990
+
+
+VARYING = """<body><div class=q1><ul><li><a href=/a>Go {k}</a><li><a href=/b>On {k}</a></ul></div><div class=q2>Buy {k} now</div>
+<h1>Title {k}</h1><p class=lead>Lead {k}</p><div class=q3><section><h2>Part {k}</h2><p>{text}</p></section><div>{text}</div><p>End {k}</p></div>
+<div class=q4>Imprint {k}</div></body>"""
+
+
+def test_content_is_found_without_any_mark():
+    made = [pages.parse(VARYING.format(k=k, text=f"Story {k} " * 80)) for k in range(8)]
+    wrapper = pages.induce(made)
+    assert wrapper.within == "/body/div.q3"
+    for k, tree in enumerate(made):
+        story = f"Story {k} " * 80
+        assert pages.main_text(tree, wrapper) == f"Title {k}\nLead {k}\nPart {k}\n{story.strip()}\n{story.strip()}\nEnd {k}"
+    # A page of another build keeps all that its marks leave in, and no page loses its text to a marked element.
+    other = pages.parse("<body><div class=other><p>Told otherwise</p></div><nav>Menu</nav></body>")
+    assert pages.main_text(other, wrapper) == "Told otherwise"
+    talk = "<body><div class=text>Story {k}</div><div class=comments>" + "<p>I think {k}</p>" * 30 + "</div></body>"
+    made = [pages.parse(talk.format(k=k)) for k in range(8)]
+    assert [pages.main_text(t, pages.induce(made)) for t in made] == [f"Story {k}" for k in range(8)]
+
+
+def test_query_equals_a_plain_reading_and_the_wrapper_decides(spark):
+    import html
+    import re
+
+    directory = "/root/testdata/sf0.01"
+    given = spark.read.parquet(f"{directory}/pages.parquet").withColumn("host", F.lit(1)).withColumn("text", F.lit("x"))
+    found = {r["page_id"]: r["text"] for r in pages.main_texts(given.withColumn("split", F.lit(2))).collect()}
+    rows = sorted((re.sub(r"^https?://([^/]*).*", r"\1", r["url"]), r["page_id"], r["html"]) for r in given.collect())
+    for _, page_id, whole in rows:
+        inner = re.search(r"<article>(.*)</article>", whole, re.S)[1]
+        parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", part.replace("<br>", " "))).split()) for part in re.split(r"</?(?:p|h1)>", inner)]
+        assert found[page_id] == "\n".join(part for part in parts if part), page_id
+    # The same texts from the alignment alone, with no mark of any page in use.
+    bare = ((host, k, [block._replace(kept=True) for block in pages.described(pages.parse(text))]) for host, k, text in rows)
+    made = [(len(chunk), wrapper, kept, k) for chunk, wrapper in pages.chunks(bare) for kept, same in chunk for k in same]
+    enough = [(wrapper, kept, k) for size, wrapper, kept, k in made if size >= pages.LEAST_PAGES]
+    assert len(enough) > 150 and all(pages.kept_text(kept, wrapper) == found[k] for wrapper, kept, k in enough)
+    assert all(len(pages.kept_text(kept, set())) > len(found[k]) for _, kept, k in enough)
+
+
 def test_held_out_is_by_checksum(spark):
     import zlib
 
