@@ -2,7 +2,8 @@
 
 Only the histogram of piece lengths reaches the driver: at most one number for each length up to the capacity. The
 driver enumerates patterns of few lengths that fill a sequence, fits how often each repeats, rounds down, and packs
-what is left by best fit, all on counts. The result is a short table that says which ranks of a length go where;
+what is left by best fit, all on counts. Fits of several sizes are tried, the empty one included, and the one of
+the fewest sequences is taken, so that no fit is worse than best fit alone. The result is a short table that says which ranks of a length go where;
 Spark numbers the pieces of each length and looks their places up.
 """
 
@@ -17,8 +18,8 @@ from martflow.llm.tokens import ByteLevelEncoder
 from martflow.workspace import materialise
 
 CAPACITY = 1024
-# Patterns that the fit may use; every pattern costs a few rows of the lookup table.
-PATTERNS = 64
+# Patterns that a fit may use, most first; every pattern costs a few rows of the lookup table.
+PATTERNS = (64, 32, 16, 8, 4, 0)
 SEPARATOR = 2
 
 
@@ -152,16 +153,26 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], i
     return steps
 
 
-def plan(counts: np.ndarray, capacity: int = CAPACITY, most: int = PATTERNS) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns and repeats that pack all pieces; ``counts[l]`` pieces have length ``l``."""
+def plan(counts: np.ndarray, capacity: int = CAPACITY, sizes: tuple[int, ...] = PATTERNS) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns and repeats that pack all pieces, of the first of the fits that takes the fewest sequences.
+
+    ``counts[l]`` pieces have length ``l``. A fit of size 0 is best fit alone.
+    """
+    listed = candidate_patterns(np.flatnonzero(counts[:capacity]), capacity)
+    plans = [_fitted(counts, capacity, listed, most) for most in sizes]
+    return min(plans, key=lambda steps: sum(times for _, times in steps))
+
+
+def _fitted(
+    counts: np.ndarray, capacity: int, listed: list[tuple[int, ...]], most: int
+) -> list[tuple[tuple[int, ...], int]]:
+    """The plan of a fit of at most ``most`` patterns, with the residuals packed by best fit."""
     left = counts.copy()
     steps = []
     if left[capacity]:
         steps.append(((capacity,), int(left[capacity])))
         left[capacity] = 0
-    lengths = np.flatnonzero(left)
-    listed = candidate_patterns(lengths, capacity)
-    if listed:
+    if listed and most:
         padded = np.zeros((len(listed), 3), int)
         for row, pattern in zip(padded, listed):
             row[: len(pattern)] = pattern

@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from martflow.llm import bpe, packing, shards
@@ -113,6 +114,25 @@ def test_plans_place_every_piece_once(lengths, times):
     assert all(covered[k] == counts[k] for k in range(33))
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=150), st.integers(1, 40))
+def test_no_plan_is_worse_than_best_fit(lengths, times):
+    counts = np.bincount(lengths * times, minlength=65) if lengths else np.zeros(65, int)
+    taken = sum(n for _, n in packing.plan(counts, 64))
+    assert taken <= sum(n for _, n in packing.best_fit(counts, 64))
+    assert taken >= -(-int(counts @ np.arange(65)) // 64)
+
+
+@pytest.mark.parametrize("scale, most", [("sf0.001", 193), ("sf0.01", 967), ("sf0.1", 9876)])
+def test_given_tables_take_few_sequences(spark, byte, scale, most):
+    docs = spark.read.parquet(f"/root/testdata/{scale}/documents.parquet").withColumn("length", F.lit("x"))
+    counts = np.zeros(packing.CAPACITY + 1, int)
+    for row in packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json")).groupBy("length").count().collect():
+        counts[row["length"]] = row["count"]
+    taken = sum(n for _, n in packing.plan(counts))
+    assert taken <= min(most, sum(n for _, n in packing.best_fit(counts, packing.CAPACITY)))
+
+
 def test_documents_are_packed(spark, byte):
     texts = ["", None, "one two three", "word " * 5000, "x", "x", " ".join(f"n{k}" for k in range(700))]
     rows = [(k, t, 0, "s") for k, t in enumerate(texts)] + [(4, "x", 1, "t")]
