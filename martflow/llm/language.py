@@ -2,9 +2,10 @@
 
 A text is the mean of the embeddings of its subwords, the byte sequences of three and four hashed to a fixed number
 of buckets. As the softmax is linear, a trained model is one row of class scores per bucket, so a prediction is a mean
-of looked-up rows. Part of the sample is kept back to calibrate: a temperature makes the scores
-probabilities, and a threshold rejects predictions that are too uncertain. A softmax can be sure of what it never learnt,
-so a text is also rejected if too few of its subwords occur in the sample, by the measure of its language's documents.
+of looked-up rows. Part of the sample is kept back to calibrate, as whole texts and as a few of their subwords among as
+many that were never learnt: a temperature makes the scores probabilities on both, and a threshold rejects
+predictions that are too uncertain. A softmax can be sure of what it never learnt, so a text is also rejected if it has
+no more of the predicted language's usual subwords than texts of the other languages have, with a margin for short texts.
 """
 
 from __future__ import annotations
@@ -24,18 +25,22 @@ SAMPLE_ROWS = 3000
 STEPS = 600
 BATCH = 25
 RATE = 8.0
-# Share of the sample that calibrates, and of wrong predictions that may be accepted. No score is rejected that comes as
-# near as this to the lowest score of a right prediction.
+# Share of the sample that calibrates. No score is rejected that comes as near as this to the lowest of a right prediction.
 CALIBRATION_SHARE = 0.2
-ACCEPTED_ERRORS = 0.01
-SPARED = 0.6
-# A subword is known if so many documents of the sample have it. A text of a language is rejected if its share of known
-# subwords lies below this part of the share that all but a few of the language's documents reach without themselves.
-# Every text counts as having some known subwords more, as a share of few says little.
+SPARED = 0.75
+# Subwords drawn of a text for calibration, and of those that were never learnt.
+DRAWN = 12
+# A subword is usual in a language if so many, and this share, of its documents in the sample have it. A text's share of
+# usual subwords has to reach the middle share of the other languages' documents and some more, but never more than
+# this part of what all but a few of the language's documents reach without themselves. A short text is spared
+# one over the root of its subwords, and twice that of its score. Languages with fewer documents in the sample reject nothing
+# by their subwords, and samples with fewer to calibrate nothing by the score.
 KNOWN_IN = 3
+KNOWN_SHARE = 0.01
+SURPLUS = 0.06
 UNUSUAL = 0.01
 COVERED = 0.8
-SURPLUS = 4
+LEAST_DOCUMENTS = 30
 SEGMENT = 1 << 20
 UNDETERMINED = "und"
 
@@ -44,7 +49,7 @@ UNDETERMINED = "und"
 class Model:
     """``scores`` holds a row per bucket and a column per language, with the bias and temperature applied.
 
-    ``known`` says of each bucket if it counts as known, ``least`` has the lowest share of known subwords by language.
+    ``known`` says of each bucket in which languages it is usual, ``least`` has the lowest share of usual subwords by language.
     """
 
     languages: list[str]
@@ -148,7 +153,7 @@ def train(docs: DataFrame, key: str = "doc_id", rows: int = SAMPLE_ROWS) -> Mode
         return None
     languages = list(fitted["languages"])
     scores = np.frombuffer(bytes(fitted["scores"]), np.float32).reshape(-1, len(languages))
-    known = np.unpackbits(np.frombuffer(bytes(fitted["known"]), np.uint8)).astype(bool)
+    known = np.unpackbits(np.frombuffer(bytes(fitted["known"]), np.uint8)).astype(bool).reshape(scores.shape)
     least = np.array(fitted["least"])
     return Model(languages, scores, np.frombuffer(bytes(fitted["bias"])), fitted["threshold"], known, least)
 
@@ -191,30 +196,53 @@ def fit(profiles: list[tuple[str, bytes, bytes]]) -> Model:
             embeddings[used] -= rate * 10 * (mixing.T @ back)
     scores = embeddings @ linear
     raw = np.array([weights[i] @ scores[indices[i]] + bias for i in calibration]).reshape(-1, len(languages))
-    temperature, threshold = calibrate(raw, targets[calibration])
+    unlearnt = np.ones(1 << BUCKET_BITS, bool)
+    for i in training:
+        unlearnt[indices[i]] = False
+    strange = np.flatnonzero(unlearnt)
+    thin = []
+    for i in calibration:
+        drawn = random.choice(indices[i], DRAWN, p=weights[i] / weights[i].sum(dtype=np.float64))
+        among = np.concatenate([drawn, random.choice(strange, DRAWN)]) if len(strange) else drawn
+        thin.append(scores[among].mean(axis=0) + bias)
+    both = np.concatenate([raw, np.array(thin).reshape(-1, len(languages))])
+    temperature, threshold = calibrate(both, np.tile(targets[calibration], 2), [sizes[i] for i in calibration])
     known, least = coverage([(targets[i], indices[i], weights[i], sizes[i]) for i in range(len(profiles))], len(languages))
     return Model(languages, (scores / temperature).astype(np.float32), bias / temperature, threshold, known, least)
 
 
 def coverage(texts: list[tuple[int, np.ndarray, np.ndarray, float]], languages: int) -> tuple[np.ndarray, np.ndarray]:
-    """The known buckets, and for each language the share of known subwords below which a text is rejected.
+    """The usual buckets by language, and for each language the share of them below which a text is rejected.
 
     ``texts`` are language, buckets, their weights and the number of subwords. A text's own occurrence does not make a
-    subword known to it.
+    subword usual to it.
     """
-    having = np.zeros(1 << BUCKET_BITS, np.int64)
-    for _, found, _, _ in texts:
-        having[found] += 1
-    shares: list[list[float]] = [[] for _ in range(languages)]
+    having = np.zeros((1 << BUCKET_BITS, languages), np.int64)
+    documents = np.zeros(languages)
+    for language, found, _, _ in texts:
+        having[found, language] += 1
+        documents[language] += 1
+    needed = np.maximum(KNOWN_IN, KNOWN_SHARE * documents)
+    known = having >= needed
+    inside: list[list[float]] = [[] for _ in range(languages)]
+    outside: list[list[float]] = [[] for _ in range(languages)]
     for language, found, weight, size in texts:
-        known = float(weight[having[found] > KNOWN_IN].sum()) * size
-        shares[language].append(known_share(known, size))
-    least = [COVERED * float(np.quantile(s, UNUSUAL)) if s else 0.0 for s in shares]
-    return having >= KNOWN_IN, np.array(least)
+        inside[language].append(float(weight[having[found, language] - 1 >= needed[language]].sum()) + spared(size))
+        for other in range(languages):
+            if other != language:
+                outside[other].append(float(weight[known[found, other]].sum()))
+    least = np.zeros(languages)
+    for language in range(languages):
+        if documents[language] >= LEAST_DOCUMENTS:
+            least[language] = COVERED * float(np.quantile(inside[language], UNUSUAL))
+            if outside[language]:
+                least[language] = min(least[language], float(np.median(outside[language])) + SURPLUS)
+    return known, least
 
 
-def known_share(known: float, size: float) -> float:
-    return (known + SURPLUS) / (size + SURPLUS)
+def spared(size: float) -> float:
+    """The share that a text of so many subwords may lack, as a few say little."""
+    return 1 / max(1.0, size) ** 0.5
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -222,10 +250,11 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def calibrate(raw: np.ndarray, targets: np.ndarray) -> tuple[float, float]:
+def calibrate(raw: np.ndarray, targets: np.ndarray, sizes: list[float] | None = None) -> tuple[float, float]:
     """The temperature of the least log loss, and the score up to which a prediction is rejected.
 
-    That is the lowest score above which few enough predictions are wrong, but well below that of every right one.
+    That is well below the score of every right prediction of a whole text, which are the first rows if ``sizes``
+    tells how many subwords they have. Too few of them give no threshold.
     """
     if not len(raw):
         return 1.0, 0.0
@@ -236,14 +265,10 @@ def calibrate(raw: np.ndarray, targets: np.ndarray) -> tuple[float, float]:
 
     temperature = float(min(np.geomspace(0.1, 10, 60), key=loss))
     found = _softmax(raw / temperature)
-    best = found.max(axis=1)
-    wrong = found.argmax(axis=1) != targets
-    for threshold in sorted({0.0, *best[wrong].tolist()}):
-        accepted = best > threshold
-        if not accepted.any() or wrong[accepted].mean() <= ACCEPTED_ERRORS:
-            break
-    spared = SPARED * best[~wrong].min() if not wrong.all() else 0.0
-    return temperature, float(min(threshold, spared))
+    whole = len(raw) if sizes is None else len(sizes)
+    best = found.max(axis=1)[:whole] + (0 if sizes is None else np.array([2 * spared(n) for n in sizes]))
+    right = best[found.argmax(axis=1)[:whole] == targets[:whole]]
+    return temperature, float(SPARED * right.min()) if whole >= LEAST_DOCUMENTS and len(right) else 0.0
 
 
 def _predictor(fitted: Model | None):
@@ -252,16 +277,17 @@ def _predictor(fitted: Model | None):
     def one(text: str | None) -> tuple[str, float, bool]:
         if fitted is None or text is None or not has_letter(text):
             return UNDETERMINED, 0.0, True
-        total, count, known = np.zeros(len(fitted.languages)), 0, 0
+        total, usual, count = np.zeros(len(fitted.languages)), np.zeros(len(fitted.languages)), 0
         for part in segments(text):
             found = buckets(part)
             total += fitted.scores[found].sum(axis=0, dtype=np.float64)
             count += len(found)
-            known += int(np.count_nonzero(fitted.known[found]))
+            usual += fitted.known[found].sum(axis=0)
         chances = _softmax((total / max(count, 1) + fitted.bias)[None, :])[0]
         best = int(chances.argmax())
-        unknown = known_share(known, count) < fitted.least[best]
-        return fitted.languages[best], float(chances[best]), bool(chances[best] <= fitted.threshold or unknown)
+        unusual = usual[best] / max(count, 1) + spared(count) < fitted.least[best]
+        unsure = chances[best] + 2 * spared(count) <= fitted.threshold
+        return fitted.languages[best], float(chances[best]), bool(unsure or unusual)
 
     return one
 
@@ -275,6 +301,8 @@ def predict(docs: DataFrame, model: Model | None, key: str = "doc_id") -> DataFr
     """key, lang_pred, score, rejected of every row, from its whole text alone.
 
     A text that is null or without a letter is ``und`` with score 0 and rejected; so is every text if there is no model.
+    Rows may repeat, very long texts are read whole in parts, other columns are not read, and an empty table
+    gives an empty result. Of languages with the same score the first in order is predicted.
     """
     shared = _shared(docs, model)
 
