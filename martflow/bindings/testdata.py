@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from martflow.functions import scalar
 from martflow.functions.aggregate import total
+from martflow.operators.joins import dealt_once, sent_whole
 from martflow.workspace import materialise
 
 SEASON_BY_SIZE = {0: "Spring", 1: "Summer", 2: "Winter", 3: "Annual"}
@@ -64,24 +65,33 @@ class Binding:
             scalar.band("p_size", *NEED_BY_SIZE).alias("water_needs"),
         )
 
-    @cached_property
-    def _farm_crop(self) -> DataFrame:
-        """Order lines per farm and crop, from which harvests, productions and yields are read."""
+    def _per_farm_and_crop(self, lines: DataFrame) -> DataFrame:
         return (
-            self.table("lineitem")
-            .groupBy(F.col("l_suppkey").alias("farm_id"), F.col("l_partkey").alias("crop_id"))
+            lines.groupBy(F.col("l_suppkey").alias("farm_id"), F.col("l_partkey").alias("crop_id"))
             .agg(
                 total("l_quantity", MEASURE).alias("quantity"),
                 total("l_extendedprice", MEASURE).alias("price"),
                 F.count(F.lit(1)).alias("n_lines"),
                 F.year(F.max("l_shipdate")).alias("year"),
             )
-            .withColumn("harvest_id", F.col("farm_id") * HARVEST_KEY_FACTOR + F.col("crop_id"))
         )
 
+    def _with_harvest(self, kept: DataFrame) -> DataFrame:
+        return kept.withColumn("harvest_id", F.col("farm_id") * HARVEST_KEY_FACTOR + F.col("crop_id"))
+
+    @cached_property
+    def _farm_crop(self) -> DataFrame:
+        """Order lines per farm and crop, from which harvests, productions and yields are read."""
+        return self._with_harvest(self._per_farm_and_crop(self.table("lineitem")))
+
     def shared(self) -> Binding:
-        """Keep the order lines per farm and crop for a query that reads them several times."""
-        self._farm_crop = materialise(self._farm_crop, "farm-crop")
+        """Keep the order lines per farm and crop for a query that reads them several times.
+
+        They are kept crop by crop, so that sums per crop are nearly done before they are shuffled.
+        """
+        lines = self.table("lineitem").select("l_suppkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
+        kept = self._per_farm_and_crop(dealt_once(lines, "l_partkey")).sortWithinPartitions("crop_id", "farm_id")
+        self._farm_crop = self._with_harvest(materialise(kept, "farm-crop"))
         return self
 
     @cached_property
@@ -151,7 +161,7 @@ class Binding:
             self.table("lineitem")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
-            .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(sent_whole(self.table("supplier")), F.col("l_suppkey") == F.col("s_suppkey"))
         )
 
     @cached_property

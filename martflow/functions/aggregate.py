@@ -112,5 +112,11 @@ def season_means(month: ColumnLike, value: ColumnLike, exact: Exact = None) -> M
     }
 
 
-def distinct_count(value: ColumnLike, approximate: bool = False) -> Column:
+def distinct_count(value: ColumnLike, approximate: bool = False, apart: bool = False) -> Column:
+    """Number of distinct values. With ``apart``, given for a column's name, the values are shuffled on rows of their own.
+
+    Otherwise each of them carries the sums that stand beside it in the aggregate; those then combine map-side.
+    """
+    if apart:
+        return F.expr(f"count(DISTINCT `{value}`) FILTER (WHERE `{value}` IS NOT NULL)")
     return F.approx_count_distinct(col(value)) if approximate else F.count_distinct(col(value))

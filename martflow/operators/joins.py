@@ -1,19 +1,62 @@
 """Joins around a base table.
 
-No join hints: Spark broadcasts a side by its measured size, and adaptive execution splits hot keys of the
-sort-merge joins that remain.
+A dimension that ``sent_whole`` has measured to be small goes whole to every executor, so that the base is not shuffled
+for it. Otherwise no join hints: adaptive execution splits hot keys of the sort-merge joins that remain.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martflow.functions.scalar import as_id
+from martflow.functions.scalar import ColumnLike, as_id, col
 
 MATCH_CHUNK = 100_000
+# What a dimension may hold to be sent whole; a few times that in an executor's memory.
+WHOLE_BYTES = 64 * 1024 * 1024
+# A key is hot if it has this many times the rows of an even task, and so many rows at least.
+HOT_TIMES, HOT_ROWS = 4, 100_000
+HASHES_PER_TASK = 16
+
+
+def sent_whole(dimension: DataFrame, most_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """The dimension with a broadcast hint, if its rows measure no more than so many bytes; else as it is.
+
+    One pass over the dimension measures it: a plan's estimate of an aggregate or a join is far too high.
+    """
+
+    def width(f: T.StructField) -> Column:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(f.name), F.lit(0)) + 16
+        return F.lit(8 if isinstance(f.dataType, T.AtomicType) else most_bytes)
+
+    widths = reduce(lambda a, b: a + b, [width(f).cast("bigint") for f in dimension.schema.fields])
+    measured = dimension.agg(F.sum(widths + 8)).first()[0] or 0
+    return F.broadcast(dimension) if measured <= most_bytes else dimension
+
+
+def is_even(df: DataFrame, key: ColumnLike) -> bool:
+    """Whether no key is so hot that a shuffle by it would put far more rows into one task than into others.
+
+    One pass over the key; counts of hashed keys tell, so that little is shuffled for them.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashed = F.pmod(F.xxhash64(col(key)), F.lit(HASHES_PER_TASK * tasks))
+    most, rows = df.groupBy(hashed.alias("h")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
+    return most is not None and (most <= HOT_ROWS or most * tasks <= rows * HOT_TIMES)
+
+
+def dealt_once(df: DataFrame, key: str, even: bool | None = None) -> DataFrame:
+    """Rows shuffled by one key, which serves all groupings, windows and joins by it (and further columns) that follow.
+
+    If the key is not even, the rows stay as they are, and each later step shuffles on its own, combined map-side or
+    split. ``even`` tells what is known.
+    """
+    return df.repartition(key) if (is_even(df, key) if even is None else even) else df
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -18,7 +18,7 @@ from martflow.functions import scalar
 from martflow.functions.aggregate import FixedPoint
 from martflow.operators.conform import audited
 from martflow.operators.fanout import Side, join_condensed, product_mean, repeats
-from martflow.operators.joins import attach_summary, combined, join_cast_key, one_per_key, star
+from martflow.operators.joins import attach_summary, combined, dealt_once, is_even, join_cast_key, one_per_key, sent_whole, star
 from martflow.operators.ranking import Rank, add_ranks, change_from_previous
 
 # Tiers, ratings and needs.
@@ -36,6 +36,8 @@ RECOMMEND_NOTHING = "Current practices are effective"
 
 
 NOT_EXACT = FixedPoint(None, None, None)
+# The crop of a record as a number.
+CROP_KEY = "_crop_key"
 
 
 def season_advice(percentage: scalar.ColumnLike, season: scalar.ColumnLike) -> Column:
@@ -162,7 +164,7 @@ def crop_performance(
         agg.mean("expected_yield", exact.measure).alias("avg_expected_yield"),
         agg.mean("actual_yield", exact.measure).alias("avg_actual_yield"),
         agg.mean("growing_period_days", exact.measure).alias("avg_growing_period_days"),
-        agg.distinct_count("farm_id").alias("farm_count"),
+        agg.distinct_count("farm_id", apart=True).alias("farm_count"),
         agg.mean("sustainability_score", exact.measure).alias("avg_sustainability_score"),
         agg.mean_in_year("year", as_of_year, "actual_yield", exact.measure).alias("current_year_yield"),
         agg.mean_in_year("year", as_of_year - 1, "actual_yield", exact.measure).alias("previous_year_yield"),
@@ -233,17 +235,23 @@ def crop_performance(
 
 
 def seasonal_performance(
-    records: DataFrame, farms: DataFrame, crops: DataFrame, weather: DataFrame, exact: FixedPoint | None = None
+    records: DataFrame, farms: DataFrame, crops: DataFrame, weather: DataFrame, exact: FixedPoint | None = None,
+    even_crops: bool = False,
 ) -> DataFrame:
     """Performance of each farm and crop by year and season, with its change, advice and rating.
 
     Records are averaged before farms and crops are joined to them, and the weather every row meets is one
-    summary row.
+    summary row. With ``even_crops``, where no crop is hot, they are shuffled once, by crop, for the averages, the changes
+    and the join of crops.
     """
     exact = exact or NOT_EXACT
+    keyed = records.select(
+        "farm_id", "crop_id", "year", scalar.season_of("month").alias("season"), "actual_yield", "expected_yield",
+        "yield_percentage", "sustainability_score", "growing_period_days", scalar.as_id("crop_id").alias(CROP_KEY),
+    )
     metrics = (
-        records.withColumn("season", scalar.season_of("month"))
-        .groupBy("farm_id", "crop_id", "year", "season")
+        dealt_once(keyed, CROP_KEY, even_crops)
+        .groupBy(CROP_KEY, "farm_id", "crop_id", "year", "season")
         .agg(
             agg.mean("actual_yield", exact.measure).alias("avg_yield"),
             agg.mean("expected_yield", exact.measure).alias("avg_expected_yield"),
@@ -253,11 +261,11 @@ def seasonal_performance(
         )
     )
     changed = change_from_previous(
-        metrics, "avg_yield", ["farm_id", "crop_id", "season"], "year", "yield_change_from_previous_year"
+        metrics, "avg_yield", [CROP_KEY, "farm_id", "crop_id", "season"], "year", "yield_change_from_previous_year"
     )
-    named = changed.join(farms.select("farm_id", "farm_name", "farm_location").distinct(), "farm_id", "left")
+    farm_names = sent_whole(farms.select("farm_id", "farm_name", "farm_location").distinct())
     crop_names = crops.select(F.col("crop_id").alias("key"), "crop_name", "crop_type").distinct()
-    named = join_cast_key(named, crop_names, "crop_id", "key")
+    named = join_cast_key(changed.join(farm_names, "farm_id", "left"), crop_names, CROP_KEY, "key")
     attached = attach_summary(
         named,
         weather,
@@ -306,21 +314,26 @@ def sustainability_metrics(
     weather: DataFrame,
     exact: FixedPoint | None = None,
     fanout: str = "reference",
+    even_crops: bool = False,
 ) -> DataFrame:
     """Sustainability of each distinct record, with scores, tier and efficiencies.
 
     Records are grouped by their own columns before the joins, which leaves equal results: the joined columns
     are grouping keys, and each record of a farm and crop meets the same rows. Several sustainability or soil
-    rows of a farm give one result row each; with ``fanout="none"`` one of them is taken.
+    rows of a farm give one result row each; with ``fanout="none"`` one of them is taken. With ``even_crops``, where
+    no crop is hot, records are shuffled once, by crop, for the groups and the join of crops.
     """
     exact = exact or NOT_EXACT
     own_keys = [
         "farm_id", "crop_type", "crop_id", "year", "month", "planting_date", "sustainability_score",
         "farm_size_acres", "actual_yield", "expected_yield", "growing_period_days",
     ]
+    keyed = records.where(F.col("sustainability_score").isNotNull()).select(
+        *own_keys, "soil_moisture", "soil_temperature", scalar.as_id("crop_id").alias(CROP_KEY)
+    )
     condensed = (
-        records.where(F.col("sustainability_score").isNotNull())
-        .groupBy(*own_keys)
+        dealt_once(keyed, CROP_KEY, even_crops)
+        .groupBy(CROP_KEY, *own_keys)
         .agg(
             agg.mean("soil_moisture", exact.measure).alias("avg_soil_moisture"),
             agg.mean("soil_temperature", exact.measure).alias("avg_soil_temperature"),
@@ -339,8 +352,8 @@ def sustainability_metrics(
     else:
         dimensions = [d.distinct() for d in dimensions]
         crop_names = crop_names.distinct()
-    named = condensed.join(combined(dimensions, ["farm_id"]), "farm_id", "left")
-    joined = join_cast_key(named, crop_names, "crop_id", "key")
+    named = condensed.join(sent_whole(combined(dimensions, ["farm_id"])), "farm_id", "left")
+    joined = join_cast_key(named, crop_names, CROP_KEY, "key")
     attached = attach_summary(
         joined,
         weather,
@@ -378,7 +391,11 @@ def published(mart: DataFrame, name: str, as_of: datetime) -> DataFrame:
 def all_marts(
     records: DataFrame, staged: Mapping[str, DataFrame], as_of: datetime, exact: FixedPoint | None = None
 ) -> dict[str, DataFrame]:
-    """All marts over staged records and the staging views (``stg_farm``, ``stg_crop`` and so on)."""
+    """All marts over staged records and the staging views (``stg_farm``, ``stg_crop`` and so on).
+
+    One pass over the records' crops tells whether those are even.
+    """
+    even = is_even(records, scalar.as_id("crop_id"))
     farms, crops, weather = staged["stg_farm"], staged["stg_crop"], staged["stg_weather"]
     soil, use, yields = staged["stg_soil"], staged["stg_sustainability"], staged["stg_yield"]
     marts = {
@@ -386,7 +403,9 @@ def all_marts(
         "crop_performance": crop_performance(
             crops, records, yields, staged["stg_production"], staged["stg_harvest"], as_of.year, exact
         ),
-        "seasonal_performance": seasonal_performance(records, farms, crops, weather, exact),
-        "sustainability_metrics": sustainability_metrics(records, farms, use, soil, crops, weather, exact),
+        "seasonal_performance": seasonal_performance(records, farms, crops, weather, exact, even),
+        "sustainability_metrics": sustainability_metrics(
+            records, farms, use, soil, crops, weather, exact, even_crops=even
+        ),
     }
     return {name: published(mart, name, as_of) for name, mart in marts.items()}

@@ -320,7 +320,7 @@ def run_sql() -> str:
 def marts_run(b: Binding) -> DataFrame:
     """A whole run: what every check found, and how many rows each stored mart has."""
     b.shared()
-    done = run.run_marts(b.records, b.seeds, GENERATED, new_path(b.spark, "marts"), RECORDS)
+    done = run.run_marts(materialise(b.records, "records"), b.seeds, GENERATED, new_path(b.spark, "marts"), RECORDS)
     counts = [
         b.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("violations")).select(
             F.lit("rows").alias("check_name"), F.lit(name).alias("column_name"), F.lit("info").alias("severity"),

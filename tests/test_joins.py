@@ -62,3 +62,32 @@ def test_one_per_key(spark):
 def test_first_rows(spark):
     df = spark.range(50).repartition(5)
     assert [r.id for r in joins.first_rows(df, ["id"], 3).collect()] == [0, 1, 2]
+
+
+def test_small_dimension_goes_whole(spark):
+    base = spark.range(1000).withColumnRenamed("id", "key")
+    names = spark.range(10).select(F.col("id").alias("key"), F.lit("name").alias("name"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [base.join(joins.sent_whole(names, most), "key", "left") for most in (10_000, 100)]
+        assert [_told(p).count("BroadcastHashJoin") for p in plans] == [1, 0]
+        assert rows(plans[0]) == rows(plans[1])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_keys_are_not_dealt(spark):
+    even = spark.range(300_000).select((F.col("id") % 5000).alias("key"), "id")
+    hot = even.withColumn("key", F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("key")))
+    none = even.withColumn("key", F.when(F.col("id") % 3 > 0, F.col("key")))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        dealt = [joins.dealt_once(df, "key") for df in (even, hot, none.union(none), even.limit(0))]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [_told(df).count("REPARTITION_BY_COL") for df in dealt] == [1, 0, 0, 0]
+
+
+def _told(df):
+    return df._jdf.queryExecution().executedPlan().toString()

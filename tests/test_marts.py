@@ -3,11 +3,13 @@
 from itertools import product
 
 import pytest
+from pyspark.sql import functions as F
 
+from martflow.functions import aggregate as agg
 from martflow.functions.aggregate import FixedPoint
 from martflow.operators.fanout import Side, join_condensed, product_mean
 from martflow.plans import marts
-from tests.helpers import assert_same, mean
+from tests.helpers import assert_same, mean, rows
 
 FARMS = [(1, "Hill", "North", 100.0), (2, "Vale", "South", 0.0), (3, "Moor", "West", 64.0)]
 CROPS = [
@@ -339,3 +341,31 @@ def test_farm_without_an_id_stays(spark, tables):
         tables["farms"].unionByName(nameless), tables["records"], tables["soil"], tables["use"], tables["yields"], 2024
     ).collect()
     assert [r.farm_name for r in marts_rows if r.farm_id is None] == ["none"]
+
+
+def test_records_are_shuffled_once_where_crops_are_even(spark, tables):
+    """For groups, changes and joins alike, and with the same rows as where each of them shuffles."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        t = tables
+        for build in (
+            lambda even: marts.seasonal_performance(t["records"], t["farms"], t["crops"], t["weather"], even_crops=even),
+            lambda even: marts.sustainability_metrics(
+                t["records"], t["farms"], t["use"], t["soil"], t["crops"], t["weather"], even_crops=even
+            ),
+        ):
+            told = build(True)._jdf.queryExecution().executedPlan().toString()
+            assert sum("Exchange hash" in line and "_crop_key" in line for line in told.splitlines()) == 1, told
+            assert rows(build(True)) == rows(build(False))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_counted_ids_travel_without_the_sums(spark):
+    """The ids are shuffled on rows of their own, so the sums are combined before."""
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.expr("if(id % 5 = 0, null, id % 7)").alias("v"), "id")
+    found = df.groupBy("k").agg(F.sum("id"), agg.distinct_count("v", apart=True))
+    assert "Expand" in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == rows(df.groupBy("k").agg(F.sum("id"), agg.distinct_count("v")))
