@@ -16,7 +16,7 @@ from martflow.workload.ansi import days, mean, month, season, sql, total, year
 from martflow.workload.registry import query
 from martflow.workload.relational import AMOUNT, AS_OF_YEAR, RATIO, year_mean
 from martflow.workload.scalars import NOISE_SQL
-from martflow.workspace import new_path
+from martflow.workspace import materialise, new_path
 
 AS_OF = datetime(2024, 1, 1)
 TODAY = date(2024, 1, 1)
@@ -319,10 +319,11 @@ def farm_performance(b: Binding) -> DataFrame:
 
 
 def refreshed(b: Binding, rollup: refresh.Rollup, label: str) -> DataFrame:
-    """State of a roll-up of the records, which are committed and counted in two parts."""
+    """State of a roll-up of the records, which are joined once, and committed and counted in two parts."""
     source = CommittedTable(b.spark, new_path(b.spark, f"{label}-records"), "period", ["farm_id"])
     state = rollup.state_table(b.spark, new_path(b.spark, f"{label}-state"), "period")
-    dated = b.records.withColumn("period", F.col("year").cast("string"))
+    # Each part is read for the ranges of its keys and to be written.
+    dated = materialise(b.records.withColumn("period", F.col("year").cast("string")), f"{label}-dated")
     for part in (F.col("month") <= 6, F.col("month") > 6):
         source.append(dated.where(part))
         refresh.refresh(source, state, rollup)

@@ -106,3 +106,22 @@ def test_ids_must_be_integers(spark):
         Rollup(["month"], measures("x"), distinct="kind").state_of(records(spark, 0, 2, "m"), "month")
     means = Rollup(["kind"], measures("x")).state_of(records(spark, 0, 9, "m"), "month")
     assert rows(Rollup(["kind"], measures("x")).result(means), "kind") == rows(records(spark, 0, 9, "m").select("kind").distinct())
+
+
+def test_records_of_a_refreshed_mart_are_built_once(spark):
+    from martflow.bindings.testdata import Binding
+    from martflow.plans import refresh as plan
+    from martflow.workload.tables import RECORDS, refreshed
+
+    b = Binding(spark, "/root/testdata/sf0.001")
+    given = b.records.limit(500).localCheckpoint()
+    built = spark.sparkContext.accumulator(0)
+
+    def tell(year):
+        built.add(1)
+        return year
+
+    b.records = given.withColumn("year", F.udf(tell, "int").asNondeterministic()("year"))
+    state = refreshed(b, plan.farm_rollup(RECORDS), "once")
+    assert state.agg(F.sum("n_actual_yield")).first()[0] == 500
+    assert built.value == 500
