@@ -175,25 +175,37 @@ class CommittedTable:
         sliced.write.partitionBy(SLICE, *further).parquet(f"{self.path}/data/{name}")
 
     def _describe(self, name: str, schema: T.StructType, also: DataFrame | None = None) -> None:
-        """Store the manifest of a commit's folder, read back from its files' keys."""
+        """Store the manifest of a commit's folder."""
+        files = self._told(name, schema)
+        whole = files if also is None else files.unionByName(also)
+        whole.write.parquet(f"{self.path}/_files/{name}")
+
+    def _told(self, name: str, schema: T.StructType) -> DataFrame:
+        """The manifest of a commit's folder, read back from its files' keys.
+
+        A file has one partition value, which is its own bound. Cluster columns of text are first made distinct by file: bounds
+        of texts sort what they aggregate, and that would be every row, beside its path.
+        """
         told = self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{self.path}/data/{name}")
-        bounds = [
-            bound(c).alias(f"{word}_{c}")
-            for c in (self.partition, *self.cluster_by)
-            for word, bound in (("low", F.min), ("high", F.max))
-        ]
-        files = (
-            told.groupBy(
-                F.regexp_extract(F.col("_metadata.file_path"), "(data/[0-9a-f]{32}/.*)$", 1).alias("path"),
-                F.col("_metadata.file_size").alias("bytes"),
-                F.col(self.partition).alias("slice"),
-            )
-            .agg(F.count(F.lit(1)).alias("rows"), *bounds)
+        path, size = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")
+        by_file = [path, size, F.col(self.partition).alias("slice")]
+        texts = [c for c in self.cluster_by if isinstance(schema[c].dataType, T.StringType)]
+        others = [c for c in self.cluster_by if c not in texts]
+        bounds = [bound(c).alias(f"{word}_{c}") for c in others for word, bound in (("low", F.min), ("high", F.max))]
+        files = told.groupBy(*by_file, *texts).agg(F.count(F.lit(1)).alias("rows"), *bounds)
+        if texts:
+            merged_bounds = [
+                bound(f"{word}_{c}" if c in others else c).alias(f"{word}_{c}")
+                for c in self.cluster_by
+                for word, bound in (("low", F.min), ("high", F.max))
+            ]
+            files = files.groupBy("path", "bytes", "slice").agg(F.sum("rows").alias("rows"), *merged_bounds)
+        return (
+            files.withColumn("path", F.regexp_extract("path", "(data/[0-9a-f]{32}/.*)$", 1))
+            .withColumns({f"{word}_{self.partition}": F.col("slice") for word in ("low", "high")})
             .withColumn("folder", F.lit(name))
             .withColumn("schema_name", F.lit(_name_of(schema)))
         )
-        whole = files if also is None else files.unionByName(also)
-        whole.write.parquet(f"{self.path}/_files/{name}")
 
     # Reading
 

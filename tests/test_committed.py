@@ -168,3 +168,21 @@ def test_lattice():
     inner = wider(T.StructType.fromDDL("a int, b string"), T.StructType.fromDDL("a double, c date"))
     assert inner.simpleString() == "struct<a:double,b:string,c:date>"
     assert merged(T.StructType.fromDDL("a int not null"), T.StructType.fromDDL("b date")).simpleString() == "struct<a:int,b:date>"
+
+
+def test_a_manifest_does_not_sort_the_rows(spark, table, path):
+    """Bounds of texts would: the partition value needs none, and text keys are made distinct before."""
+    given = records(spark, ("2024-01", 1, 1), ("2024-01", 5, 1), (None, 2, 2), ("2024-02", None, 3))
+    table.append(given)
+    told = table._told(table.version().added, given.schema)
+    assert "SortAggregate" not in told._jdf.queryExecution().executedPlan().toString()
+    bounds = table.files().groupBy("slice", "low_month", "high_month").agg(
+        F.sum("rows").alias("n"), F.min("low_farm"), F.max("high_farm")
+    )
+    january, february, none = ["2024-01"] * 3, ["2024-02"] * 3, [None] * 3
+    assert rows(bounds) == [(*january, 2, 1, 5), (*february, 1, None, None), (*none, 1, 2, 2)]
+    named = CommittedTable(spark, path("named"), "month", ["name", "farm"])
+    named.append(given.withColumn("name", F.concat(F.lit("n"), F.col("farm"))))
+    found = named.files().agg(F.min("low_name"), F.max("high_name"), F.min("low_farm"), F.max("high_farm"), F.sum("rows"))
+    assert rows(found) == [("n1", "n5", 1, 5, 4)]
+    assert named.read(within={"name": ("n2", "n4")}).count() == 1
