@@ -165,10 +165,18 @@ def store_batch(lake: Lake, form: MessageFormat) -> Callable[[DataFrame, int], N
 
 def compact_lake(spark: SparkSession, lake: Lake, target_bytes: int = TARGET_BYTES) -> None:
     """Put the small files that batches have left together, day by day, and the bitmaps of each month into one file."""
-    lake.records_table(spark).compact(target_bytes)
-    lake.seen_table(spark).compact(
-        target_bytes, fold=lambda bits: bits.groupBy(MONTH, DAY, BUCKET).agg(F.bitmap_or_agg("bits").alias("bits"))
-    )
+
+    def folded(bits: DataFrame) -> DataFrame:
+        return bits.groupBy(MONTH, DAY, BUCKET).agg(F.bitmap_or_agg("bits").alias("bits"))
+
+    # Most of either is the driver's work on manifests, so they run side by side.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        steps = [
+            pool.submit(lake.records_table(spark).compact, target_bytes),
+            pool.submit(lake.seen_table(spark).compact, target_bytes, folded),
+        ]
+    for step in steps:
+        step.result()
 
 
 def ingest(

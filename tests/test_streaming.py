@@ -1,5 +1,6 @@
 import json
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -298,3 +299,15 @@ def test_topic_options():
     assert (options["minOffsetsPerTrigger"], options["maxTriggerDelay"]) == ("50", "10s")
     assert options["maxOffsetsPerTrigger"] == "100"
     assert "minOffsetsPerTrigger" not in Topic("b", "t", min_records=None).options()
+
+
+def test_records_and_bitmaps_are_compacted_side_by_side(spark, path, monkeypatch):
+    both, asked = threading.Barrier(2), []
+
+    def compact(self, target_bytes, fold=None):
+        both.wait(20)
+        asked.append((self.path.rsplit("/", 1)[-1], target_bytes, fold is not None))
+
+    monkeypatch.setattr(ingest.CommittedTable, "compact", compact)
+    ingest.compact_lake(spark, ingest.Lake(path("lake")), 10)
+    assert sorted(asked) == [("records", 10, False), ("seen", 10, True)]
