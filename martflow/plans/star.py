@@ -57,9 +57,10 @@ def write_star(records: DataFrame, prefix: str) -> dict[str, str]:
     """Write all dimensions and facts.
 
     Each of them scans only its own columns, so records read from a columnar table are not kept in between.
-    Records that are costly to compute should be passed through ``workspace.materialise`` first.
+    Records that are costly to compute should be passed through ``workspace.materialise`` first; stored by crop, they are
+    not shuffled for the four dimensions of farm and crop, nor for that of the crop.
     """
     shaped = conformed(records)
     tables = {f"dim_{name}": df for name, df in dimensions(shaped).items()}
     tables |= {f"fact_{name}": df for name, df in facts(shaped).items()}
-    return write_tables(tables, prefix)
+    return write_tables(tables, prefix, compression="zstd")

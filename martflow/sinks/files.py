@@ -14,17 +14,18 @@ class WriteFailed(Exception):
 
 
 def write_tables(
-    tables: Mapping[str, DataFrame], prefix: str, mode: str = "overwrite", at_once: int = 4
+    tables: Mapping[str, DataFrame], prefix: str, mode: str = "overwrite", at_once: int = 4, **options: str
 ) -> dict[str, str]:
     """Write each table to its own directory, several at once so that small ones leave no executor idle.
 
-    All are tried; failures are raised together at the end.
+    All are tried; failures are raised together at the end. ``options`` are those of the Parquet writer.
     """
     paths = {name: f"{prefix}/{name}" for name in tables}
     failed = {}
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         writes = {
-            name: pool.submit(df.write.mode(mode).parquet, paths[name]) for name, df in tables.items()
+            name: pool.submit(df.write.mode(mode).options(**options).parquet, paths[name])
+            for name, df in tables.items()
         }
         for name, write in writes.items():
             error = write.exception()

@@ -181,7 +181,7 @@ def seed_reload(b: Binding) -> DataFrame:
 @query("write_star_fact", SQL["fact_production"])
 def write_star_fact(b: Binding) -> DataFrame:
     """The rows of a fact as they were written with the other tables."""
-    written = star.write_star(materialise(b.raw, "raw"), new_path(b.spark, "star"))
+    written = star.write_star(b.stored_raw(), new_path(b.spark, "star"))
     return b.spark.read.parquet(written["fact_farm_production"])
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -53,9 +53,26 @@ def run_folder(spark: SparkSession) -> Iterator[str]:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def materialise(df: DataFrame, label: str = "cut") -> DataFrame:
-    """Write ``df`` once to the shared folder and return a scan of it: stable rows, short lineage."""
+def materialise(
+    df: DataFrame, label: str = "cut", by: str | None = None, sort_by: Sequence[str] = ()
+) -> DataFrame:
+    """Write ``df`` once to the shared folder and return a scan of it: stable rows, short lineage.
+
+    With ``by`` the rows are stored in buckets of this column, one for each shuffle partition, and sorted in each bucket.
+    Groupings, windows and joins by it (and further columns) read a bucket in one task and shuffle nothing, so it should
+    have no hot value.
+    """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if by is None:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = df.repartition(by).write.option("compression", "zstd").bucketBy(buckets, by).sortBy(*(sort_by or [by]))
+    # Only the catalog knows of buckets. The scan keeps them when the entry goes, and so do the files, as they have a path.
+    table = f"martflow_{uuid.uuid4().hex}"
+    try:
+        stored.saveAsTable(table, format="parquet", path=path)
+        return spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -3,6 +3,8 @@ from datetime import date, datetime
 import pytest
 
 from martflow.bindings import agri
+from martflow.bindings.testdata import Binding
+from martflow.operators import joins
 from martflow.plans import olap, seeded, staging, star
 from tests.helpers import rows
 
@@ -145,3 +147,61 @@ def test_star_and_rollups_from_records(spark, path):
     }
     assert spark.read.parquet(tables["crop_analysis"]).columns == agri.CONTRACTS["crop_analysis"]
     assert rows(spark.read.parquet(tables["full_data"]), "year", "month") == [(2024, 2), (2024, 3)]
+
+
+@pytest.fixture
+def ordered(spark, path):
+    """Orders of three crops, with repeated and null keys, as the given tables name them."""
+    tables = {
+        "lineitem": (
+            [
+                (o, p, s, n, q, 10.0 * n, 0.05, 0.02, "A", "F", datetime(2024, 3, n))
+                for n, (o, p, s, q) in enumerate(
+                    [(1, 10, 1, 5.0), (1, 10, 1, 5.0), (1, 11, 2, None), (2, 12, 1, 7.0), (2, None, 1, 8.0), (None, 10, 2, 9.0),
+                     (3, 12, None, 1.0), (3, 13, 2, 2.0), (3, 10, 2, 4.0)], 1)
+            ],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+            "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+        ),
+        "orders": (
+            [(1, "O", datetime(2024, 1, 5, 13)), (2, "F", None), (2, "O", datetime(2024, 1, 6)), (3, None, datetime(2023, 1, 6))],
+            "o_orderkey long, o_orderstatus string, o_orderdate timestamp",
+        ),
+        "part": (
+            [(10, "corn", "B1", 3, 1.0), (11, None, "B2", None, 2.0), (12, "oat", "B3", 4, None), (12, "oat", "B3", 4, None),
+             (None, "rye", "B4", 5, 3.0)],
+            "p_partkey long, p_type string, p_brand string, p_size int, p_retailprice double",
+        ),
+        "supplier": (
+            [(1, "S1", 3, 10.0), (2, None, None, None), (None, "S3", 1, 1.0)],
+            "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+        ),
+    }
+    for name, (given, schema) in tables.items():
+        spark.createDataFrame(given, schema).write.parquet(f"{path('given')}/{name}.parquet")
+    return Binding(spark, path("given"))
+
+
+def test_stored_records_are_not_shuffled_for_the_crop(spark, ordered, path):
+    entries = spark.catalog.listTables()
+    stored = ordered.stored_raw()
+    assert stored.count() == 8 and rows(stored) == rows(ordered.raw)
+    assert stored.columns == ordered.raw.columns and spark.catalog.listTables() == entries
+    for name, found in star.dimensions(star.conformed(stored)).items():
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange" in plan) == ("Crop_ID" not in agri.DIMENSIONS[name]), name
+    written = star.write_star(stored, path("star"))
+    shaped = star.conformed(ordered.raw)
+    tables = {f"dim_{n}": df for n, df in star.dimensions(shaped).items()}
+    tables |= {f"fact_{n}": df for n, df in star.facts(shaped).items()}
+    assert written.keys() == tables.keys()
+    for name, expected in tables.items():
+        assert rows(spark.read.parquet(written[name])) == rows(expected), name
+
+
+def test_records_of_a_hot_crop_stay_as_they_are(ordered, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 0)
+    monkeypatch.setattr(joins, "HOT_TIMES", 1)
+    stored = ordered.stored_raw()
+    assert "Bucketed: true" not in star.dimension(stored, "crop")._jdf.queryExecution().executedPlan().toString()
+    assert rows(stored) == rows(ordered.raw)
