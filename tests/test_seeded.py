@@ -205,3 +205,21 @@ def test_records_of_a_hot_crop_stay_as_they_are(ordered, monkeypatch):
     stored = ordered.stored_raw()
     assert "Bucketed: true" not in star.dimension(stored, "crop")._jdf.queryExecution().executedPlan().toString()
     assert rows(stored) == rows(ordered.raw)
+
+
+@pytest.mark.parametrize("name", ["write_star", "write_star_fact"])
+def test_star_queries_shuffle_no_records_for_the_crop(spark, ordered, monkeypatch, name):
+    from martflow.workload import lake, supply  # noqa: F401
+    from martflow.workload.registry import QUERIES
+
+    given, write = [], star.write_star
+    monkeypatch.setattr(star, "write_star", lambda records, prefix: given.append(records) or write(records, prefix))
+    found = rows(QUERIES[name](spark, ordered.directory))
+    if name == "write_star":
+        assert dict(found) == {
+            "dim_crop": 3, "dim_farm": 2, "fact_crop_yield": 8, "fact_farm_production": 8, "fact_sustainability": 8
+        }
+    else:
+        assert found == rows(star.production_fact(star.conformed(ordered.raw)))
+    plan = star.dimension(given[0], "financial")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
